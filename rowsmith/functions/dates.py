@@ -1,8 +1,8 @@
 """Date expressions.
 
-The accepted layouts have distinct shapes, so each value is recognised by shape,
-rearranged to ISO order and cast once.  That keeps bad values on the cheap path:
-no formatter runs, and no parse exception is raised and swallowed per layout.
+The accepted layouts have distinct shapes, so each value is rearranged to ISO
+order by its shape and cast once.  That keeps bad values on the cheap path: no
+formatter runs, and no parse exception is raised and swallowed per layout.
 """
 
 from __future__ import annotations
@@ -27,15 +27,13 @@ ISO_WITH_TIME = (
 
 
 def _iso_date(text: Column, with_time: bool) -> Column:
-    iso = (
-        F.when(text.rlike(ISO_DASH), text)
-        .when(text.rlike(ISO_SLASH), F.translate(text, "/", "-"))
-        .when(text.rlike(DAY_FIRST), F.regexp_replace(text, DAY_FIRST, "$3-$2-$1"))
-        .when(text.rlike(MONTH_FIRST), F.regexp_replace(text, MONTH_FIRST, "$3-$1-$2"))
-    )
+    """Each step leaves other layouts alone, so ``text`` is evaluated once."""
+    iso = F.regexp_replace(text, DAY_FIRST, "$3-$2-$1")
+    iso = F.regexp_replace(iso, MONTH_FIRST, "$3-$1-$2")
+    iso = F.regexp_replace(iso, ISO_SLASH, "$1-$2-$3")
     if with_time:
-        iso = iso.when(text.rlike(ISO_WITH_TIME), F.regexp_extract(text, r"^\S+", 0))
-    return iso.try_cast("date")
+        iso = F.regexp_replace(iso, ISO_WITH_TIME, "$1-$2-$3")
+    return F.regexp_extract(iso, ISO_DASH, 0).try_cast("date")
 
 
 def parse_date(c: Column | str) -> Column:

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from .text import norm
 
 _DIGITS = "[0-9]+(?:_[0-9]+)*"
 
-# The texts accepted as numbers.
-NUMBER = rf"^[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
-NAN = r"(?i)^[+-]?nan$"
-INFINITY = r"(?i)^[+-]?inf(?:inity)?$"
+# The texts accepted as numbers.  The sign of a NaN is left out.
+NUMBER = (
+    rf"^(?:[+-](?=[nN]))?([+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
+    r"|(?i:nan)|[+-]?(?i:inf(?:inity)?))$"
+)
 
 
 def to_number(c: Column | str) -> Column:
@@ -20,15 +23,8 @@ def to_number(c: Column | str) -> Column:
     The shape is checked first because a Spark cast also takes ``1d`` and hex
     floats and rejects ``1_000``.
     """
-    text = norm(c)
-    return (
-        F.when(text.rlike(NUMBER), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
-        .when(text.rlike(NAN), F.lit(float("nan")))
-        .when(
-            text.rlike(INFINITY),
-            F.when(text.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))),
-        )
-    )
+    digits = F.regexp_extract(norm(c), NUMBER, 1)
+    return F.replace(digits, F.lit("_"), F.lit("")).try_cast("double")
 
 
 def to_int(c: Column | str, signed: bool = False) -> Column:
@@ -73,19 +69,47 @@ def fmt3(c: Column) -> Column:
     )
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it many times in ``body``."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def fmt_g(c: Column) -> Column:
     """Shortest text with six significant digits, as ``%g`` in C.
 
     Spark's ``format_string`` keeps trailing zeros, so the text is composed.
     """
-    size = F.abs(c)
-    exponent = F.floor(F.log10(size)).cast("int")
-    scaled = F.bround(size * F.pow(F.lit(10.0), F.lit(5) - exponent), 0)
-    # 999999.7 rounds up to seven digits and moves the exponent by one.
-    carried = scaled >= 1_000_000
-    exponent = F.when(carried, exponent + 1).otherwise(exponent)
-    digits = F.when(carried, F.lit("100000")).otherwise(scaled.cast("bigint").cast("string"))
+    return _let(c, _number_text)
+
+
+def _number_text(number: Column) -> Column:
+    size = F.abs(number)
+    body = _let(
+        F.floor(F.log10(size)).cast("int"),
+        lambda exponent: _let(
+            F.bround(size * F.pow(F.lit(10.0), F.lit(5) - exponent), 0),
+            lambda scaled: _let(
+                # 999999.7 rounds up to seven digits and moves the exponent by one.
+                F.when(
+                    scaled >= 1_000_000,
+                    F.struct((exponent + 1).alias("e"), F.lit("100000").alias("d")),
+                ).otherwise(
+                    F.struct(exponent.alias("e"), scaled.cast("bigint").cast("string").alias("d"))
+                ),
+                lambda parts: _place_digits(parts["d"], parts["e"]),
+            ),
+        ),
+    )
+    return (
+        F.when(F.isnan(number), F.lit("nan"))
+        .when(number == float("inf"), F.lit("inf"))
+        .when(number == float("-inf"), F.lit("-inf"))
+        .when(number == 0, F.lit("0"))
+        .otherwise(F.concat(F.when(number < 0, F.lit("-")).otherwise(F.lit("")), body))
+    )
+
 
+def _place_digits(digits: Column, exponent: Column) -> Column:
     def with_fraction(head: Column, tail: Column) -> Column:
         tail = F.rtrim(tail, F.lit("0"))
         return F.when(tail == "", head).otherwise(F.concat(head, F.lit("."), tail))
@@ -101,15 +125,8 @@ def fmt_g(c: Column) -> Column:
     small = with_fraction(
         F.lit("0"), F.concat(F.repeat(F.lit("0"), -exponent - 1), digits)
     )
-    body = (
+    return (
         F.when((exponent < -4) | (exponent >= 6), scientific)
         .when(exponent >= 0, large)
         .otherwise(small)
     )
-    return (
-        F.when(F.isnan(c), F.lit("nan"))
-        .when(c == float("inf"), F.lit("inf"))
-        .when(c == float("-inf"), F.lit("-inf"))
-        .when(c == 0, F.lit("0"))
-        .otherwise(F.concat(F.when(c < 0, F.lit("-")).otherwise(F.lit("")), body))
-    )

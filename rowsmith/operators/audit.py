@@ -18,24 +18,23 @@ class AuditPacket:
     summary: DataFrame
 
 
-def _issues(key: str, score: str, low: float) -> Column:
+def _issues(key: str, score: str, low: float) -> list[Column]:
     text = norm(F.col(quoted(score)))
     number = to_number(text)
-    return F.array_compact(
-        F.array(
-            F.when(norm(F.col(quoted(key))) == "", F.lit(f"missing_{key}")),
-            F.when(text == "", F.lit(f"missing_{score}"))
-            .when(number.isNull(), F.lit(f"invalid_{score}"))
-            .when(number < low, F.lit("low_score")),
-        )
-    )
+    return [
+        F.when(norm(F.col(quoted(key))) == "", F.lit(f"missing_{key}")),
+        F.when(text == "", F.lit(f"missing_{score}"))
+        .when(number.isNull(), F.lit(f"invalid_{score}"))
+        .when(number < low, F.lit("low_score")),
+    ]
 
 
 def anomalies(
     df: DataFrame, key: str = "student_id", score: str = "score", low: float = 50.0
 ) -> DataFrame:
     """One row per (record, issue): a record has up to two issues."""
-    return df.select("*", F.explode(_issues(key, score, low)).alias("issue"))
+    issues = F.array(*_issues(key, score, low))
+    return df.select("*", F.explode(issues).alias("issue")).where("issue is not null")
 
 
 def audit_packet(
@@ -43,9 +42,7 @@ def audit_packet(
 ) -> AuditPacket:
     summary = df.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(F.size(_issues(key, score, low))), F.lit(0))
-        .cast("bigint")
-        .alias("anomaly_rows"),
+        sum(F.count(issue) for issue in _issues(key, score, low)).alias("anomaly_rows"),
     ).select(
         "rows",
         "anomaly_rows",

@@ -35,19 +35,18 @@ def merge_columns(source: DataFrame, target: DataFrame, key: str, without: Seque
     return [c for c in names if c != key and c not in without]
 
 
-def choose(source: Column, target: Column, prefer: str) -> Column:
-    """Struct of the surviving value, its origin and whether the sides conflict."""
-    has_source, has_target = source != "", target != ""
-    conflict = has_source & has_target & (source != target)
+def choose(source: Column, target: Column, prefer: str) -> tuple[Column, Column, Column]:
+    """The surviving value, its origin and whether the sides conflict."""
+    (first, second), other = (
+        ((source, target), "target") if prefer == "source" else ((target, source), "source")
+    )
+    value = F.when(first != "", first).otherwise(second)
     origin = (
-        F.when(conflict, F.lit(prefer))
-        .when(has_source & has_target, "both")
-        .when(has_source, "source")
-        .when(has_target, "target")
-        .otherwise("none")
+        F.when(source == target, F.when(source == "", "none").otherwise("both"))
+        .when(first != "", prefer)
+        .otherwise(other)
     )
-    value = F.when(origin.isin("both", "source"), source).otherwise(target)
-    return F.struct(value.alias("value"), origin.alias("origin"), conflict.alias("conflict"))
+    return value, origin, (source != "") & (target != "") & (source != target)
 
 
 def survivorship(
@@ -68,15 +67,11 @@ def survivorship(
     names = [c for c in columns if c != key] if columns else merge_columns(
         source, target, key, without=[order_by]
     )
-    both = paired(source, target, key, names, order_by)
+    both = paired(source, target, key, names, order_by).fillna(
+        "", [f"{side}_{c}" for c in names for side in ("source", "target")]
+    )
     here, there = F.col("in_source").isNotNull(), F.col("in_target").isNotNull()
-    cells = {
-        c: (
-            F.coalesce(F.col(quoted(f"source_{c}")), F.lit("")),
-            F.coalesce(F.col(quoted(f"target_{c}")), F.lit("")),
-        )
-        for c in names
-    }
+    cells = {c: (F.col(quoted(f"source_{c}")), F.col(quoted(f"target_{c}"))) for c in names}
     picked = {c: choose(ours, theirs, order[0]) for c, (ours, theirs) in cells.items()}
     merged = both.select(
         F.col("record_key").alias(key),
@@ -84,36 +79,30 @@ def survivorship(
         .when(here, "source_only")
         .otherwise("target_only")
         .alias("record_origin"),
-        *[picked[c]["value"].alias(c) for c in names],
-        *[picked[c]["origin"].alias(f"source_of_{c}") for c in names],
+        *[picked[c][0].alias(c) for c in names],
+        *[picked[c][1].alias(f"source_of_{c}") for c in names],
     )
-    entries = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    picked[c]["conflict"],
-                    F.struct(
-                        F.lit(c).alias("column"),
-                        ours.alias("source_value"),
-                        theirs.alias("target_value"),
-                        picked[c]["value"].alias("chosen_value"),
-                        F.lit(order[0]).alias("chosen_from"),
-                    ),
-                )
-                for c, (ours, theirs) in cells.items()
-            ]
+    entries = [
+        F.struct(
+            F.lit(c).alias("column"),
+            ours.alias("source_value"),
+            theirs.alias("target_value"),
+            F.when(picked[c][2], picked[c][0]).alias("chosen_value"),
         )
-    )
+        for c, (ours, theirs) in cells.items()
+    ]
     conflicts = (
-        # A conflict needs both sides, and lone records have none to explode.
+        # A conflict needs both sides, and lone records have none to list.
         both.where(here & there)
-        .select("record_key", entries.alias("entries"))
-        .selectExpr("record_key", "inline(entries)")
-        .withColumn("priority", F.lit(">".join(order)))
+        .select("record_key", F.inline(F.array(*entries)))
+        .where("chosen_value is not null")
+        .withColumns(
+            {"chosen_from": F.lit(order[0]), "priority": F.lit(">".join(order))}
+        )
     )
     fields = F.lit(0)
     for c in names:
-        fields = fields + F.when(picked[c]["conflict"], 1).otherwise(0)
+        fields = fields + F.when(picked[c][2], 1).otherwise(0)
     counts = both.agg(
         F.count(F.lit(1)).alias("merged_records"),
         F.count_if(here & there).alias("both_sources"),
