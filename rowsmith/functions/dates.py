@@ -27,13 +27,15 @@ ISO_WITH_TIME = (
 
 
 def _iso_date(text: Column, with_time: bool) -> Column:
-    """Each step leaves other layouts alone, so ``text`` is evaluated once."""
+    """ISO dates take the short way.  In the other each step leaves other layouts
+    alone, so the expression stays small when ``text`` is a long one."""
     iso = F.regexp_replace(text, DAY_FIRST, "$3-$2-$1")
     iso = F.regexp_replace(iso, MONTH_FIRST, "$3-$1-$2")
     iso = F.regexp_replace(iso, ISO_SLASH, "$1-$2-$3")
     if with_time:
         iso = F.regexp_replace(iso, ISO_WITH_TIME, "$1-$2-$3")
-    return F.regexp_extract(iso, ISO_DASH, 0).try_cast("date")
+    other = F.regexp_extract(iso, ISO_DASH, 0)
+    return F.when(text.rlike(ISO_DASH), text).otherwise(other).try_cast("date")
 
 
 def parse_date(c: Column | str) -> Column:
@@ -44,7 +46,7 @@ def parse_date(c: Column | str) -> Column:
 def norm_date(c: Column | str) -> Column:
     """``yyyy-MM-dd`` text; blank stays blank and unparseable text is kept."""
     text = norm(c)
-    return F.coalesce(F.date_format(_iso_date(text, with_time=True), "yyyy-MM-dd"), text)
+    return F.coalesce(_iso_date(text, with_time=True).cast("string"), text)
 
 
 def days_to_due(due: Column, as_of: Column | dt.date) -> Column:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.numbers import rate, to_number
-from ..functions.text import is_null_token, norm, quoted
+from ..functions.text import NULL_TOKENS, norm, quoted
 
 
 def profile(
@@ -29,16 +29,25 @@ def profile(
     """
     names = list(columns or df.columns)
     value = F.col("value")
-    # Null tokens become null before the shuffle; only real values travel.
-    long = df.select(
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    # Typed cells need no trimming.  Null tokens become null before the shuffle.
+    cells = df.select(
+        *[
+            (norm if n in texts else _typed)(F.col(quoted(n))).alias(f"v{i}")
+            for i, n in enumerate(names)
+        ]
+    )
+    long = cells.select(
         F.inline(
             F.array(
                 *[
                     F.struct(
                         F.lit(i).alias("ordinal"),
-                        F.when(~is_null_token(F.col(quoted(n))), norm(F.col(quoted(n)))).alias(
-                            "value"
-                        ),
+                        (
+                            F.when(~F.lower(f"v{i}").isin(*NULL_TOKENS), F.col(f"v{i}"))
+                            if n in texts
+                            else F.col(f"v{i}")
+                        ).alias("value"),
                     )
                     for i, n in enumerate(names)
                 ]
@@ -90,6 +99,10 @@ def profile(
     )
 
 
+def _typed(c: Column) -> Column:
+    return c.cast("string")
+
+
 def table_size(df: DataFrame) -> DataFrame:
     """``row_count, column_count`` of a table."""
     return df.agg(F.count(F.lit(1)).alias("row_count")).withColumn(

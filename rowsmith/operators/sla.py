@@ -40,8 +40,11 @@ def classify_sla(
         .when(left <= threshold_days, "at_risk")
         .otherwise("on_track")
     )
+    # Parsed dates come out of a one-element generator, so that a filter on the
+    # state is not pushed below them and parses each date once.
+    parsed = F.struct(due_on.alias("__due"), done_on.alias("__done"))
     return (
-        df.withColumns({"__due": due_on, "__done": done_on})
+        df.select("*", F.inline(F.array(parsed)))
         .withColumn("days_to_due", days_to_due(F.col("__due"), as_of))
         .withColumn("risk_state", state)
         .select(*[F.col(quoted(c)) for c in df.columns], "risk_state", "days_to_due")

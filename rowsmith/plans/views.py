@@ -10,10 +10,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-_DAY = "cast(cast(o_orderdate as date) as string)"
+# Parts that several columns use, computed once per order.
+_ORDER_PARTS = {
+    "iso_day": "cast(cast(o_orderdate as date) as string)",
+    "id_text": "lpad(cast(o_orderkey as string), 12, '0')",
+    "customer_text": "cast(o_custkey as string)",
+}
+_DAY, _ID, _CUST = _ORDER_PARTS
 _LATER = "cast(cast(o_orderdate as date) + cast(o_orderkey % 7 - 3 as int) as string)"
-_ID = "lpad(cast(o_orderkey as string), 12, '0')"
-_CUST = "cast(o_custkey as string)"
 _SCORE = "cast(floor(o_totalprice / 5000) as bigint)"
 _DEPT = "'Dept ' || substr(o_orderpriority, 1, 1)"
 
@@ -179,6 +183,8 @@ def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A derived view; ``src`` reads each base row once and repeats some."""
     base, columns = BASE[name]
     rows = table(spark, folder, base)
+    if base == "orders":
+        rows = rows.selectExpr("*", *[f"{sql} as {part}" for part, sql in _ORDER_PARTS.items()])
     if name == "src":
         rows = rows.selectExpr("*", f"explode(sequence(0, {_COPIES} - 1)) as copy")
     return rows.selectExpr(*[f"{sql} as {column}" for column, sql in columns.items()])
@@ -188,6 +194,9 @@ def view_sql(name: str) -> str:
     """The same view as a query of the checking database."""
     base, columns = BASE[name]
     select = ", ".join(f"{sql} as {column}" for column, sql in columns.items())
+    if base == "orders":
+        parts = ", ".join(f"{sql} as {part}" for part, sql in _ORDER_PARTS.items())
+        base = f"(select *, {parts} from orders)"
     if name == "src":
         base = f"(select *, unnest(range({_COPIES})) as copy from {base})"
     return f"select {select} from {base}"

@@ -7,6 +7,24 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Public Spark settings the jobs run best with.  Rules and date layouts make long
+# expressions, and the JVM does not compile methods above 8000 bytes: stages that
+# would exceed that are better run operator by operator.
+SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply :data:`SETTINGS` to a running session."""
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session.
 
