@@ -48,6 +48,7 @@ DECISION_COLUMNS = (
 )
 
 ANY = "*"  # department of a proposer group whose list ignores departments
+SEARCH_AT_ONCE = 100_000  # sources above which names are searched in three steps
 BLOCK = 1024  # target records per block
 PLAIN_RANK = 1_000_000  # largest group numbered by one window task
 LEAST = 1e-6  # below every ratio above zero
@@ -93,8 +94,12 @@ def fuzzy_match(
 
     held = cut_lineage(_hold_by_key(sources, targets))
     state = _Assignment(sources.where("nk <> ''").select("s", "nk", "dk"), targets, held, boost)
-    for level in _levels(threshold):
-        state.settle(level)
+    state.settle(1.0)
+    middle = (1.0 + threshold) / 2
+    if middle - threshold > 0.02 and state.free_sources().count() > SEARCH_AT_ONCE:
+        state.settle(middle)
+    if threshold < 1.0:
+        state.settle(threshold)
 
     best = state.best_open_scores(floor) if floor < threshold else None
     decisions = _decisions(people, targets, state.held, best, threshold)
@@ -122,16 +127,6 @@ def _people(
     )
 
 
-def _levels(threshold: float) -> list[float]:
-    """Scores at which candidates are searched, highest first.
-
-    Most records are settled at the top, where the search is cheapest; only the
-    rest is looked up further down.
-    """
-    middle = (1.0 + threshold) / 2
-    return [1.0, middle, threshold] if threshold < 0.95 else sorted({1.0, threshold})[::-1]
-
-
 def group_rank(
     df: DataFrame, group: Sequence[str], order: str, largest: int, name: str = "rank"
 ) -> DataFrame:
@@ -160,14 +155,14 @@ def group_rank(
     )
 
 
-def _largest(df: DataFrame, count: str) -> int:
-    return df.agg(F.max(count)).first()[0] or 0
+def _largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.max("n")).first()[0] or 0
 
 
 def _in_blocks(targets: DataFrame) -> DataFrame:
     """Add the block number of each target within its name and department."""
-    sizes = targets.groupBy("nk", "dk").agg(F.count(F.lit(1)).alias("n"))
-    ranked = group_rank(targets, ["nk", "dk"], "t", _largest(sizes, "n"))
+    ranked = group_rank(targets, ["nk", "dk"], "t", _largest_group(targets, ["nk", "dk"]))
     return ranked.withColumn("block", F.floor((F.col("rank") - 1) / BLOCK)).drop("rank")
 
 
@@ -183,13 +178,18 @@ def _hold_by_key(sources: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 class _Assignment:
-    """The targets held so far and the rounds that change them."""
+    """The targets held so far and the rounds that change them.
+
+    Candidates are searched from high scores to low: most records are settled at
+    the top, where the search is cheapest, and only the rest is looked up below.
+    """
 
     def __init__(self, sources: DataFrame, targets: DataFrame, held: DataFrame, boost: float):
         self.sources = sources
         self.targets = targets
         self.held = held
         self.boost = boost
+        self.largest = _largest_group(sources, ["nk"])
         self.target_names = targets.where("nk <> ''").select("nk", "dk").distinct()
 
     def free_sources(self) -> DataFrame:
@@ -197,20 +197,38 @@ class _Assignment:
 
     def settle(self, level: float) -> None:
         """Run rounds until no free source can get a target scoring ``level``."""
-        known: DataFrame | None = None
-        searched: DataFrame | None = None
+        names = cut_lineage(self.free_sources().select("nk", "dk").distinct())
+        members, edges = self.search(names, level)
         while True:
-            free = cut_lineage(self.free_sources())
-            names = free.select("nk", "dk").distinct()
-            if searched is not None:
-                names = names.join(searched, ["nk", "dk"], "left_anti")
-            names = cut_lineage(names)
-            if not names.isEmpty():
-                fresh = self.edges(names, level)
-                known = cut_lineage(fresh if known is None else known.unionByName(fresh))
-                searched = cut_lineage(names if searched is None else searched.union(names))
-            if not self.propose(free, known, level):
+            displaced, again = self.propose(members, edges, level)
+            if not again:
                 return
+            if not displaced:
+                continue
+            # Displaced sources may have names that were not searched yet.
+            late = self.free_sources().select("nk", "dk").distinct()
+            late = cut_lineage(late.join(names, ["nk", "dk"], "left_anti"))
+            if not late.isEmpty():
+                more_members, more_edges = self.search(late, level)
+                members = cut_lineage(members.unionByName(more_members))
+                edges = cut_lineage(edges.unionByName(more_edges))
+                names = cut_lineage(names.unionByName(late))
+
+    def search(self, names: DataFrame, level: float) -> tuple[DataFrame, DataFrame]:
+        """Proposer groups of the names and the edges of each group.
+
+        Sources whose only target name is their own rank all targets of that name
+        alike, whatever the department: they propose as one group.
+        """
+        edges = cut_lineage(self.edges(names, level))
+        own_only = F.bool_and((F.col("tnk") == F.col("nk")) & (F.col("ratio") == 1.0))
+        members = cut_lineage(
+            edges.groupBy("nk", "dk")
+            .agg(own_only.alias("alike"))
+            .select("nk", "dk", F.when(F.col("alike"), F.lit(ANY)).otherwise(F.col("dk")).alias("g"))
+        )
+        grouped = edges.join(members, ["nk", "dk"]).select("nk", "g", "tnk", "ratio", "only_dk")
+        return members, cut_lineage(grouped.distinct())
 
     def edges(self, names: DataFrame, level: float) -> DataFrame:
         """Target names whose score can reach ``level`` for each source name group.
@@ -240,48 +258,36 @@ class _Assignment:
             boosted.select("nk", "dk", "tnk", "ratio", F.col("dk").alias("only_dk"))
         )
 
-    def score(self) -> Column:
-        """Score of an edge for targets of department ``tdk``."""
+    def score(self, department: str) -> Column:
+        """Score of an edge from ``department`` to targets of department ``tdk``."""
         if not self.boost:
             return F.col("ratio")
-        same = (F.col("dk") != "") & (F.col("dk") == F.col("tdk"))
+        same = (F.col(department) != "") & (F.col(department) == F.col("tdk"))
         lifted = F.least(F.lit(1.0), F.col("ratio") + F.lit(self.boost))
         return F.when(same, lifted).otherwise(F.col("ratio"))
 
     def open_targets(self) -> DataFrame:
         """Targets with the ordinal of their holder."""
-        return self.targets.where("nk <> ''").select(
-            "t", F.col("nk").alias("tnk"), F.col("dk").alias("tdk"), "block"
-        ).join(self.held.select("t", F.col("s").alias("holder")), "t", "left").withColumn(
-            "holder", F.coalesce("holder", F.lit(_NEVER))
+        return (
+            self.targets.where("nk <> ''")
+            .select("t", F.col("nk").alias("tnk"), F.col("dk").alias("tdk"), "block")
+            .join(self.held.select("t", F.col("s").alias("holder")), "t", "left")
+            .withColumn("holder", F.coalesce("holder", F.lit(_NEVER)))
         )
 
-    def propose(self, free: DataFrame, edges: DataFrame | None, level: float) -> bool:
-        """One round; False when no proposal was accepted."""
-        if edges is None:
-            return False
-        # Sources whose only target name is their own rank all targets of that
-        # name alike, whatever the department: they propose as one group.
-        alike = edges.groupBy("nk").agg(
-            F.bool_and((F.col("tnk") == F.col("nk")) & (F.col("ratio") == 1.0)).alias("alike")
-        ).where("alike").select("nk", "alike")
-
-        def grouped(df: DataFrame) -> DataFrame:
-            return df.join(alike, "nk", "left").withColumn(
-                "dk", F.when(F.col("alike"), F.lit(ANY)).otherwise(F.col("dk"))
-            ).drop("alike")
-
-        waiting = grouped(free)
-        groups = cut_lineage(
-            waiting.groupBy("nk", "dk")
+    def propose(self, members: DataFrame, edges: DataFrame, level: float) -> tuple[int, bool]:
+        """One round: the number of displaced holders, and whether another round can
+        change anything.  It cannot once every source of a group that was offered
+        a target got one and nobody was displaced."""
+        group = ["nk", "g"]
+        waiting = self.free_sources().join(members, ["nk", "dk"]).select("s", *group).persist()
+        groups = (
+            waiting.groupBy(*group)
             .agg(F.count(F.lit(1)).alias("k"), F.min("s").alias("first_s"))
-            .join(grouped(edges).distinct(), ["nk", "dk"])
+            .join(edges, group)
+            .persist()
         )
-        largest = _largest(groups, "k")
-        if not largest:
-            return False
-
-        targets = cut_lineage(self.open_targets().join(groups.select("tnk"), "tnk", "left_semi"))
+        targets = self.open_targets().join(groups.select("tnk"), "tnk", "left_semi").persist()
         reachable = self.reachable_blocks(groups, targets, level)
         listed = reachable.join(targets, ["tnk", "tdk", "block"]).where(
             F.col("holder") > F.col("first_s")
@@ -289,24 +295,36 @@ class _Assignment:
         # The list is cut at the number of proposers, which is exact: the j-th of
         # them proposes to the j-th target.
         offers = group_rank(
-            listed.select("nk", "dk", "k", "t", "score"), ["nk", "dk"], "t", largest
+            listed.select(*group, "k", "t", "score", "holder"), group, "t", self.largest
         ).where(F.col("rank") <= F.col("k"))
-        bids = group_rank(waiting, ["nk", "dk"], "s", largest).join(
-            offers, ["nk", "dk", "rank"]
-        ).select("t", "s", "score")
-
-        winners = bids.groupBy("t").agg(F.min_by(F.struct("s", "score"), "s").alias("bid"))
-        accepted = cut_lineage(
-            winners.join(targets.select("t", "holder"), "t")
-            .where(F.col("bid.s") < F.col("holder"))
-            .select("t", "bid.s", "bid.score", F.lit(False).alias("by_key"))
-        )
-        if accepted.isEmpty():
-            return False
-        self.held = cut_lineage(
-            self.held.join(accepted.select("t"), "t", "left_anti").unionByName(accepted)
+        bids = group_rank(waiting, group, "s", self.largest).join(offers, [*group, "rank"])
+        # k of every group with an offer, counted once, travels with its first bid.
+        hoped = F.when(F.col("rank") == 1, F.col("k"))
+        outcome = (
+            bids.groupBy("t")
+            .agg(
+                F.min_by(F.struct("s", "score"), "s").alias("bid"),
+                F.min("holder").alias("holder"),
+                F.sum(hoped).alias("hoped"),
+            )
+            .persist()
         )
-        return True
+        won = F.col("bid.s") < F.col("holder")
+        counts = outcome.agg(
+            F.count_if(won).alias("accepted"),
+            F.count_if(won & (F.col("holder") < F.lit(_NEVER))).alias("displaced"),
+            F.coalesce(F.sum("hoped"), F.lit(0)).alias("hoped"),
+        ).first()
+        if counts.accepted:
+            accepted = outcome.where(won).select(
+                "t", "bid.s", "bid.score", F.lit(False).alias("by_key")
+            )
+            self.held = cut_lineage(
+                self.held.join(accepted.select("t"), "t", "left_anti").unionByName(accepted)
+            )
+        for df in (waiting, groups, targets, outcome):
+            df.unpersist()
+        return counts.displaced, counts.displaced > 0 or counts.accepted < counts.hoped
 
     def block_states(self, targets: DataFrame) -> DataFrame:
         return targets.groupBy("tnk", "tdk", "block").agg(
@@ -323,8 +341,8 @@ class _Assignment:
         source, else with its free targets; blocks after the ``k`` targets so
         counted cannot be among the first ``k``.
         """
-        best = Window.partitionBy("nk", "dk")
-        before = Window.partitionBy("nk", "dk", "tnk", "tdk").orderBy("block").rowsBetween(
+        best = Window.partitionBy("nk", "g")
+        before = Window.partitionBy("nk", "g", "tnk", "tdk").orderBy("block").rowsBetween(
             Window.unboundedPreceding, -1
         )
         sure = F.when(F.col("low_holder") > F.col("first_s"), F.col("n")).otherwise(
@@ -334,13 +352,13 @@ class _Assignment:
             groups.join(self.block_states(targets), "tnk")
             .where(F.col("only_dk").isNull() | (F.col("only_dk") == F.col("tdk")))
             .where(F.col("high_holder") > F.col("first_s"))
-            .withColumn("score", self.score())
+            .withColumn("score", self.score("g"))
             .where(F.col("score") >= level)
             .withColumn("top", F.max("score").over(best))
             .where(F.col("score") == F.col("top"))
             .withColumn("passed", F.coalesce(F.sum(sure).over(before), F.lit(0)))
             .where(F.col("passed") < F.col("k"))
-            .select("nk", "dk", "k", "first_s", "tnk", "tdk", "block", "score")
+            .select("nk", "g", "k", "first_s", "tnk", "tdk", "block", "score")
         )
 
     def best_open_scores(self, floor: float) -> DataFrame:
@@ -354,7 +372,7 @@ class _Assignment:
             .join(states, "tnk")
             .where(F.col("only_dk").isNull() | (F.col("only_dk") == F.col("tdk")))
             .where(F.col("high_holder") > F.col("s"))
-            .select("s", self.score().alias("score"))
+            .select("s", self.score("dk").alias("score"))
             .where(F.col("score") >= floor)
         )
         if self.boost and floor <= self.boost:
