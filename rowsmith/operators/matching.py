@@ -12,7 +12,8 @@ again.  Three things keep the rounds small:
 
 * names are compared, not records: records that share a name share its edges;
 * the free sources of one name (and department) propose together, the j-th of
-  them to the j-th target on their common list, so equal names need no pairs;
+  them to the j-th target on their common list, so equal names need no pairs, and
+  most names are settled in one step from ranks alone;
 * the targets of a name are kept in blocks of consecutive ordinals, and only the
   blocks the proposers can reach are expanded to records.
 """
@@ -127,34 +128,46 @@ def _people(
     )
 
 
-def group_rank(
-    df: DataFrame, group: Sequence[str], order: str, largest: int, name: str = "rank"
+def running(
+    df: DataFrame, group: Sequence[str], order: str, largest: int, **sums: Column
 ) -> DataFrame:
-    """Number the rows of each group from 1.
+    """Add running totals of 0/1 columns over each group.
 
     A group above ``PLAIN_RANK`` rows is cut into ranges of the order column that
-    are numbered apart and shifted by the count of the ranges before them.
+    are totalled apart and shifted by the totals of the ranges before them.
     """
+    marked = df.withColumns({name: mark.cast("bigint") for name, mark in sums.items()})
     if largest <= PLAIN_RANK:
-        w = Window.partitionBy(*group).orderBy(order)
-        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-    cut = df.withColumn("__range", F.floor(F.col(order) / PLAIN_RANK))
-    ranges = cut.groupBy(*group, "__range").agg(F.count(F.lit(1)).alias("n"))
+        w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        return marked.withColumns({name: F.sum(name).over(w) for name in sums})
+    cut = marked.withColumn("__range", F.floor(F.col(order) / PLAIN_RANK))
+    ranges = cut.groupBy(*group, "__range").agg(
+        *[F.sum(name).alias(f"__{name}") for name in sums]
+    )
     before = Window.partitionBy(*group).orderBy("__range").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    shifts = ranges.select(
-        *group, "__range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__shift")
+    shifts = ranges.withColumns(
+        {f"__{name}": F.coalesce(F.sum(f"__{name}").over(before), F.lit(0)) for name in sums}
+    )
+    inside = Window.partitionBy(*group, "__range").orderBy(order).rowsBetween(
+        Window.unboundedPreceding, 0
     )
-    w = Window.partitionBy(*group, "__range").orderBy(order)
     return (
-        cut.withColumn(name, F.row_number().over(w))
+        cut.withColumns({name: F.sum(name).over(inside) for name in sums})
         .join(shifts, [*group, "__range"])
-        .withColumn(name, F.col(name) + F.col("__shift"))
-        .drop("__range", "__shift")
+        .withColumns({name: F.col(name) + F.col(f"__{name}") for name in sums})
+        .drop("__range", *[f"__{name}" for name in sums])
     )
 
 
+def group_rank(
+    df: DataFrame, group: Sequence[str], order: str, largest: int, name: str = "rank"
+) -> DataFrame:
+    """Number the rows of each group from 1 by a unique order column."""
+    return running(df, group, order, largest, **{name: F.lit(1)})
+
+
 def _largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return sizes.agg(F.max("n")).first()[0] or 0
@@ -190,6 +203,7 @@ class _Assignment:
         self.held = held
         self.boost = boost
         self.largest = _largest_group(sources, ["nk"])
+        self.largest_target = _largest_group(targets, ["nk"])
         self.target_names = targets.where("nk <> ''").select("nk", "dk").distinct()
 
     def free_sources(self) -> DataFrame:
@@ -197,8 +211,15 @@ class _Assignment:
 
     def settle(self, level: float) -> None:
         """Run rounds until no free source can get a target scoring ``level``."""
-        names = cut_lineage(self.free_sources().select("nk", "dk").distinct())
+        names = self.free_sources().select("nk", "dk").distinct()
+        if level >= 1.0:
+            # All departments of these names: their holders may be displaced.
+            names = self.sources.join(names.select("nk").distinct(), "nk", "left_semi")
+            names = names.select("nk", "dk").distinct()
+        names = cut_lineage(names)
         members, edges = self.search(names, level)
+        if level >= 1.0:
+            self.settle_alike(members)
         while True:
             displaced, again = self.propose(members, edges, level)
             if not again:
@@ -214,6 +235,79 @@ class _Assignment:
                 edges = cut_lineage(edges.unionByName(more_edges))
                 names = cut_lineage(names.unionByName(late))
 
+    def settle_alike(self, members: DataFrame) -> None:
+        """Settle names whose sources rank all targets of the name alike at once.
+
+        Let the targets of such a name be t1, t2, ..., some held by the owner of
+        their key, and let f be the free sources.  Serving in order means that
+        target i takes the earliest of the sources that wait, its own owner
+        included, so the first i targets get the i earliest of f and of the owners
+        of t1..ti.  Hence source x gets the first target up to which as many are
+        free or owned later than x as there are members of f up to x.  Where
+        owners come in target order, that target has a closed form in ranks, and a
+        chain in which every source displaces the next takes no rounds.
+
+        Names with other holders or other orders are left to the rounds.
+        """
+        alike = members.groupBy("nk").agg(F.bool_and(F.col("g") == ANY).alias("alike"))
+        pure = alike.where("alike").select("nk")
+        held = self.held.select("t", F.col("s").alias("owner"))
+        owners = self.sources.select(F.col("s").alias("owner"), F.col("nk").alias("owner_nk"))
+        owned = F.col("owner").isNotNull()
+        targets = running(
+            self.targets.select("t", "nk").join(pure, "nk", "left_semi")
+            .join(held, "t", "left").join(owners, "owner", "left"),
+            ["nk"], "t", self.largest_target,
+            pos=F.lit(1), taken=F.when(owned, 1).otherwise(0),
+        ).persist()
+        # Sources that hold a target of another name do not take part.
+        mine = targets.where(owned).select(F.col("owner").alias("s"), F.lit(True).alias("mine"))
+        waiting = self.free_sources().select("s", F.lit(True).alias("waiting"))
+        own = F.when(F.col("mine"), 1).otherwise(0)
+        people = running(
+            self.sources.select("s", "nk").join(pure, "nk", "left_semi")
+            .join(waiting, "s", "left").join(mine, "s", "left")
+            .where("waiting or mine"),
+            ["nk"], "s", self.largest,
+            wait_rank=F.when(F.col("waiting"), 1).otherwise(0), own_rank=own,
+        )
+        seats = targets.where(owned).select(
+            F.col("owner").alias("s"), F.col("t").alias("own_t"), "taken",
+            (F.col("pos") - F.col("taken")).alias("free_before"),
+        )
+        people = people.join(seats, "s", "left").persist()
+        simple = targets.select("nk").distinct().join(
+            targets.where(owned).groupBy("nk").agg(F.count_if(
+                F.col("owner_nk").isNull() | (F.col("owner_nk") != F.col("nk"))
+            ).alias("foreign")), "nk", "left",
+        ).join(
+            people.where("mine").groupBy("nk").agg(
+                F.count_if(F.col("taken") != F.col("own_rank")).alias("unordered")
+            ), "nk", "left",
+        ).where("coalesce(foreign, 0) = 0 and coalesce(unordered, 0) = 0").select("nk")
+        people = people.join(simple, "nk", "left_semi")
+
+        stay = F.col("mine") & (F.col("free_before") >= F.col("wait_rank"))
+        stays = people.where(stay).select(F.col("own_t").alias("t"), "s", F.lit(True).alias("by_key"))
+        free_seats = targets.where(~owned).select(
+            "nk", (F.col("pos") - F.col("taken")).alias("wait_rank"), F.col("pos").alias("free_pos")
+        )
+        shifted = F.col("wait_rank") + F.col("own_rank")
+        moves = (
+            people.where(~F.coalesce(stay, F.lit(False)))
+            .join(free_seats, ["nk", "wait_rank"], "left")
+            .withColumn("pos", F.least(shifted, F.coalesce("free_pos", shifted)))
+            .join(targets.select("nk", "pos", "t"), ["nk", "pos"])
+            .select("t", "s", F.lit(False).alias("by_key"))
+        )
+        rest = self.held.join(
+            targets.join(simple, "nk", "left_semi").select("t"), "t", "left_anti"
+        )
+        new = stays.unionByName(moves).select("t", "s", F.lit(1.0).alias("score"), "by_key")
+        self.held = cut_lineage(rest.unionByName(new))
+        targets.unpersist()
+        people.unpersist()
+
     def search(self, names: DataFrame, level: float) -> tuple[DataFrame, DataFrame]:
         """Proposer groups of the names and the edges of each group.
 
@@ -316,11 +410,16 @@ class _Assignment:
             F.coalesce(F.sum("hoped"), F.lit(0)).alias("hoped"),
         ).first()
         if counts.accepted:
-            accepted = outcome.where(won).select(
-                "t", "bid.s", "bid.score", F.lit(False).alias("by_key")
-            )
+            # An outer join keeps the partitioning by target; a union would add to it
+            # in every round.
+            new = outcome.where(won).select("t", "bid")
             self.held = cut_lineage(
-                self.held.join(accepted.select("t"), "t", "left_anti").unionByName(accepted)
+                self.held.join(new, "t", "full_outer").select(
+                    "t",
+                    F.coalesce("bid.s", "s").alias("s"),
+                    F.coalesce("bid.score", "score").alias("score"),
+                    (F.col("bid").isNull() & F.col("by_key")).alias("by_key"),
+                )
             )
         for df in (waiting, groups, targets, outcome):
             df.unpersist()
