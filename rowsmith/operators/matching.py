@@ -11,9 +11,9 @@ source, every target keeps the earliest proposer, and the displaced ones propose
 again.  Three things keep the rounds small:
 
 * names are compared, not records: records that share a name share its edges;
-* the free sources of one name (and department) propose together, the j-th of
-  them to the j-th target on their common list, so equal names need no pairs, and
-  most names are settled in one step from ranks alone;
+* the free sources of one name (and department) propose together, each to a place
+  of its own on their common list, so equal names need no pairs, and most names
+  are settled in one step from ranks alone;
 * the targets of a name are kept in blocks of consecutive ordinals, and only the
   blocks the proposers can reach are expanded to records.
 """
@@ -129,35 +129,47 @@ def _people(
 
 
 def running(
-    df: DataFrame, group: Sequence[str], order: str, largest: int, **sums: Column
+    df: DataFrame, group: Sequence[str], order: str, largest: int, **totals: Column
 ) -> DataFrame:
-    """Add running totals of 0/1 columns over each group.
+    """Add the running total of each column over each group."""
+    return _running(df, group, order, largest, totals, F.sum, lambda now, before: now + before, 0)
 
-    A group above ``PLAIN_RANK`` rows is cut into ranges of the order column that
-    are totalled apart and shifted by the totals of the ranges before them.
-    """
-    marked = df.withColumns({name: mark.cast("bigint") for name, mark in sums.items()})
+
+def running_max(
+    df: DataFrame, group: Sequence[str], order: str, largest: int, **maxima: Column
+) -> DataFrame:
+    """Add the running maximum of each column over each group."""
+    return _running(df, group, order, largest, maxima, F.max, F.greatest, -_NEVER)
+
+
+def _running(df, group, order, largest, columns, aggregate, merge, neutral) -> DataFrame:
+    """A group above ``PLAIN_RANK`` rows is cut into ranges of the order column; each
+    is aggregated apart and merged with the aggregate of the ranges before it."""
+    marked = df.withColumns({name: c.cast("bigint") for name, c in columns.items()})
     if largest <= PLAIN_RANK:
         w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        return marked.withColumns({name: F.sum(name).over(w) for name in sums})
+        return marked.withColumns({name: aggregate(name).over(w) for name in columns})
     cut = marked.withColumn("__range", F.floor(F.col(order) / PLAIN_RANK))
     ranges = cut.groupBy(*group, "__range").agg(
-        *[F.sum(name).alias(f"__{name}") for name in sums]
+        *[aggregate(name).alias(f"__{name}") for name in columns]
     )
     before = Window.partitionBy(*group).orderBy("__range").rowsBetween(
         Window.unboundedPreceding, -1
     )
     shifts = ranges.withColumns(
-        {f"__{name}": F.coalesce(F.sum(f"__{name}").over(before), F.lit(0)) for name in sums}
+        {
+            f"__{name}": F.coalesce(aggregate(f"__{name}").over(before), F.lit(neutral))
+            for name in columns
+        }
     )
     inside = Window.partitionBy(*group, "__range").orderBy(order).rowsBetween(
         Window.unboundedPreceding, 0
     )
     return (
-        cut.withColumns({name: F.sum(name).over(inside) for name in sums})
+        cut.withColumns({name: aggregate(name).over(inside) for name in columns})
         .join(shifts, [*group, "__range"])
-        .withColumns({name: F.col(name) + F.col(f"__{name}") for name in sums})
-        .drop("__range", *[f"__{name}" for name in sums])
+        .withColumns({name: merge(F.col(name), F.col(f"__{name}")) for name in columns})
+        .drop("__range", *[f"__{name}" for name in columns])
     )
 
 
@@ -377,7 +389,11 @@ class _Assignment:
         waiting = self.free_sources().join(members, ["nk", "dk"]).select("s", *group).persist()
         groups = (
             waiting.groupBy(*group)
-            .agg(F.count(F.lit(1)).alias("k"), F.min("s").alias("first_s"))
+            .agg(
+                F.count(F.lit(1)).alias("k"),
+                F.min("s").alias("first_s"),
+                F.max("s").alias("last_s"),
+            )
             .join(edges, group)
             .persist()
         )
@@ -386,12 +402,7 @@ class _Assignment:
         listed = reachable.join(targets, ["tnk", "tdk", "block"]).where(
             F.col("holder") > F.col("first_s")
         )
-        # The list is cut at the number of proposers, which is exact: the j-th of
-        # them proposes to the j-th target.
-        offers = group_rank(
-            listed.select(*group, "k", "t", "score", "holder"), group, "t", self.largest
-        ).where(F.col("rank") <= F.col("k"))
-        bids = group_rank(waiting, group, "s", self.largest).join(offers, [*group, "rank"])
+        bids = self.bids(waiting, listed.select(*group, "k", "t", "score", "holder"), group)
         # k of every group with an offer, counted once, travels with its first bid.
         hoped = F.when(F.col("rank") == 1, F.col("k"))
         outcome = (
@@ -425,6 +436,27 @@ class _Assignment:
             df.unpersist()
         return counts.displaced, counts.displaced > 0 or counts.accepted < counts.hoped
 
+    def bids(self, waiting: DataFrame, listed: DataFrame, group: list[str]) -> DataFrame:
+        """The target each waiting source proposes to.
+
+        Let ``first`` be the first place on the group's list whose holder comes
+        after the source.  Source j takes the first place that is neither before
+        its ``first`` nor taken by sources 1..j-1 of the group: ``j`` plus the
+        running maximum of ``first - j``.  No place it could get is passed over.
+        """
+        size = max(self.largest, self.largest_target)
+        offers = group_rank(listed, group, "t", size, name="place")
+        reach = running_max(offers, group, "t", size, reach=F.col("holder"))
+        passed = running(
+            reach.select(*group, F.col("reach").alias("v"), F.lit(None).cast("bigint").alias("s"))
+            .unionByName(waiting.select(*group, F.col("s").alias("v"), "s")),
+            group, "v", size, passed=F.when(F.col("s").isNull(), 1).otherwise(0),
+        ).where("s is not null")
+        ranked = group_rank(passed.drop("v"), group, "s", size)
+        ahead = running_max(ranked, group, "s", size, ahead=F.col("passed") + 1 - F.col("rank"))
+        placed = ahead.withColumn("place", F.col("rank") + F.col("ahead"))
+        return placed.join(offers, [*group, "place"])
+
     def block_states(self, targets: DataFrame) -> DataFrame:
         return targets.groupBy("tnk", "tdk", "block").agg(
             F.count(F.lit(1)).alias("n"),
@@ -436,15 +468,15 @@ class _Assignment:
     def reachable_blocks(self, groups: DataFrame, targets: DataFrame, level: float) -> DataFrame:
         """Blocks with the best score a group can get, as many as it needs.
 
-        A block counts in full once all its holders come after the group's first
-        source, else with its free targets; blocks after the ``k`` targets so
-        counted cannot be among the first ``k``.
+        A block counts in full once all its holders come after the group's last
+        source, else with its free targets.  After ``k`` targets so counted every
+        source of the group has found one.
         """
         best = Window.partitionBy("nk", "g")
         before = Window.partitionBy("nk", "g", "tnk", "tdk").orderBy("block").rowsBetween(
             Window.unboundedPreceding, -1
         )
-        sure = F.when(F.col("low_holder") > F.col("first_s"), F.col("n")).otherwise(
+        sure = F.when(F.col("low_holder") > F.col("last_s"), F.col("n")).otherwise(
             F.col("n_free")
         )
         return (

@@ -149,7 +149,7 @@ def test_hot_name_with_owners_in_order(spark, small_limits):
 
 
 def test_hot_name_with_owners_in_any_order(spark):
-    source, target = crowd(11, 16, 1, 0.0, "abcdefgh", teams=("a", ""), blank=0.0)
+    source, target = crowd(11, 40, 1, 0.0, "abcdefgh", teams=("a", ""), blank=0.0)
     check(spark, source, target, floor=None)
 
 
