@@ -513,6 +513,25 @@ def _(spark, folder):
     )
 
 
+@query("run_manifest")
+def _(spark, folder):
+    artifacts = view(spark, folder, "artifacts")
+    manifest = runs.run_manifest(
+        "run-1",
+        "success",
+        "2024-02-01T00:00:00+00:00",
+        typed_steps(view(spark, folder, "steps")),
+        artifacts.where("relative_path like 'reports/%'"),
+        artifacts.where("relative_path like 'logs/%'"),
+        paths={"log_file": "logs/run-1.log"},
+        log_size=12,
+    )
+    return manifest.header.select(
+        "run_id", "status", "generated_utc", "paths.log_file", "counts.*", "log.exists",
+        F.col("log.size_bytes").alias("log_size_bytes"),
+    )
+
+
 @query("history_upsert")
 def _(spark, folder):
     history = view(spark, folder, "runs")

@@ -247,7 +247,12 @@ STEPS = f"""select trim(step) as step, {_STEP_INT.format('attempt', '')},
     {_STEP_INT.format('max_attempts', '')}, status, {_STEP_INT.format('exit_code', '-?')},
     start_utc, end_utc, {_STEP_INT.format('duration_seconds', '')} from steps"""
 
-_RUN_COUNTS = ["report_files", "output_files", "steps_total", "steps_failed", "steps_retried"]
+RUN_TOTALS = """(select count(*) filter (relative_path like 'reports/%') as report_files,
+        count(*) filter (relative_path like 'logs/%') as output_files,
+        count(*) filter (relative_path like 'reports/%' or relative_path like 'logs/%')
+            as total_files from artifacts),
+    (select count(*) as steps_total, count(*) filter (status = 'failed') as steps_failed,
+        count(*) filter (attempt > 1) as steps_retried from typed)"""
 
 ORACLES: dict[str, str] = {
     "integrity_scorecard": TYPED_VIEWS
@@ -419,16 +424,13 @@ ORACLES: dict[str, str] = {
         'student_id' as key_column, 'score' as score_column,
         cast(50 as double) as low_score_threshold from ({ANOMALIES})""",
     "step_log": views("steps") + STEPS,
-    "run_counts": views("steps", "artifacts", typed=STEPS)
-    + """select *, steps_total, steps_failed, steps_retried from
-        (select count(*) filter (relative_path like 'reports/%') as report_files,
-            count(*) filter (relative_path like 'logs/%') as output_files,
-            count(*) filter (relative_path like 'reports/%' or relative_path like 'logs/%')
-                as total_files from artifacts),
-        (select count(*) as steps_total, count(*) filter (status = 'failed') as steps_failed,
-            count(*) filter (attempt > 1) as steps_retried from typed)""".replace(
-        "select *, steps_total, steps_failed, steps_retried", "select *"
-    ),
+    "run_counts": views("steps", "artifacts", typed=STEPS) + "select * from " + RUN_TOTALS,
+    "run_manifest": views("steps", "artifacts", typed=STEPS)
+    + """select 'run-1' as run_id, 'success' as status,
+        '2024-02-01T00:00:00+00:00' as generated_utc, 'logs/run-1.log' as log_file, totals.*,
+        true as exists, cast(12 as bigint) as log_size_bytes from (select * from """
+    + RUN_TOTALS
+    + ") totals",
     "history_upsert": views(
         "runs",
         entry="select * from runs where run_id <> '' order by ordinal desc limit 1",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -17,9 +19,6 @@ RUN_ENTRY = (
     + ", ".join(f"{c}: bigint" for c in COUNT_FIELDS)
     + ">"
 )
-HISTORY_SCHEMA = (
-    f"updated_utc string, max_entries bigint, total_runs bigint, runs array<struct<{RUN_ENTRY}>>"
-)
 FILE_ENTRY = "relative_path string, size_bytes bigint, modified_utc string"
 STEP_ENTRY = (
     "step string, attempt bigint, max_attempts bigint, status string, exit_code bigint, "
@@ -115,23 +114,14 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], FILE_ENTRY)
-    base = spark._jvm.org.apache.hadoop.fs.Path(root)
-    base = base.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(base).toString()
-    relative = F.regexp_replace(
-        F.substr(F.regexp_replace("path", "^([a-z0-9]+):/+", "$1:/"),
-                 F.lit(len(_one_slash(base)) + 1)), "^/+", "")
+    below = "/" + re.sub(r"^[a-zA-Z][\w+.-]*:(//[^/]*)?", "", root).strip("/") + "/"
     return files.select(
-        relative.alias("relative_path"),
+        F.substr("path", F.locate(below, F.col("path")) + F.lit(len(below))).alias("relative_path"),
         F.col("length").alias("size_bytes"),
         utc_text(F.col("modificationTime")).alias("modified_utc"),
     )
 
 
-def _one_slash(uri: str) -> str:
-    scheme, _, rest = uri.partition(":")
-    return f"{scheme}:/{rest.lstrip('/')}"
-
-
 def utc_text(ts):
     """ISO-8601 UTC text of a timestamp (under any session time zone)."""
     utc = F.to_utc_timestamp(ts, F.current_timezone())

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from ..functions.text import quoted, sql_trim
 
 ROW_IDX = "row_idx"
+MAX_BROADCAST_SPLITS = 1_000_000  # about 150 bytes each
 
 
 def read_records(
@@ -43,8 +44,9 @@ def with_row_idx(
     With ``order_by`` the caller's unique numeric order column is used as it is.
     Without it ``df`` must be a file scan (filters and projections on top are
     fine): rows are numbered densely from ``start`` in path, offset and line
-    order.  Only one count per file split is aggregated, so no row is shuffled
-    and there is no global window over rows.
+    order.  The splits are counted first, in a scan of their own; the counts are
+    broadcast while they are few, so no row is shuffled and there is no global
+    window over rows.
     """
     if order_by is not None:
         return df.withColumn(name, F.col(quoted(order_by)).cast("bigint"))
@@ -58,12 +60,18 @@ def with_row_idx(
         }
     )
     # A split is read by one task in line order, so its ids are consecutive.
-    splits = tagged.groupBy(*split).agg(F.count(F.lit(1)).alias("n"), F.min("__id").alias("first"))
+    splits = (
+        tagged.groupBy(*split)
+        .agg(F.count(F.lit(1)).alias("n"), F.min("__id").alias("first"))
+        .persist()
+    )
     in_order = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
     # One row per file split: the number of splits bounds this window, not the data.
     offsets = splits.select(
         *split, (F.coalesce(F.sum("n").over(in_order), F.lit(0)) - F.col("first")).alias("shift")
     )
+    if splits.count() <= MAX_BROADCAST_SPLITS:
+        offsets = F.broadcast(offsets)
     return (
         tagged.join(offsets, split)
         .withColumn(name, F.col("__id") + F.col("shift") + F.lit(start))
