@@ -85,11 +85,14 @@ def profile(
     )
     if approximate:
         return out
-    smallest = Window.partitionBy("ordinal").orderBy("value")
+    # The count is used, and nulls are dropped only after the rank, so that this
+    # branch asks for the same aggregate and reuses its shuffle.
+    smallest = Window.partitionBy("ordinal").orderBy(value.asc_nulls_last())
     picked = (
-        counted.where(value.isNotNull())
+        counted.where("n > 0")
         .select("ordinal", "value", F.row_number().over(smallest).alias("rn"))
         .where(F.col("rn") <= samples)
+        .where(value.isNotNull())
         .groupBy("ordinal")
         .agg(F.array_sort(F.collect_list("value")).alias("sample_values"))
     )

@@ -103,36 +103,40 @@ def reconcile_sql(
     with a null key match nothing, as SQL joins do.  The outer join is written as
     a left join plus the target rows without a partner: adaptive execution can
     split a hot key on the left side of both, which it cannot in a full outer
-    join, and null keys stay out of the shuffles.
+    join.  Null keys get a number of their own, which spreads them over the tasks.
     """
+    pair = ["__key", "__null"]
+
     def side(df: DataFrame, prefix: str) -> DataFrame:
+        key_col = F.col(quoted(key))
         return df.select(
-            F.col(quoted(key)).alias("record_key"),
+            key_col.alias("record_key"),
+            F.coalesce(key_col.cast("string"), F.lit("")).alias("__key"),
+            F.when(key_col.isNull(), F.monotonically_increasing_id()).otherwise(-1).alias("__null"),
             *[F.col(quoted(c)).cast("string").alias(f"{prefix}_{c}") for c in columns],
         )
 
     left, right = side(source, "source"), side(target, "target")
-    known_left = left.where("record_key is not null")
-    known_right = right.where("record_key is not null")
+    partners = right.where("record_key is not null").drop("record_key")
+    known = left.where("record_key is not null").select(*pair).distinct()
 
     differs = F.lit(False)
     for c in columns:
         ours, theirs = F.col(quoted(f"source_{c}")), F.col(quoted(f"target_{c}"))
         differs = differs | (F.coalesce(ours, F.lit("")) != F.coalesce(theirs, F.lit("")))
-    joined = known_left.join(known_right.withColumn("hit", F.lit(True)), "record_key", "left")
-    from_source = joined.withColumn(
+    from_source = left.join(partners.withColumn("hit", F.lit(True)), pair, "left").withColumn(
         "reconciliation_status",
-        F.when(F.col("hit").isNull(), "source_only").when(differs, "mismatch").otherwise("match"),
+        # The template labels a null source key target_only: its first test is on that key.
+        F.when(F.col("record_key").isNull(), "target_only")
+        .when(F.col("hit").isNull(), "source_only")
+        .when(differs, "mismatch")
+        .otherwise("match"),
     )
-    # The template labels a null source key target_only: its first test is on that key.
-    rest = (
-        left.where("record_key is null")
-        .unionByName(right.where("record_key is null"), allowMissingColumns=True)
-        .unionByName(
-            known_right.join(known_left.select("record_key").distinct(), "record_key", "left_anti"),
-            allowMissingColumns=True,
-        )
-        .withColumn("reconciliation_status", F.lit("target_only"))
+    rest = right.join(known, pair, "left_anti").select(
+        "record_key",
+        F.lit("target_only").alias("reconciliation_status"),
+        *[F.lit(None).cast("string").alias(f"source_{c}") for c in columns],
+        *[quoted(f"target_{c}") for c in columns],
     )
     cells = [quoted(f"{side}_{c}") for c in columns for side in ("source", "target")]
     shape = ["record_key", "reconciliation_status", *cells]

@@ -135,6 +135,19 @@ def test_row_local_jobs_do_not_shuffle(spark, people):
     assert plan(card).count("Exchange") == 2
 
 
+def test_profile_aggregates_once(people):
+    found = profile.profile(people, ["email", "score"])
+    found.collect()
+    final = plan(found).split("Initial Plan")[0]
+    assert final.count("ReusedExchange") == 1
+
+
+def test_keyed_comparison_joins_on_the_index_partitioning(spark):
+    source, target = pair(spark)
+    found = plan(reconcile.reconcile(source, target, "id", ["v"]))
+    assert found.count("Exchange hashpartitioning") == 2
+
+
 def test_flags_and_filters(spark, people):
     typed = records.apply_schema(people, T.StructType([T.StructField("score", T.LongType())]))
     flagged = checks.flag_first_issue(typed, checks.issue_checks())
