@@ -135,8 +135,9 @@ def test_row_local_jobs_do_not_shuffle(spark, people):
     assert plan(card).count("Exchange") == 2
 
 
-def test_profile_aggregates_once(people):
-    found = profile.profile(people, ["email", "score"])
+def test_profile_aggregates_once(spark):
+    df = spark.createDataFrame([("a@x", "1"), (None, "x")], "email string, score string")
+    found = profile.profile(df)
     found.collect()
     final = plan(found).split("Initial Plan")[0]
     assert final.count("ReusedExchange") == 1
