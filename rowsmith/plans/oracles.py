@@ -256,17 +256,21 @@ RUN_TOTALS = """(select count(*) filter (relative_path like 'reports/%') as repo
 
 ORACLES: dict[str, str] = {
     "integrity_scorecard": TYPED_VIEWS
-    + f"""select 'missing_or_invalid_score' as check_name, count(*) as issue_count from typed
-        where score is null or score < 0 or score > 100
-    union all select 'duplicate_student_id', count(*) from
-        (select student_id from typed group by student_id having count(*) > 1)
-    union all select 'missing_required_fields', count(*) from typed
-        where student_id is null or trim(student_id) = '' or email is null or trim(email) = ''
-        or department is null or trim(department) = ''
-    union all select 'invalid_status_values', count(*) from typed
-        where status is null or lower(trim(status)) not in {STATUSES}
-    union all select 'completed_after_due_date', count(*) from typed
-        where completed_at is not null and due_date is not null and completed_at > due_date""",
+    + f""", per_row as (select *, count(*) over (partition by student_id) as copies,
+            row_number() over (partition by student_id) as copy from typed),
+        totals as (select
+            count(*) filter (coalesce(score not between 0 and 100, true)) as bad_score,
+            count(*) filter (copies > 1 and copy = 1) as repeated,
+            count(*) filter (least(length(trim(coalesce(student_id, ''))),
+                length(trim(coalesce(email, ''))), length(trim(coalesce(department, '')))) = 0)
+                as incomplete,
+            count(*) filter (coalesce(lower(trim(status)) not in {STATUSES}, true)) as bad_status,
+            count(*) filter (coalesce(completed_at > due_date, false)) as late from per_row)
+        select unnest(['missing_or_invalid_score', 'duplicate_student_id',
+                'missing_required_fields', 'invalid_status_values', 'completed_after_due_date'])
+                as check_name,
+            unnest([bad_score, repeated, incomplete, bad_status, late]) as issue_count
+        from totals""",
     "duplicate_groups": """select l_orderkey, l_linenumber, count(*) as duplicate_count
         from lineitem group by l_orderkey, l_linenumber having count(*) > 1""",
     "duplicate_groups_records": views("src")
@@ -275,8 +279,8 @@ ORACLES: dict[str, str] = {
     "duplicate_documents": """select text, count(*) as duplicate_count
         from documents group by text having count(*) > 1""",
     "duplicate_rows": views("src")
-    + """select s.* from src s join (select student_id from src group by student_id
-        having count(*) > 1) d on d.student_id = s.student_id""",
+    + """select * exclude (copies) from (select *, count(*) over (partition by student_id)
+        as copies from src where student_id is not null) where copies > 1""",
     "duplicate_lineitems": """select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
         l_extendedprice from lineitem join (select l_orderkey, l_linenumber from lineitem
         group by l_orderkey, l_linenumber having count(*) > 1) using (l_orderkey, l_linenumber)""",
