@@ -32,6 +32,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def keep_rows(df: DataFrame, name: str, ids: DataFrame, how: str) -> DataFrame:
+    """The rows of ``df`` whose ``name`` is (``left_semi``) or is not (``left_anti``) in ``ids``.
+
+    All columns stay as they are, also columns whose names clash; null equals null.
+    """
+    columns = df.columns
+    plain = df.toDF(*[f"c{i}" for i in range(len(columns))])
+    at = columns.index(name) if name in columns else [c.lower() for c in columns].index(name.lower())
+    wanted = ids.toDF("_id")
+    joined = plain.join(wanted, F.col(f"c{at}").eqNullSafe(F.col("_id")), how)
+    return joined.toDF(*columns)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the one that ``spark.checkpoint.dir`` names.
 

@@ -5,10 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm import sharding, substrings
+from rowsmith.llm import decontamination, packing, sharding, simhash, substrings
 from rowsmith.llm.common import table
 
 
+def op2_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of 4-word shingles, linked at 4 or fewer differing bits."""
+    found = simhash.near_duplicates(table(spark, folder, "documents"), words=4, radius=4)
+    return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in one line of tokens, cut every 4096."""
+    pieces = packing.concatenate_and_cut(
+        table(spark, folder, "documents"), packing.vocabulary(), length=4096, end=2, digest=True
+    )
+    return pieces.withColumnRenamed("ids", "ids_crc32").select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of documents inside any ten consecutive words of a benchmark item."""
+    found = decontamination.overlaps(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"), width=10
+    )
+    return found.select(
+        "doc_id", "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Words of earlier passages of 20 words or more are removed."""
     kept = substrings.remove_repeats(table(spark, folder, "documents"))
@@ -23,6 +52,9 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op4_packing": op4_packing,
+    "op5_decontamination": op5_decontamination,
     "op6_substring_dedup": op6_substring_dedup,
     "op10_sharding": op10_sharding,
 }
