@@ -38,6 +38,7 @@ from rowsmith.llm.words import (
 
 _OTHER = 0xA0761D6478BD642F
 _LATE = 1 << 62
+_ANEW = U64(0xE7037ED1A0B428DB)
 
 
 def _windowed(values: np.ndarray, width: int, least: bool) -> np.ndarray:
@@ -86,8 +87,10 @@ class Segment:
             chosen = np.zeros(0, U64)
         new = np.ones(len(chosen), dtype=bool)
         new[1:] = chosen[1:] != chosen[:-1]
-        self.phrases = chosen[new]
-        self.twice = np.unique(chosen[~new])
+        # The smallest of several hashes are small ones; mixed anew they spread evenly.
+        self.named = mixed(self.named ^ _ANEW)
+        self.phrases = np.sort(mixed(chosen[new] ^ _ANEW))
+        self.twice = np.sort(mixed(np.unique(chosen[~new]) ^ _ANEW))
 
     def branching(self, shared: np.ndarray):
         """(place, hash, check) of suffixes that some other may equal, by hash and place."""
