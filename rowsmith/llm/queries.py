@@ -5,16 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm import decontamination, packing, sharding, simhash, substrings
+from rowsmith.llm import (
+    binary_output, decontamination, embeddings, packing, pii, secret_scan, sharding, simhash,
+    substrings, toxicity,
+)
 from rowsmith.llm.common import table
 
 
+def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data: base spans and what the span classifier adds."""
+    return pii.digests(pii.find(table(spark, folder, "documents"), least=0.9))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of 4-word shingles, linked at 4 or fewer differing bits."""
     found = simhash.near_duplicates(table(spark, folder, "documents"), words=4, radius=4)
     return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
 
 
+def op3_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors linked at cosine 0.95 or more."""
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"), cosine=0.95)
+
+
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in one line of tokens, cut every 4096."""
     pieces = packing.concatenate_and_cut(
@@ -46,15 +59,41 @@ def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_token_matrices(spark: SparkSession, folder: str) -> DataFrame:
+    """Sequences of 4096 ids packed best-fit-decreasing: bounds, resets and digests of the matrices."""
+    rows = binary_output.matrices(
+        table(spark, folder, "documents"), packing.vocabulary(), length=4096, end=2
+    )
+    return rows.select(
+        "sequence_id", "n_ids", "doc_ids", "starts", "bounds",
+        F.crc32("ids").alias("ids_crc32"), F.crc32("positions").alias("positions_crc32"),
+    )
+
+
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets: base spans and random strings by token efficiency."""
+    return secret_scan.find(table(spark, folder, "documents"), secret_scan.vocabulary(), most=2.0)
+
+
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """A toxicity score for every document."""
+    return toxicity.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Sixteen shards of near equal size; equal texts stay together."""
     return sharding.shard(table(spark, folder, "documents"))
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_packing": op4_packing,
     "op5_decontamination": op5_decontamination,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_token_matrices": op7_token_matrices,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
 }
