@@ -5,17 +5,37 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = f"{tempfile.mkdtemp(prefix='rowsmith-code-')}/{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """The named columns alone, in this order.
 
     Columns are found by exact name first, then without regard to case, so that extra
     columns whose names clash with ours, or differ from them in case only, do no harm.
     """
+    ship(df.sparkSession)
     columns = df.columns
     plain = df.toDF(*[f"c{i}" for i in range(len(columns))])
     chosen = []

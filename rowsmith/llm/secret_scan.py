@@ -15,7 +15,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from rowsmith.llm.common import pick
+from rowsmith.llm.common import pick, ship
 from rowsmith.llm.spans import Span, apart, digest, joined
 
 BASE = ["assign", "access", "hex"]
@@ -160,5 +160,6 @@ def redact(docs: DataFrame, path: str, most: float = 2.0, mask: str = "[SECRET]"
                 arrays[long] = pa.array(sizes, batch.schema.field(long).type)
             yield pa.RecordBatch.from_arrays(arrays, schema=batch.schema)
 
+    ship(docs.sparkSession)
     plain = docs.toDF(*[f"c{i}" for i in range(len(columns))])
     return plain.mapInArrow(run, plain.schema).toDF(*columns)
