@@ -29,6 +29,11 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def place(columns: list[str], name: str) -> int:
+    """Where a column stands: by exact name, else without regard to case."""
+    return columns.index(name) if name in columns else [c.lower() for c in columns].index(name.lower())
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """The named columns alone, in this order.
 
@@ -40,11 +45,7 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     plain = df.toDF(*[f"c{i}" for i in range(len(columns))])
     chosen = []
     for name in names:
-        if name in columns:
-            at = columns.index(name)
-        else:
-            at = [c.lower() for c in columns].index(name.lower())
-        chosen.append(F.col(f"c{at}").alias(name))
+        chosen.append(F.col(f"c{place(columns, name)}").alias(name))
     return plain.select(*chosen)
 
 
@@ -59,7 +60,7 @@ def keep_rows(df: DataFrame, name: str, ids: DataFrame, how: str) -> DataFrame:
     """
     columns = df.columns
     plain = df.toDF(*[f"c{i}" for i in range(len(columns))])
-    at = columns.index(name) if name in columns else [c.lower() for c in columns].index(name.lower())
+    at = place(columns, name)
     wanted = ids.toDF("_id")
     joined = plain.join(wanted, F.col(f"c{at}").eqNullSafe(F.col("_id")), how)
     return joined.toDF(*columns)

@@ -15,7 +15,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from rowsmith.llm.common import pick, ship
+from rowsmith.llm.common import pick, place, ship
 from rowsmith.llm.spans import Span, apart, digest, joined
 
 BASE = ["assign", "access", "hex"]
@@ -33,8 +33,9 @@ _RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+")
 _DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 _DIGESTS = {32, 40, 56, 64, 96, 128}
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
-#: Identifiers: words of letters, each with at most three digits after it, joined by marks.
-_NAME = re.compile(r"(?:[A-Za-z]{2,}+[0-9]{0,3}(?:[-_/+=]+|\Z|(?=[A-Z])))+\Z")
+#: Identifiers: parts between marks, each one word or several in camel case, with few digits.
+_PART = r"(?:(?:[A-Z]?[a-z]{2,}+[0-9]{0,4}+)++|[A-Z]{2,}+[0-9]{0,4}+|[A-Za-z]?[0-9]{1,4}+)"
+_NAME = re.compile(rf"[-_/+=]*{_PART}(?:[-_/+=]++{_PART})*+[-_/+=]*\Z")
 _NUMBER = re.compile(r"[0-9+/_=-]+\Z")
 
 
@@ -146,7 +147,7 @@ def redact(docs: DataFrame, path: str, most: float = 2.0, mask: str = "[SECRET]"
     ``n_chars``, where there is such a column, is the length of the masked text.
     """
     columns = docs.columns
-    at = columns.index("text")
+    at = place(columns, "text")
     long = columns.index("n_chars") if "n_chars" in columns else None
 
     def run(batches):

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith.llm.common import components, keep_rows, pick, written
+from rowsmith.llm.common import components, pick, place, written
 from rowsmith.llm.words import U64
 
 BITS = 64
@@ -62,7 +62,9 @@ def _fingerprints(words: int):
             texts = batch.column(1).cast(pa.large_binary())
             prints = [fingerprint(t.as_py() or b"", words) for t in texts]
             column = pa.array(np.array(prints, dtype=U64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), column], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), column, batch.column(2)], names=["doc_id", "fp", "text_key"]
+            )
 
     return run
 
@@ -212,23 +214,35 @@ def near_duplicates(
     docs: DataFrame, words: int = 4, radius: int = 4, block: int = 1024,
     id_column: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """(doc_id, fp, component_id) of every row; ``component_id`` is the smallest id reachable.
+    """(doc_id, fp, component_id, root, text_key) of every row.
 
-    Null and empty texts have fingerprint zero and link like any other; rows without an id
-    are linked but name no component unless it has no other id.  Repeated rows stay.
+    ``component_id`` is the smallest id reachable, ``root`` the smallest fingerprint, and
+    ``text_key`` a hash of the text.  Null and empty texts have fingerprint zero and link
+    like any other.  Rows without an id are linked, but name no component unless it has no
+    other id; then its id is null.  Repeated rows stay.
     """
-    rows = pick(docs, id_column, text)
+    rows = pick(docs, id_column, text).toDF("doc_id", "text")
     id_type = rows.schema[0].dataType.simpleString()
-    found = written(rows.mapInArrow(_fingerprints(words), f"doc_id {id_type}, fp long"))
+    keyed = rows.withColumn("text_key", _text_key(F.col("text")))
+    found = written(
+        keyed.mapInArrow(_fingerprints(words), f"doc_id {id_type}, fp long, text_key long")
+    )
     prints = written(found.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(link_trees(prints.select("fp"), radius, block))
-    named = prints.join(roots, F.col("fp") == F.col("node"), "left").select(
-        F.col("fp").alias("f"), "least", F.coalesce("root", "fp").alias("root")
+    named = written(
+        prints.join(roots, F.col("fp") == F.col("node"), "left").select(
+            F.col("fp").alias("f"), "least", F.coalesce("root", "fp").alias("root")
+        )
+    )
+    least = named.groupBy(F.col("root").alias("r")).agg(F.min("least").alias("component_id"))
+    named = named.join(least, F.col("root") == F.col("r")).select("f", "component_id", "root")
+    return found.join(named, F.col("fp") == F.col("f"), "left").select(
+        "doc_id", "fp", "component_id", "root", "text_key"
     )
-    named = written(named)
-    least = named.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "r")
-    named = named.join(least, F.col("root") == F.col("r")).select("f", "component_id")
-    return found.join(named, F.col("fp") == F.col("f"), "left").select("doc_id", "fp", "component_id")
+
+
+def _text_key(text):
+    return F.when(text.isNull(), F.lit(0)).otherwise(F.xxhash64(text))
 
 
 def hexadecimal(column):
@@ -236,15 +250,23 @@ def hexadecimal(column):
 
 
 def keep_one(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
-    """One row of each component: the one with the smallest id, all columns kept.
+    """One row of each component, all columns kept: the one with the smallest id.
 
-    Rows without an id fall away where their component has another; of rows with the same
-    id one stays.
+    Rows without an id stand behind all others; among rows with the same id the hash of the
+    text decides, and of rows repeated in full one stays.
     """
     found = written(near_duplicates(docs, words, radius))
-    kept = keep_rows(docs, "doc_id", found.select("component_id").distinct(), "left_semi")
-    if found.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    columns = kept.columns
-    plain = kept.toDF(*[f"c{i}" for i in range(len(columns))])
-    return plain.dropDuplicates([f"c{columns.index('doc_id')}"]).toDF(*columns)
+    row = F.struct("doc_id", "text_key")
+    order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_key")
+    kept = found.groupBy("root").agg(F.min_by(row, order).alias("k")).select(
+        F.col("k.doc_id").alias("_id"), F.col("k.text_key").alias("_key")
+    )
+    columns = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(columns))])
+    doc, text = f"c{place(columns, 'doc_id')}", f"c{place(columns, 'text')}"
+    keyed = plain.withColumn("_text", _text_key(F.col(text)))
+    same = F.col(doc).eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key"))
+    out = keyed.join(kept, same, "left_semi")
+    if not found.groupBy("doc_id", "text_key").count().where("count > 1").isEmpty():
+        out = out.dropDuplicates([doc, "_text"])
+    return out.drop("_text").toDF(*columns)

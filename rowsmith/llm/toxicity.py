@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith.llm.common import pick, ship
+from rowsmith.llm.common import pick, place, ship
 from rowsmith.llm.words import ALNUM, LOWER, blocks, spans, word_hashes
 
 #: Bytes of the beginnings of words that are features beside whole words: endings vary.
@@ -237,7 +237,7 @@ def reject(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 yield batch.slice(first, len(keep)).filter(keep)
 
     columns = docs.columns
-    at = columns.index("text")
+    at = place(columns, "text")
     ship(docs.sparkSession)
     plain = docs.toDF(*[f"c{i}" for i in range(len(columns))])
     return plain.mapInArrow(run, plain.schema).toDF(*columns)
