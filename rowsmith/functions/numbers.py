@@ -33,9 +33,21 @@ def to_int(c: Column | str, signed: bool = False) -> Column:
     return F.when(text.rlike(r"^-?[0-9]+$" if signed else r"^[0-9]+$"), text.try_cast("bigint"))
 
 
+# The decimal texts a spreadsheet script coerces to a number, and the
+# bases of its prefixed whole numbers, which have no sign.
+COERCED = r"^[+-]?(?:Infinity|(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)$"
+PREFIXED = {16: "^0[xX][0-9a-fA-F]+$", 8: "^0[oO][0-7]+$", 2: "^0[bB][01]+$"}
+
+
 def lenient_number(c: Column | str) -> Column:
-    """Blank counts as 0; text that is not a number gives null."""
-    return F.when(norm(c) == "", F.lit(0.0)).otherwise(to_number(c))
+    """Blank counts as 0; text that a script does not coerce to a number gives null."""
+    text = norm(c)
+    number = F.when(text == "", F.lit(0.0)).when(text.rlike(COERCED), text.try_cast("double"))
+    for base, pattern in PREFIXED.items():
+        number = number.when(
+            text.rlike(pattern), F.conv(F.substr(text, F.lit(3)), base, 10).try_cast("double")
+        )
+    return number
 
 
 def scaled_half_even(c: Column, places: int) -> Column:

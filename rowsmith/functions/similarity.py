@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import math
 import sys
-from collections import Counter
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -105,7 +104,6 @@ def least_overlap(length: int, at_least: float, q: int) -> int:
     if at_least > 0:
         low = math.floor(length * at_least / (2 - at_least))
         high = math.ceil(length * (2 - at_least) / at_least)
-        high = min(high, 20 * length + 20)
         found = [overlap_bound(length, b, at_least, q) for b in range(max(1, low), high + 1)]
         bounds = [b for b in found if b] or bounds
     return min(bounds)
@@ -114,32 +112,47 @@ def least_overlap(length: int, at_least: float, q: int) -> int:
 def grams(name: Column, at_least: float) -> Column:
     """Padded q-grams of a name, repeats numbered, as an array of text."""
     q = gram_size(at_least)
+    padded = F.concat(F.lit("\x02" * (q - 1)), name, F.lit("\x03" * (q - 1)))
+    every = F.transform(
+        F.sequence(F.lit(1), F.length(padded) - (q - 1)),
+        lambda at: F.substr(padded, at.cast("int"), F.lit(q)),
+    )
 
-    @F.pandas_udf("array<string>")
-    def split(names: pd.Series) -> pd.Series:
-        def one(text: str) -> list[str]:
-            padded = "\x02" * (q - 1) + text + "\x03" * (q - 1)
-            seen: Counter = Counter()
-            out = []
-            for i in range(len(padded) - q + 1):
-                gram = padded[i : i + q]
-                seen[gram] += 1
-                out.append(gram if seen[gram] == 1 else f"{gram}\x01{seen[gram]}")
-            return out
+    # The second of two equal grams is a gram of its own.
+    def counted(all_grams: Column) -> Column:
+        def one(gram: Column, at: Column) -> Column:
+            so_far = F.filter(F.slice(all_grams, 1, at + 1), lambda other: other == gram)
+            return F.concat(gram, F.lit("\x01"), F.size(so_far).cast("string"))
 
-        return names.map(one)
+        return F.transform(all_grams, one)
 
-    return split(name)
+    # An array of one array, so that the grams are cut once and read many times.
+    numbered = F.element_at(F.transform(F.array(every), counted), 1)
+    return F.when(F.length(padded) >= q, numbered).otherwise(F.array().cast("array<string>"))
 
 
 def prefix_length(length: Column, at_least: float) -> Column:
     """How many of a name's rarest q-grams must be indexed so that every pair that
-    shares ``least_overlap`` grams shares an indexed one."""
-    q = gram_size(at_least)
-
-    @F.pandas_udf("int")
-    def prefix(lengths: pd.Series) -> pd.Series:
-        keep = {n: n + q - least_overlap(n, at_least, q) for n in lengths.unique().tolist()}
-        return lengths.map(keep)
+    shares ``least_overlap`` grams shares an indexed one.
 
-    return prefix(length)
+    The same bound as :func:`least_overlap`, over the partner's possible lengths.
+    """
+    q = gram_size(at_least)
+    if at_least <= 0:
+        return length + (q - 1)
+    low = F.greatest(F.lit(1), F.floor(length * F.lit(at_least / (2 - at_least))).cast("int"))
+    high = F.ceil(length * F.lit((2 - at_least) / at_least)).cast("int")
+
+    def bound(partner: Column) -> Column:
+        total = length + partner
+        matched = F.greatest(F.lit(1), F.ceil(total * F.lit(at_least / 2) - _SLACK).cast("int"))
+        shared = F.greatest(F.lit(1), matched + (q - 1) * (F.lit(1) - (total - 2 * matched)))
+        return F.when(matched <= F.least(length, partner), shared)
+
+    if q == 1:
+        # One gram to a letter: the bound grows with the partner, so the shortest decides.
+        reach = F.sequence(low, F.least(high, low + 2))
+    else:
+        reach = F.sequence(low, high)
+    least = F.array_min(F.transform(reach, bound))
+    return length + q - F.coalesce(least, F.lit(1))

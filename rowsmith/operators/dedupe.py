@@ -18,17 +18,21 @@ def require_columns(df: DataFrame, columns: Sequence[str], what: str) -> None:
         )
 
 
-def first_per_key(df: DataFrame, keys: dict[str, Column], order_by: str) -> DataFrame:
+def first_per_key(
+    df: DataFrame, keys: dict[str, Column], order_by: str, count: str | None = None
+) -> DataFrame:
     """The record with the lowest order value per key tuple, plus the key columns.
 
+    ``count`` names a column for the number of records of the key, from the same aggregate.
+
     ``min_by`` combines on the map side: one row per key and task is shuffled, so
     a key that holds a large share of the table costs no more than a rare one.
     """
     first = F.min_by(F.struct(*[F.col(quoted(c)) for c in df.columns]), F.col(quoted(order_by)))
     return (
         df.groupBy(*[expr.alias(name) for name, expr in keys.items()])
-        .agg(first.alias("__first"))
-        .select(*keys, "__first.*")
+        .agg(first.alias("__first"), F.count(F.lit(1)).alias("__records"))
+        .select(*keys, "__first.*", *([F.col("__records").alias(count)] if count else []))
     )
 
 

@@ -49,9 +49,9 @@ DECISION_COLUMNS = (
 )
 
 ANY = "*"  # department of a proposer group whose list ignores departments
-SEARCH_AT_ONCE = 100_000  # sources above which names are searched in three steps
 BLOCK = 1024  # target records per block
-PLAIN_RANK = 1_000_000  # largest group numbered by one window task
+RANGE = 1 << 16  # ordinals that one window task numbers at most
+LEVELS = (0.5, 0.1)  # the steps in which scores below the threshold are searched
 LEAST = 1e-6  # below every ratio above zero
 _NEVER = (1 << 63) - 1  # holder ordinal of a free target
 
@@ -71,21 +71,17 @@ def fuzzy_match(
     department_column: str = "department",
     threshold: float = 0.86,
     order_by: str = "row_idx",
-    score_floor: float | None = None,
 ) -> Matches:
     """Decisions for every source record, unmatched targets and a summary.
 
-    ``order_by`` is a unique ordinal in both tables.  The assignment is always
-    exact.  The best score that a ``no_match`` record reports is exact down to
-    ``score_floor`` (the threshold, unless given) and 0.000 below it; 0 asks for
-    every score, which compares each unmatched name with nearly all targets.
+    ``order_by`` is a unique ordinal in both tables.  A ``no_match`` record reports its
+    best score among the targets that were unused at its turn.
     """
     if not 0.0 <= threshold <= 1.0:
         raise ValueError(f"threshold must be between 0 and 1 (received: {threshold})")
     boost = DEPARTMENT_BOOST if department_column else 0.0
     if threshold <= boost:
         raise ValueError(f"threshold must be above {boost}: equal departments alone would match")
-    floor = threshold if score_floor is None else score_floor
 
     people = cut_lineage(_people(source, key, name_columns, department_column, order_by))
     first = index_by(target, key, order_by)
@@ -96,20 +92,22 @@ def fuzzy_match(
     held = cut_lineage(_hold_by_key(sources, targets))
     state = _Assignment(sources.where("nk <> ''").select("s", "nk", "dk"), targets, held, boost)
     state.settle(1.0)
-    middle = (1.0 + threshold) / 2
-    if middle - threshold > 0.02 and state.free_sources().count() > SEARCH_AT_ONCE:
-        state.settle(middle)
     if threshold < 1.0:
         state.settle(threshold)
 
-    best = state.best_open_scores(floor) if floor < threshold else None
+    best = state.best_open_scores(threshold)
     decisions = _decisions(people, targets, state.held, best, threshold)
     unmatched = targets.join(state.held.select("t"), "t", "left_anti").select(
         F.col("key").alias("target_record_key"),
         F.col("name").alias("target_name"),
         F.col("department").alias("target_department"),
     )
-    return Matches(decisions, unmatched, _summary(source, target, key, decisions, threshold))
+    summary = _summary(source, target, key, decisions, threshold).select(
+        "*",
+        F.array(*map(F.lit, name_columns)).cast("array<string>").alias("name_columns"),
+        F.lit(department_column).alias("department_column"),
+    )
+    return Matches(decisions, unmatched, summary)
 
 
 def _people(
@@ -128,66 +126,60 @@ def _people(
     )
 
 
-def running(
-    df: DataFrame, group: Sequence[str], order: str, largest: int, **totals: Column
-) -> DataFrame:
-    """Add the running total of each column over each group."""
-    return _running(df, group, order, largest, totals, F.sum, lambda now, before: now + before, 0)
+def running(df: DataFrame, group: Sequence[str], order: str, **columns: Column) -> DataFrame:
+    """Add the running total of each column over each group; of columns named ``max_...``
+    the running maximum.
 
+    A group is cut into ranges of ``RANGE`` values of the order column, which is unique in
+    it; each range is aggregated apart and merged with the aggregate of the ranges before
+    it, so a group of any size spreads over tasks.
+    """
 
-def running_max(
-    df: DataFrame, group: Sequence[str], order: str, largest: int, **maxima: Column
-) -> DataFrame:
-    """Add the running maximum of each column over each group."""
-    return _running(df, group, order, largest, maxima, F.max, F.greatest, -_NEVER)
+    def highest(name: str) -> bool:
+        return name.startswith("max_")
 
+    def aggregate(name: str, column: str) -> Column:
+        return F.max(column) if highest(name) else F.sum(column)
 
-def _running(df, group, order, largest, columns, aggregate, merge, neutral) -> DataFrame:
-    """A group above ``PLAIN_RANK`` rows is cut into ranges of the order column; each
-    is aggregated apart and merged with the aggregate of the ranges before it."""
     marked = df.withColumns({name: c.cast("bigint") for name, c in columns.items()})
-    if largest <= PLAIN_RANK:
-        w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        return marked.withColumns({name: aggregate(name).over(w) for name in columns})
-    cut = marked.withColumn("__range", F.floor(F.col(order) / PLAIN_RANK))
+    cut = marked.withColumn("__range", F.floor(F.col(order) / RANGE))
     ranges = cut.groupBy(*group, "__range").agg(
-        *[aggregate(name).alias(f"__{name}") for name in columns]
+        *[aggregate(name, name).alias(f"__{name}") for name in columns]
     )
     before = Window.partitionBy(*group).orderBy("__range").rowsBetween(
         Window.unboundedPreceding, -1
     )
     shifts = ranges.withColumns(
         {
-            f"__{name}": F.coalesce(aggregate(f"__{name}").over(before), F.lit(neutral))
+            f"__{name}": F.coalesce(
+                aggregate(name, f"__{name}").over(before), F.lit(-_NEVER if highest(name) else 0)
+            )
             for name in columns
         }
     )
     inside = Window.partitionBy(*group, "__range").orderBy(order).rowsBetween(
         Window.unboundedPreceding, 0
     )
+    merged = {
+        name: F.greatest(name, f"__{name}") if highest(name) else F.col(name) + F.col(f"__{name}")
+        for name in columns
+    }
     return (
-        cut.withColumns({name: aggregate(name).over(inside) for name in columns})
+        cut.withColumns({name: aggregate(name, name).over(inside) for name in columns})
         .join(shifts, [*group, "__range"])
-        .withColumns({name: merge(F.col(name), F.col(f"__{name}")) for name in columns})
+        .withColumns(merged)
         .drop("__range", *[f"__{name}" for name in columns])
     )
 
 
-def group_rank(
-    df: DataFrame, group: Sequence[str], order: str, largest: int, name: str = "rank"
-) -> DataFrame:
+def group_rank(df: DataFrame, group: Sequence[str], order: str, name: str = "rank") -> DataFrame:
     """Number the rows of each group from 1 by a unique order column."""
-    return running(df, group, order, largest, **{name: F.lit(1)})
-
-
-def _largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+    return running(df, group, order, **{name: F.lit(1)})
 
 
 def _in_blocks(targets: DataFrame) -> DataFrame:
     """Add the block number of each target within its name and department."""
-    ranked = group_rank(targets, ["nk", "dk"], "t", _largest_group(targets, ["nk", "dk"]))
+    ranked = group_rank(targets, ["nk", "dk"], "t")
     return ranked.withColumn("block", F.floor((F.col("rank") - 1) / BLOCK)).drop("rank")
 
 
@@ -214,8 +206,6 @@ class _Assignment:
         self.targets = targets
         self.held = held
         self.boost = boost
-        self.largest = _largest_group(sources, ["nk"])
-        self.largest_target = _largest_group(targets, ["nk"])
         self.target_names = targets.where("nk <> ''").select("nk", "dk").distinct()
 
     def free_sources(self) -> DataFrame:
@@ -243,9 +233,9 @@ class _Assignment:
             late = cut_lineage(late.join(names, ["nk", "dk"], "left_anti"))
             if not late.isEmpty():
                 more_members, more_edges = self.search(late, level)
-                members = cut_lineage(members.unionByName(more_members))
-                edges = cut_lineage(edges.unionByName(more_edges))
-                names = cut_lineage(names.unionByName(late))
+                members = cut_lineage(members.unionByName(more_members), members)
+                edges = cut_lineage(edges.unionByName(more_edges), edges)
+                names = cut_lineage(names.unionByName(late), names)
 
     def settle_alike(self, members: DataFrame) -> None:
         """Settle names whose sources rank all targets of the name alike at once.
@@ -269,7 +259,7 @@ class _Assignment:
         targets = running(
             self.targets.select("t", "nk").join(pure, "nk", "left_semi")
             .join(held, "t", "left").join(owners, "owner", "left"),
-            ["nk"], "t", self.largest_target,
+            ["nk"], "t",
             pos=F.lit(1), taken=F.when(owned, 1).otherwise(0),
         ).persist()
         # Sources that hold a target of another name do not take part.
@@ -280,7 +270,7 @@ class _Assignment:
             self.sources.select("s", "nk").join(pure, "nk", "left_semi")
             .join(waiting, "s", "left").join(mine, "s", "left")
             .where("waiting or mine"),
-            ["nk"], "s", self.largest,
+            ["nk"], "s",
             wait_rank=F.when(F.col("waiting"), 1).otherwise(0), own_rank=own,
         )
         seats = targets.where(owned).select(
@@ -316,7 +306,7 @@ class _Assignment:
             targets.join(simple, "nk", "left_semi").select("t"), "t", "left_anti"
         )
         new = stays.unionByName(moves).select("t", "s", F.lit(1.0).alias("score"), "by_key")
-        self.held = cut_lineage(rest.unionByName(new))
+        self.held = cut_lineage(rest.unionByName(new), self.held)
         targets.unpersist()
         people.unpersist()
 
@@ -430,7 +420,8 @@ class _Assignment:
                     F.coalesce("bid.s", "s").alias("s"),
                     F.coalesce("bid.score", "score").alias("score"),
                     (F.col("bid").isNull() & F.col("by_key")).alias("by_key"),
-                )
+                ),
+                self.held,
             )
         for df in (waiting, groups, targets, outcome):
             df.unpersist()
@@ -444,18 +435,20 @@ class _Assignment:
         its ``first`` nor taken by sources 1..j-1 of the group: ``j`` plus the
         running maximum of ``first - j``.  No place it could get is passed over.
         """
-        size = max(self.largest, self.largest_target)
-        offers = group_rank(listed, group, "t", size, name="place")
-        reach = running_max(offers, group, "t", size, reach=F.col("holder"))
-        passed = running(
-            reach.select(*group, F.col("reach").alias("v"), F.lit(None).cast("bigint").alias("s"))
-            .unionByName(waiting.select(*group, F.col("s").alias("v"), "s")),
-            group, "v", size, passed=F.when(F.col("s").isNull(), 1).otherwise(0),
+        offers = running(listed, group, "t", place=F.lit(1), max_reach=F.col("holder"))
+        # ``reach`` never falls along the list; places with the same reach count as one row,
+        # so all that follow a free target do not meet in one task.
+        steps = offers.groupBy(*group, F.col("max_reach").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        none = F.lit(None).cast("bigint").alias("s")
+        ranked = running(
+            steps.where(F.col("v") < _NEVER).select(*group, "v", "n", none).unionByName(
+                waiting.select(*group, F.col("s").alias("v"), F.lit(0).cast("bigint").alias("n"), "s")
+            ),
+            group, "v", passed=F.col("n"), rank=F.when(F.col("s").isNull(), 0).otherwise(1),
         ).where("s is not null")
-        ranked = group_rank(passed.drop("v"), group, "s", size)
-        ahead = running_max(ranked, group, "s", size, ahead=F.col("passed") + 1 - F.col("rank"))
-        placed = ahead.withColumn("place", F.col("rank") + F.col("ahead"))
-        return placed.join(offers, [*group, "place"])
+        ahead = running(ranked.drop("v", "n"), group, "s", max_ahead=F.col("passed") + 1 - F.col("rank"))
+        placed = ahead.withColumn("place", F.col("rank") + F.col("max_ahead"))
+        return placed.join(offers.drop("max_reach"), [*group, "place"])
 
     def block_states(self, targets: DataFrame) -> DataFrame:
         return targets.groupBy("tnk", "tdk", "block").agg(
@@ -492,21 +485,37 @@ class _Assignment:
             .select("nk", "g", "k", "first_s", "tnk", "tdk", "block", "score")
         )
 
-    def best_open_scores(self, floor: float) -> DataFrame:
+    def best_open_scores(self, threshold: float) -> DataFrame:
         """Best score of each unmatched source over the targets that were still
-        unused at its turn: those that are free or held by a later source."""
+        unused at its turn: those that are free or held by a later source.
+
+        Scores are searched at falling levels; a source leaves the search once its best
+        score reaches the level, so only sources that resemble nothing are compared with
+        almost all names.
+        """
         free = cut_lineage(self.free_sources())
-        states = self.block_states(self.open_targets())
-        edges = self.edges(free.select("nk", "dk").distinct(), max(floor, LEAST))
+        states = cut_lineage(self.block_states(self.open_targets()))
+        found = None
+        for level in [*(x for x in LEVELS if x < threshold), 0.0]:
+            scores = cut_lineage(self.open_scores(free, states, level))
+            found = scores if found is None else found.unionByName(scores)
+            free = cut_lineage(free.join(scores.select("s"), "s", "left_anti"), free)
+            if free.isEmpty():
+                break
+        return found
+
+    def open_scores(self, free: DataFrame, states: DataFrame, level: float) -> DataFrame:
+        """The best scores of ``free`` sources that reach ``level``."""
+        edges = self.edges(free.select("nk", "dk").distinct(), max(level, LEAST))
         scores = (
             free.join(edges, ["nk", "dk"])
             .join(states, "tnk")
             .where(F.col("only_dk").isNull() | (F.col("only_dk") == F.col("tdk")))
             .where(F.col("high_holder") > F.col("s"))
             .select("s", self.score("dk").alias("score"))
-            .where(F.col("score") >= floor)
+            .where(F.col("score") >= level)
         )
-        if self.boost and floor <= self.boost:
+        if self.boost and level <= self.boost:
             # Equal departments alone score the boost, also without a name.
             holders = self.targets.where("dk <> ''").join(
                 self.held.select("t", F.col("s").alias("holder")), "t", "left"
@@ -576,7 +585,7 @@ def _decisions(
     people: DataFrame,
     targets: DataFrame,
     held: DataFrame,
-    best: DataFrame | None,
+    best: DataFrame,
     threshold: float,
 ) -> DataFrame:
     """One row per source record with the match, its score and the reason."""
@@ -590,12 +599,9 @@ def _decisions(
         "t",
     ).withColumnRenamed("s", "idx")
     rows = people.join(partner, "idx", "left")
-    if best is None:
-        rows = rows.withColumn("best", F.lit(0.0))
-    else:
-        rows = rows.join(best.withColumnRenamed("s", "idx"), "idx", "left").withColumn(
-            "best", F.coalesce("best", F.lit(0.0))
-        )
+    rows = rows.join(best.withColumnRenamed("s", "idx"), "idx", "left").withColumn(
+        "best", F.coalesce("best", F.lit(0.0))
+    )
     found = F.col("t").isNotNull()
     named = F.col("nk") != ""
     shown = F.when(found, F.col("score")).when(named, F.col("best")).otherwise(F.lit(0.0))

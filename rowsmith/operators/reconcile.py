@@ -4,39 +4,53 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import norm_or_blank, quoted
-from .dedupe import index_by, index_counts
+from ..functions.text import norm, norm_or_blank, quoted
+from .dedupe import first_per_key, require_columns
 
 # The reconciliation states, in report order.
 STATES = ("match", "mismatch", "source_only", "target_only")
 
 
-def indexed_side(df: DataFrame, key: str, columns: Sequence[str], order_by: str, side: str):
+def indexed_side(
+    df: DataFrame, key: str, columns: Sequence[str], order_by: str, side: str, counted: bool = False
+):
     """First record per key as ``record_key``, a presence flag and prefixed text columns.
 
-    Only the key, the order and the wanted columns enter the shuffle.
+    Only the key, the order and the wanted columns enter the shuffle.  ``counted`` adds
+    the number of records of each key, and a row for records without one.
     """
+    require_columns(df, [key], "key")
     wanted = [c for c in dict.fromkeys([key, *columns, order_by]) if c in df.columns]
-    index = index_by(df.select(*[F.col(quoted(c)) for c in wanted]), key, order_by)
+    rows = df.select(*[F.col(quoted(c)) for c in wanted])
+    by = norm(F.col(quoted(key)))
+    records = f"{side}_records"
+    rows = rows if counted else rows.where(by != "")
+    index = first_per_key(rows, {"record_key": by}, order_by, records if counted else None)
     return index.select(
         "record_key",
+        *([records] if counted else []),
         F.lit(True).alias(f"in_{side}"),
         *[norm_or_blank(index, c).alias(f"{side}_{c}") for c in columns],
     )
 
 
 def paired(
-    source: DataFrame, target: DataFrame, key: str, columns: Sequence[str], order_by: str
+    source: DataFrame,
+    target: DataFrame,
+    key: str,
+    columns: Sequence[str],
+    order_by: str,
+    counted: bool = False,
 ) -> DataFrame:
     """Full outer join of both indexes; absent sides have null cells.
 
     Both sides are already grouped by key, so the join reuses that partitioning
     and each key meets at most one partner.
     """
-    left = indexed_side(source, key, columns, order_by, "source")
-    right = indexed_side(target, key, columns, order_by, "target")
+    left = indexed_side(source, key, columns, order_by, "source", counted)
+    right = indexed_side(target, key, columns, order_by, "target", counted)
     return left.join(right, "record_key", "full_outer")
 
 
@@ -52,27 +66,42 @@ def reconcile(
     Rows without a key are left out, the first record per key counts, and values
     are compared as stripped text where null, blank and an absent column agree.
     """
-    both = paired(source, target, key, compare_columns, order_by)
-    blank = F.lit("")
-    cells = {
-        f"{side}_{c}": F.coalesce(F.col(quoted(f"{side}_{c}")), blank)
+    return _compared(paired(source, target, key, compare_columns, order_by), compare_columns)
+
+
+def _values(compare_columns: Sequence[str]) -> dict[str, Column]:
+    """Both values of each column in a pairing; absent sides are blank."""
+    return {
+        f"{side}_{c}": F.coalesce(F.col(quoted(f"{side}_{c}")), F.lit(""))
         for c in compare_columns
         for side in ("source", "target")
     }
-    differing = F.concat_ws(
+
+
+def _differing(compare_columns: Sequence[str]) -> Column:
+    cells = _values(compare_columns)
+    return F.concat_ws(
         "|",
         *[F.when(cells[f"source_{c}"] != cells[f"target_{c}"], F.lit(c)) for c in compare_columns],
     )
-    here, there = F.col("in_source").isNotNull(), F.col("in_target").isNotNull()
+
+
+def _status(compare_columns: Sequence[str]) -> Column:
+    return (
+        F.when(F.col("in_target").isNull(), "source_only")
+        .when(F.col("in_source").isNull(), "target_only")
+        .when(_differing(compare_columns) != "", "mismatch")
+        .otherwise("match")
+    )
+
+
+def _compared(both: DataFrame, compare_columns: Sequence[str]) -> DataFrame:
+    paired_ = F.col("in_source").isNotNull() & F.col("in_target").isNotNull()
     return both.select(
         "record_key",
-        F.when(~there, "source_only")
-        .when(~here, "target_only")
-        .when(differing != "", "mismatch")
-        .otherwise("match")
-        .alias("status"),
-        F.when(here & there, differing).otherwise(blank).alias("mismatch_columns"),
-        *[value.alias(name) for name, value in cells.items()],
+        _status(compare_columns).alias("status"),
+        F.when(paired_, _differing(compare_columns)).otherwise("").alias("mismatch_columns"),
+        *[value.alias(name) for name, value in _values(compare_columns).items()],
     )
 
 
@@ -80,18 +109,37 @@ def state_counts(df: DataFrame, column: str = "status") -> DataFrame:
     return df.groupBy(F.col(quoted(column))).agg(F.count(F.lit(1)).alias("record_count"))
 
 
-def side_counts(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """One row of record, duplicate and missing-key counters for both sides."""
-    return index_counts(source, key, "source_").crossJoin(index_counts(target, key, "target_"))
+def side_counts() -> list[Column]:
+    """Record, duplicate and missing-key counters of both sides of a counted pairing."""
+    named = F.col("record_key") != ""
+    out = []
+    for side in ("source", "target"):
+        n = F.col(f"{side}_records")
+        for name, value in (
+            ("records", n),
+            ("duplicates_ignored", F.when(named, n - 1)),
+            ("missing_key_rows", F.when(~named, n)),
+        ):
+            out.append(F.coalesce(F.sum(value), F.lit(0)).cast("bigint").alias(f"{side}_{name}"))
+    return out
 
 
 def reconcile_summary(
-    source: DataFrame, target: DataFrame, result: DataFrame, key: str = "student_id"
+    source: DataFrame,
+    target: DataFrame,
+    key: str = "student_id",
+    compare_columns: Sequence[str] = ("score", "status", "email", "department"),
+    order_by: str = "row_idx",
 ) -> DataFrame:
-    """One row: counters of both sides and the number of records per state."""
-    states = result.agg(*[F.count_if(F.col("status") == s).alias(s) for s in STATES])
-    # Three one-row tables.
-    return side_counts(source, target, key).crossJoin(states)
+    """One row: counters of both sides and the number of records per state.
+
+    Each side is read once: the aggregate that picks the first records counts them too.
+    """
+    both = paired(source, target, key, compare_columns, order_by, counted=True)
+    status = F.when(F.col("record_key") != "", _status(compare_columns)).alias("status")
+    return both.select("record_key", "source_records", "target_records", status).agg(
+        *side_counts(), *[F.count_if(F.col("status") == s).alias(s) for s in STATES]
+    )
 
 
 def reconcile_sql(

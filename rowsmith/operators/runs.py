@@ -38,7 +38,7 @@ def run_counts(steps: DataFrame, reports: DataFrame, outputs: DataFrame) -> Data
 class Manifest:
     """A run's header row and its entry tables.
 
-    The entries stay tables of any length; :func:`manifest_document` nests them.
+    The entries stay tables of any length.
     """
 
     header: DataFrame
@@ -75,28 +75,6 @@ def run_manifest(
     return Manifest(header, steps, reports, outputs)
 
 
-def manifest_document(manifest: Manifest, max_entries: int = 100_000) -> DataFrame:
-    """The manifest as one nested row, file lists in path order.
-
-    One row must fit in one task, so the number of entries is checked first; a
-    longer manifest is written with :func:`write_manifest` instead.
-    """
-    counts = manifest.header.select("counts.total_files", "counts.steps_total").first()
-    if counts.total_files + counts.steps_total > max_entries:
-        raise ValueError(
-            f"Manifest has more than {max_entries} entries: write it as tables instead"
-        )
-
-    def nested(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.array_sort(F.collect_list(F.struct(*df.columns))).alias(name))
-
-    return (
-        manifest.header.crossJoin(nested(manifest.steps, "steps"))
-        .crossJoin(nested(manifest.reports, "reports"))
-        .crossJoin(nested(manifest.outputs, "outputs"))
-    )
-
-
 def write_manifest(manifest: Manifest, folder: str) -> None:
     """Header and entry tables below one folder, whatever their length."""
     write_summary(manifest.header, f"{folder}/header")
@@ -130,6 +108,21 @@ def upsert_history(
     return merged.orderBy(newest.desc(), ordinal).limit(max_entries)
 
 
+def history_header(history: DataFrame, updated_utc: str, max_entries: int = 200) -> DataFrame:
+    """One row that describes a written history; its runs are the rows of ``history``."""
+    return history.agg(F.count(F.lit(1)).alias("total_runs")).select(
+        F.lit(updated_utc).alias("updated_utc"),
+        F.lit(max_entries).cast("bigint").alias("max_entries"),
+        "total_runs",
+    )
+
+
+def write_history(history: DataFrame, folder: str, updated_utc: str, max_entries: int = 200) -> None:
+    """Header and runs below one folder, newest first."""
+    write_summary(history_header(history, updated_utc, max_entries), f"{folder}/header")
+    write_summary(history.orderBy(F.desc("generated_utc"), "ordinal").drop("ordinal"), f"{folder}/runs")
+
+
 def history_columns() -> list[str]:
     return [
         "run_id", "status", "generated_utc", "manifest_file", "log_file", "steps_file",

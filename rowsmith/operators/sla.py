@@ -13,6 +13,10 @@ from ..functions.text import norm, quoted
 # The statuses of an item that is still being worked on.
 ACTIVE_STATUSES = ("open", "in_progress")
 REPORTED_STATES = ("at_risk", "overdue")
+STATES = (
+    "no_due_date", "late_completed", "completed_on_time", "not_active", *reversed(REPORTED_STATES),
+    "on_track",
+)
 
 
 def classify_sla(
@@ -61,9 +65,11 @@ def sla_summary(classified: DataFrame, as_of: dt.date, threshold_days: int = 2)
     return classified.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(F.col("risk_state").isin(*REPORTED_STATES)).alias("at_risk_rows"),
+        F.struct(*[F.count_if(F.col("risk_state") == s).alias(s) for s in STATES]).alias("state_counts"),
     ).select(
         F.lit(as_of.isoformat()).alias("as_of"),
         F.lit(threshold_days).cast("bigint").alias("threshold_days"),
         "total_rows",
         "at_risk_rows",
+        "state_counts",
     )

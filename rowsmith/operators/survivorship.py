@@ -67,9 +67,7 @@ def survivorship(
     names = [c for c in columns if c != key] if columns else merge_columns(
         source, target, key, without=[order_by]
     )
-    both = paired(source, target, key, names, order_by).fillna(
-        "", [f"{side}_{c}" for c in names for side in ("source", "target")]
-    )
+    both = _filled(paired(source, target, key, names, order_by), names)
     here, there = F.col("in_source").isNotNull(), F.col("in_target").isNotNull()
     cells = {c: (F.col(quoted(f"source_{c}")), F.col(quoted(f"target_{c}"))) for c in names}
     picked = {c: choose(ours, theirs, order[0]) for c, (ours, theirs) in cells.items()}
@@ -103,13 +101,26 @@ def survivorship(
     fields = F.lit(0)
     for c in names:
         fields = fields + F.when(picked[c][2], 1).otherwise(0)
-    counts = both.agg(
-        F.count(F.lit(1)).alias("merged_records"),
-        F.count_if(here & there).alias("both_sources"),
-        F.count_if(here & ~there).alias("source_only"),
-        F.count_if(there & ~here).alias("target_only"),
-        F.coalesce(F.sum(fields), F.lit(0)).cast("bigint").alias("field_conflicts"),
+    # The counted pairing reads each side once; records without a key are only counted.
+    counted = _filled(paired(source, target, key, names, order_by, counted=True), names)
+    named = F.col("record_key") != ""
+    summary = counted.agg(
+        *side_counts(),
+        F.count_if(named).alias("merged_records"),
+        F.count_if(named & here & there).alias("both_sources"),
+        F.count_if(named & here & ~there).alias("source_only"),
+        F.count_if(named & there & ~here).alias("target_only"),
+        F.coalesce(F.sum(F.when(named, fields)), F.lit(0)).cast("bigint").alias("field_conflicts"),
     )
-    # Three one-row tables.
-    summary = side_counts(source, target, key).crossJoin(counts)
     return Merge(merged, conflicts, summary)
+
+
+def _filled(both: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Absent sides have blank cells."""
+    cells = {f"{side}_{c}" for c in names for side in ("source", "target")}
+    return both.select(
+        *[
+            F.coalesce(F.col(quoted(c)), F.lit("")).alias(c) if c in cells else F.col(quoted(c))
+            for c in both.columns
+        ]
+    )

@@ -63,7 +63,7 @@ COUNTS = f"""(select count(*) as {{0}}records,
 STATUSES = "('open', 'closed', 'in_progress', 'completed')"
 
 
-def profile(table: str, columns: list[str], with_clause: str = "", samples: bool = True) -> str:
+def profile(table: str, columns: list[str], with_clause: str = "") -> str:
     parts = []
     for c in columns:
         value = f"case when lower({n(c)}) not in ('', 'null', 'none', 'na', 'n/a') then {n(c)} end"
@@ -77,7 +77,7 @@ def profile(table: str, columns: list[str], with_clause: str = "", samples: bool
         count(distinct v) as distinct_count,
         case when {numeric} then min(try_cast(v as double)) end as numeric_min,
         case when {numeric} then max(try_cast(v as double)) end as numeric_max
-        {sample if samples else ''}
+        {sample}
         from ({' union all '.join(parts)}) group by column_name"""
 
 
@@ -129,16 +129,20 @@ def equal(name: str, column: str, other: str, when: str = "true") -> str:
     )
 
 
-VIOLATIONS = " union all ".join(
-    [
-        regex("student_id_format", "student_id", "^STU[0-9]{3,}$"),
-        required("department_required", "department"),
-        in_range("score_range", "0", "99.5"),
-        allowed("status_allowed", "('open', 'closed', 'pending')"),
-        allowed("completed_requires_closed_status", "('closed')", f"{n('completed_at')} <> ''"),
-        regex("email_shape", "email", r"^[^@\s]+@[^@\s]+\.[^@\s]+$"),
-        equal("late_copy", "due_date", "completed_at", f"lower({n('status')}) = 'closed'"),
-    ]
+PACK = {
+    "key_shape": regex("key_shape", "student_id", "(stu|new)[0-9]{12}"),
+    "team_named": required("team_named", "department"),
+    "score_in_reach": in_range("score_in_reach", "1", "88"),
+    "known_state": allowed("known_state", "('open', 'in_progress', 'closed')"),
+    "end_planned": required("end_planned", "completed_at", f"lower({n('status')}) = 'open'"),
+    "mail_place": regex("mail_place", "email", r"[a-z]+[0-9]+@example\.edu"),
+    "team_ceiling": in_range(
+        "team_ceiling", None, "70", f"lower({n('department')}) in ('dept 1', 'dept 5')"
+    ),
+}
+VIOLATIONS = " union all ".join(PACK.values())
+BY_RULE = " || '|' || ".join(
+    f"'{name}=' || cast(count(*) filter (rule_name = '{name}') as varchar)" for name in PACK
 )
 RULE_VIEWS = views("src")
 
@@ -242,6 +246,45 @@ EQUAL_VIEWS = views(
         select s.row_idx, t.row_idx, false from s join t on s.nk = t.nk and s.k = t.k""",
 )
 
+# Every target with a key has one source of its own: the same customer.  Its name differs
+# in the first letter for even keys.  Sources in digits are left over; the targets unused
+# at their turn are those further down, so the last one of a department sees none of it.
+PEOPLE_VIEWS = views(
+    "people_src",
+    "people_tgt",
+    usable="select row_idx, lower(department) as team from people_tgt where student_id <> ''",
+    later="""select s.row_idx, count(u.row_idx) > 0 as any_left,
+        count(*) filter (u.team = s.department) > 0 as team_left
+        from people_src s left join usable u on u.row_idx > s.row_idx
+        where s.row_idx % 70 = 0 group by s.row_idx""",
+    scored="""select s.*, t.student_id as target_record_key, t.first_name || ' ' || t.last_name
+            as target_name, t.department as target_department,
+        s.student_id = t.student_id and s.student_id <> '' as by_key,
+        case when t.row_idx is null then
+            case when team_left then 2 / 36 + 0.06 when any_left then 2 / 36 else 0 end
+            when s.student_id = t.student_id then 1
+            else least(1.0, case when s.row_idx % 2 = 0 then 34 / 36 else 1 end
+                + case when s.department = lower(t.department) then 0.06 else 0 end) end as score
+        from people_src s left join people_tgt t on s.row_idx = t.row_idx and t.student_id <> ''
+        left join later on later.row_idx = s.row_idx""",
+    decided="""select row_idx, student_id as source_record_key,
+        trim(first_name) || ' ' || trim(last_name) as source_name,
+        coalesce(department, '') as source_department,
+        coalesce(target_record_key, '') as target_record_key,
+        coalesce(target_name, '') as target_name,
+        coalesce(target_department, '') as target_department,
+        case when target_record_key is null then 'no_match' when by_key then 'exact_key'
+            else 'fuzzy_name' end as match_type,
+        printf('%.3f', score) as match_score,
+        case when by_key then 'Key match' when target_record_key is not null
+            then 'Name similarity match'
+            else case when student_id = '' then 'Best candidate'
+                else 'Source key ' || chr(39) || student_id || chr(39)
+                    || ' not present in target and best candidate'
+                end || printf(' score %.3f below threshold 0.86', score) end as reason
+        from scored""",
+)
+
 _STEP_INT = "case when regexp_full_match({0}, '{1}[0-9]+') then cast({0} as bigint) end as {0}"
 STEPS = f"""select trim(step) as step, {_STEP_INT.format('attempt', '')},
     {_STEP_INT.format('max_attempts', '')}, status, {_STEP_INT.format('exit_code', '-?')},
@@ -281,8 +324,7 @@ ORACLES: dict[str, str] = {
     "duplicate_rows": views("src")
     + """select * exclude (copies) from (select *, count(*) over (partition by student_id)
         as copies from src where student_id is not null) where copies > 1""",
-    "duplicate_lineitems": """select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
-        l_extendedprice from lineitem join (select l_orderkey, l_linenumber from lineitem
+    "duplicate_lineitems": """select lineitem.* from lineitem join (select l_orderkey, l_linenumber from lineitem
         group by l_orderkey, l_linenumber having count(*) > 1) using (l_orderkey, l_linenumber)""",
     "dedupe_first": views("src") + first_wins("src", [n("student_id")]),
     "dedupe_first_composite": views("src") + first_wins("src", [n("department"), n("score")]),
@@ -309,9 +351,13 @@ ORACLES: dict[str, str] = {
         "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
     ),
     "profile_lineitem": profile(
-        "lineitem", ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag"]
+        "lineitem",
+        [
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+            "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+        ],
     ),
-    "profile_documents": profile("documents", ["text", "lang", "source"], samples=False),
+    "profile_documents": profile("documents", ["doc_id", "text", "lang", "source", "n_chars"]),
     "table_size": """select count(*) as row_count,
         (select count(*) from (describe lineitem)) as column_count from lineitem""",
     "rule_required": RULE_VIEWS + required("rule_1", "email"),
@@ -330,18 +376,22 @@ ORACLES: dict[str, str] = {
     + f"select rule_name, count(*) as violation_count from ({VIOLATIONS}) group by rule_name",
     "validation_summary": RULE_VIEWS
     + f"""select (select count(*) from src) as rows_scanned, cast(7 as bigint) as rule_count,
-        'student_id' as key_column, 'student_id|department|status' as required_columns,
-        '' as missing_columns, count(*) as violation_count from ({VIOLATIONS})""",
+        'student_id' as key_column, 'student_id|email|due_date' as required_columns,
+        '' as missing_columns, count(*) as violation_count, {BY_RULE} as violations_by_rule
+        from ({VIOLATIONS})""",
     "validate_missing_columns": RULE_VIEWS
     + """select count(*) as rows_scanned, cast(1 as bigint) as rule_count,
         'student_id' as key_column, 'campus' as required_columns,
-        'advisor|campus' as missing_columns, cast(0 as bigint) as violation_count from src""",
+        'advisor|campus' as missing_columns, cast(0 as bigint) as violation_count,
+        '' as violations_by_rule from src""",
     "flag_first_issue": TYPED_VIEWS + FLAGGED,
     "dq_status_counts": TYPED_VIEWS
     + f"select dq_issue, dq_status, count(*) as record_count from ({FLAGGED}) group by all",
-    "sanitize_rows": views("src")
-    + f"""select * from src where {n('student_id')} <> '' and strpos({n('email')}, '@') > 1
-        and (case when {n('score')} = '' then 0 else {number('score')} end) between 0 and 100
+    "sanitize_rows": views("lenient_src")
+    + f"""select * from lenient_src where {n('student_id')} <> '' and strpos({n('email')}, '@') > 1
+        and (case when {n('score')} = '' then 0 when {n('score')} = '0x10' then 16
+            when {n('score')} = '0xfff' then 4095 when {n('score')} = '7.' then 7
+            when {n('score')} = '1_0' then null else {number('score')} end) between 0 and 100
         and lower({n('status')}) in {STATUSES}""",
     "check_constraints": views("src")
     + " union all ".join(
@@ -397,19 +447,31 @@ ORACLES: dict[str, str] = {
         (select count(*) as field_conflicts from ({CONFLICTS}))""",
     "fuzzy_equal_names": EQUAL_VIEWS
     + """select s.row_idx, s.student_id as source_record_key,
-        s.first_name || ' ' || s.last_name as source_name, '' as source_department,
+        trim(s.first_name || ' ' || s.last_name) as source_name, '' as source_department,
         coalesce(t.student_id, '') as target_record_key,
         coalesce(t.first_name || ' ' || t.last_name, '') as target_name, '' as target_department,
         case when t is null then 'no_match' when by_key then 'exact_key' else 'fuzzy_name' end
             as match_type,
         case when t is null then '0.000' else '1.000' end as match_score,
-        case when t is null then 'Best candidate score 0.000 below threshold 1.00'
+        case when t is null then 'No usable source name fields for fuzzy match'
             when by_key then 'Key match' else 'Name similarity match' end as reason
         from equal_src s left join pairs p on p.s = s.row_idx
         left join equal_tgt t on t.row_idx = p.t""",
     "fuzzy_unmatched_targets": EQUAL_VIEWS
     + """select student_id as target_record_key, first_name || ' ' || last_name as target_name,
         '' as target_department from equal_tgt where row_idx not in (select t from pairs)""",
+    "fuzzy_match": PEOPLE_VIEWS + "select * from decided",
+    "fuzzy_counts": PEOPLE_VIEWS
+    + """select count(*) as source_records, (select count(*) from people_tgt) as target_records,
+        cast(0.86 as double) as threshold,
+        count(*) filter (match_type = 'exact_key') as exact_key,
+        count(*) filter (match_type = 'fuzzy_name') as fuzzy_name,
+        count(*) filter (match_type = 'no_match') as no_match,
+        cast(0 as bigint) as target_unmatched_records,
+        cast(0 as bigint) as target_duplicates_ignored,
+        (select count(*) from people_tgt where student_id = '') as target_missing_key_rows,
+        'first_name|last_name' as name_columns, 'department' as department_column
+        from decided""",
     "name_keys": views("people_src")
     + """select row_idx, trim(first_name) || ' ' || trim(last_name) as name,
         lower(trim(first_name) || ' ' || trim(last_name)) as name_key from people_src""",
@@ -421,7 +483,14 @@ ORACLES: dict[str, str] = {
     "sla_summary": SLA_VIEWS
     + f"""select '{AS_OF}' as as_of, cast({SLA_DAYS} as bigint) as threshold_days,
         count(*) as total_rows,
-        count(*) filter (risk_state in ('at_risk', 'overdue')) as at_risk_rows from states""",
+        count(*) filter (risk_state in ('at_risk', 'overdue')) as at_risk_rows,
+        count(*) filter (risk_state = 'no_due_date') as no_due_date,
+        count(*) filter (risk_state = 'late_completed') as late_completed,
+        count(*) filter (risk_state = 'completed_on_time') as completed_on_time,
+        count(*) filter (risk_state = 'not_active') as not_active,
+        count(*) filter (risk_state = 'overdue') as overdue,
+        count(*) filter (risk_state = 'at_risk') as at_risk,
+        count(*) filter (risk_state = 'on_track') as on_track from states""",
     "audit_anomalies": views("src") + ANOMALIES,
     "audit_summary": views("src")
     + f"""select (select count(*) from src) as rows, count(*) as anomaly_rows,
@@ -435,6 +504,11 @@ ORACLES: dict[str, str] = {
         true as exists, cast(12 as bigint) as log_size_bytes from (select * from """
     + RUN_TOTALS
     + ") totals",
+    "run_manifest_steps": views("steps") + STEPS,
+    "run_manifest_files": views("artifacts")
+    + """select *, case when relative_path like 'reports/%' then 'reports' else 'outputs' end
+        as section from artifacts
+        where relative_path like 'reports/%' or relative_path like 'logs/%'""",
     "history_upsert": views(
         "runs",
         entry="select * from runs where run_id <> '' order by ordinal desc limit 1",

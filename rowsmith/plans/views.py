@@ -54,6 +54,13 @@ SOURCE_RECORDS = {
     "completed_at": f"case when o_orderstatus = 'F' then {_LATER} end",
 }
 
+# Scores as a spreadsheet script reads them.
+LENIENT_RECORDS = SOURCE_RECORDS | {
+    "score": f"""case when o_orderkey % 71 = 3 then '1_0' when o_orderkey % 73 = 4 then '0x10'
+        when o_orderkey % 79 = 5 then '0xfff' when o_orderkey % 83 = 6 then ' 7. '
+        else {SOURCE_RECORDS['score']} end""",
+}
+
 TARGET_RECORDS = {
     "row_idx": "cast(o_orderkey * 2 as bigint)",
     "student_id": f"case when o_orderkey % 11 = 0 then 'OLD' || {_ID} else 'STU' || {_ID} end",
@@ -87,30 +94,37 @@ _WORD1 = f"translate(substr(md5(cast(c_custkey as string)), 1, 8), {_LETTERS})"
 _WORD2 = f"translate(substr(md5(cast(c_custkey as string)), 9, 9), {_LETTERS})"
 _CKEY = "lpad(cast(c_custkey as string), 12, '0')"
 
+# Sources without a partner are named in digits: they share the space between two words
+# with every target and nothing else, so their best score is 2 * 1 / (18 + 18), with the
+# boost where a target of their department was unused at their turn.
+_ALONE = "c_custkey % 70 = 0"
+
 PEOPLE_SOURCE = {
     "row_idx": "cast(c_custkey as bigint)",
     "student_id": f"""case when c_custkey % 3 = 0 then ''
         when c_custkey % 3 = 1 then 'C' || {_CKEY} else 'X' || {_CKEY} end""",
-    "first_name": f"""case when c_custkey % 8 = 6 then 'Unknown'
+    "first_name": f"""case when {_ALONE} then substr({_CKEY}, 5, 8)
         when c_custkey % 2 = 0 then 'x' || substr({_WORD1}, 2) else upper({_WORD1}) end""",
-    "last_name": f"case when c_custkey % 8 = 6 then ' student ' else {_WORD2} end",
+    "last_name": f"case when {_ALONE} then ' ' || substr({_CKEY}, 4, 9) || ' ' else {_WORD2} end",
     "department": "case when c_custkey % 10 = 4 then null else lower(c_mktsegment) end",
 }
 
 PEOPLE_TARGET = {
     "row_idx": "cast(c_custkey as bigint)",
-    "student_id": f"case when c_custkey % 7 = 0 then '' else 'C' || {_CKEY} end",
-    "first_name": f"case when c_custkey % 8 = 6 then 'unknown' else {_WORD1} end",
-    "last_name": f"case when c_custkey % 8 = 6 then 'student' else {_WORD2} end",
+    "student_id": f"case when {_ALONE} then '' else 'C' || {_CKEY} end",
+    "first_name": _WORD1,
+    "last_name": _WORD2,
     "department": "c_mktsegment",
 }
 
-# Names are shared by many parts; keyed and unkeyed parts have names of their own.
+# Names are shared by many parts; keyed and unkeyed parts have names of their own, some
+# parts have none, and every name has at least as many targets as sources.
 EQUAL_SOURCE = {
     "row_idx": "cast(p_partkey as bigint)",
     "student_id": "case when p_partkey % 3 = 1 then 'P' || cast(p_partkey as string) else '' end",
-    "first_name": "case when p_partkey % 3 = 1 then 'keyed' else 'Plain' end",
-    "last_name": "p_name",
+    "first_name": """case when p_partkey % 3 = 1 then 'keyed' when p_partkey % 3 = 0 then 'Plain'
+        else ' ' end""",
+    "last_name": "case when p_partkey % 3 = 2 then '' else p_name end",
     "department": "p_type",
 }
 
@@ -118,7 +132,7 @@ EQUAL_TARGET = {
     "row_idx": "cast(p_partkey as bigint)",
     "student_id": "'P' || cast(p_partkey as string)",
     "first_name": """case when p_partkey % 3 = 1 then 'keyed'
-        when p_partkey % 3 = 0 then 'plain' else 'spare' end""",
+        when p_partkey % 3 = 0 or p_partkey % 2 = 0 then 'plain' else 'spare' end""",
     "last_name": "p_name",
     "department": "p_type",
 }
@@ -163,6 +177,7 @@ _COPIES = "case when o_orderkey % 50 = 12 then 2 else 1 end"
 
 BASE = {
     "src": ("orders", SOURCE_RECORDS),
+    "lenient_src": ("orders", LENIENT_RECORDS),
     "tgt": ("orders", TARGET_RECORDS),
     "tasks": ("orders", TASKS),
     "people_src": ("customer", PEOPLE_SOURCE),
@@ -175,6 +190,10 @@ BASE = {
 }
 
 
+#: Views that repeat some records.
+REPEATED = ("src", "lenient_src")
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -185,7 +204,7 @@ def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     rows = table(spark, folder, base)
     if base == "orders":
         rows = rows.selectExpr("*", *[f"{sql} as {part}" for part, sql in _ORDER_PARTS.items()])
-    if name == "src":
+    if name in REPEATED:
         rows = rows.selectExpr("*", f"explode(sequence(0, {_COPIES} - 1)) as copy")
     return rows.selectExpr(*[f"{sql} as {column}" for column, sql in columns.items()])
 
@@ -197,6 +216,6 @@ def view_sql(name: str) -> str:
     if base == "orders":
         parts = ", ".join(f"{sql} as {part}" for part, sql in _ORDER_PARTS.items())
         base = f"(select *, {parts} from orders)"
-    if name == "src":
+    if name in REPEATED:
         base = f"(select *, unnest(range({_COPIES})) as copy from {base})"
     return f"select {select} from {base}"

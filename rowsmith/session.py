@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,27 +27,46 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The checkpoint folder of the session.
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below the one that ``spark.checkpoint.dir`` names.
 
-    A cluster names its shared folder in ``spark.checkpoint.dir``.  Only a local
-    session without one gets a temporary folder; on a cluster that would be lost
-    with its machine, so there a missing folder is an error.
+    Only a session whose executors run in the driver's own process, as in tests, may do
+    without the setting; it gets a temporary folder.  Elsewhere such a folder would be
+    lost with its machine, so a missing setting is an error.
     """
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
+    root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("Set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="rowsmith-checkpoint-")
-    context.setCheckpointDir(folder)
-    return context.getCheckpointDir()
+        root = tempfile.mkdtemp(prefix="rowsmith-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/rowsmith-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder: later steps read it and recompute nothing."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._written_at = path
+    return table
+
+
+def dropped(table: DataFrame) -> None:
+    """Delete a table that :func:`written` made and nothing reads any more."""
+    path = getattr(table, "_written_at", None)
+    if path:
+        session = table.sparkSession
+        place = session._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(session._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def cut_lineage(df: DataFrame, instead_of: DataFrame | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back from there.
+
+    ``instead_of`` is a table that it takes the place of, deleted once ``df`` is written.
+    """
+    table = written(df)
+    if instead_of is not None:
+        dropped(instead_of)
+    return table

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.text import quoted, sql_trim
+from ..session import written
 
 ROW_IDX = "row_idx"
-MAX_BROADCAST_SPLITS = 1_000_000  # about 150 bytes each
 
 
 def read_records(
@@ -42,40 +43,54 @@ def with_row_idx(
     """Add the record ordinal the order-sensitive jobs use.
 
     With ``order_by`` the caller's unique numeric order column is used as it is.
-    Without it ``df`` must be a file scan (filters and projections on top are
-    fine): rows are numbered densely from ``start`` in path, offset and line
-    order.  The splits are counted first, in a scan of their own; the counts are
-    broadcast while they are few, so no row is shuffled and there is no global
-    window over rows.
+    Without it ``df`` must be a file scan: rows are numbered densely from ``start`` in
+    path and line order.  Filter afterwards.
+
+    Formats that tell a row's place in its file (Parquet) need the rows per file only.
+    Others are read once, tagged with their split and their order in it, and written to
+    the shared folder; counts and numbers come from that copy, so a second reading that
+    splits the files elsewhere cannot lose or misnumber rows.  Files are numbered by one
+    window over files, splits by a window within their file; rows never are.  A row
+    whose file or split has no count stops the job.
     """
     if order_by is not None:
         return df.withColumn(name, F.col(quoted(order_by)).cast("bigint"))
-
-    split = ["__path", "__block"]
-    tagged = df.withColumns(
-        {
-            "__path": F.col("_metadata.file_path"),
-            "__block": F.col("_metadata.file_block_start"),
-            "__id": F.monotonically_increasing_id(),
-        }
+    path = F.col("_metadata.file_path").alias("__path")
+    columns = [F.col(quoted(c)) for c in df.columns]
+    try:
+        tagged = df.select(*columns, path, F.col("_metadata.row_index").alias("__row"))
+    except AnalysisException:
+        block = F.col("_metadata.file_block_start").alias("__block")
+        # A split is read by one task in line order, so its ids are consecutive.
+        tagged = written(
+            df.select(*columns, path, block, F.monotonically_increasing_id().alias("__row"))
+        )
+        places = tagged.groupBy("__path", "__block").agg(
+            F.count(F.lit(1)).alias("n"), (-F.min("__row")).alias("shift")
+        )
+    else:
+        places = tagged.groupBy("__path").agg((F.max("__row") + 1).alias("n"), F.lit(0).alias("shift"))
+    within = [c for c in places.columns if c.startswith("__")]
+    files = places.groupBy("__path").agg(F.sum("n").alias("n"))
+    earlier = Window.orderBy("__path").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select(
+        F.col("__path").alias("__file"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("files")
     )
-    # A split is read by one task in line order, so its ids are consecutive.
-    splits = (
-        tagged.groupBy(*split)
-        .agg(F.count(F.lit(1)).alias("n"), F.min("__id").alias("first"))
-        .persist()
+    if "__block" in within:
+        before = Window.partitionBy("__path").orderBy("__block").rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+        places = places.withColumn("shift", F.col("shift") + F.coalesce(F.sum("n").over(before), F.lit(0)))
+    offsets = places.join(files, F.col("__path") == F.col("__file")).select(
+        *within, (F.col("shift") + F.col("files")).alias("offset")
     )
-    in_order = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
-    # One row per file split: the number of splits bounds this window, not the data.
-    offsets = splits.select(
-        *split, (F.coalesce(F.sum("n").over(in_order), F.lit(0)) - F.col("first")).alias("shift")
+    known = F.coalesce(
+        F.col("offset"), F.raise_error(F.lit("A row has no place among the counted files")).cast("bigint")
     )
-    if splits.count() <= MAX_BROADCAST_SPLITS:
-        offsets = F.broadcast(offsets)
     return (
-        tagged.join(offsets, split)
-        .withColumn(name, F.col("__id") + F.col("shift") + F.lit(start))
-        .drop(*split, "__id", "shift")
+        tagged.join(offsets, within, "left")
+        .withColumn(name, F.col("__row") + known + F.lit(start))
+        .drop(*within, "__row", "offset")
     )
 
 

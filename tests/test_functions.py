@@ -105,8 +105,9 @@ def test_to_int(spark):
 
 
 def test_lenient_number(spark):
-    assert evaluate(spark, ["", None, " 3", "x"], "string", numbers.lenient_number) == [
-        0.0, 0.0, 3.0, None,
+    texts = ["", None, " 3", "x", "1_0", "0x10", "0b11", "0O17", "-0x1", "5.", ".5", "1e3", "Infinity", "inf"]
+    assert evaluate(spark, texts, "string", numbers.lenient_number) == [
+        0.0, 0.0, 3.0, None, None, 16.0, 3.0, 15.0, None, 5.0, 0.5, 1000.0, float("inf"), None,
     ]
 
 

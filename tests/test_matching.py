@@ -67,20 +67,17 @@ def crowd(seed, size, names, typos, letters, same_order=False, teams=("a", "b",
     return [record(i) for i in range(size)], [record(i) for i in range(size)]
 
 
-def check(spark, source, target, threshold=0.86, boost=True, floor=0.0):
+def check(spark, source, target, threshold=0.86, boost=True):
     result = matching.fuzzy_match(
         spark.createDataFrame(source, RECORD),
         spark.createDataFrame(target, RECORD),
         name_columns=["name"],
         department_column="department" if boost else "",
         threshold=threshold,
-        score_floor=floor,
     )
     expected, left = serial(source, target, threshold, boost)
     rows = result.decisions.orderBy("row_idx").collect()
     got = [(r.target_record_key, r.match_type, r.match_score) for r in rows]
-    if floor is None:
-        expected = [(k, m, "0.000" if m == "no_match" else s) for k, m, s in expected]
     assert got == expected
     assert {r.target_record_key for r in result.unmatched_targets.collect()} == left
     used = [k for k, _, _ in got if k]
@@ -96,9 +93,8 @@ def check(spark, source, target, threshold=0.86, boost=True, floor=0.0):
 @pytest.fixture
 def small_limits(monkeypatch):
     """Make every large-input path run on small inputs."""
-    monkeypatch.setattr(matching, "PLAIN_RANK", 7)
+    monkeypatch.setattr(matching, "RANGE", 7)
     monkeypatch.setattr(matching, "BLOCK", 4)
-    monkeypatch.setattr(matching, "SEARCH_AT_ONCE", 10)
 
 
 def test_hand_checked_records(spark):
@@ -136,21 +132,21 @@ def test_contended_names(spark):
 
 def test_large_input_paths(spark, small_limits):
     source, target = crowd(4, 60, 40, 0.6, "abcdefgh")
-    check(spark, source, target, floor=None)
+    check(spark, source, target)
 
 
 def test_without_department(spark):
-    check(spark, *crowd(5, 60, 40, 0.5, "abcdefghij"), threshold=0.8, boost=False, floor=None)
+    check(spark, *crowd(5, 60, 40, 0.5, "abcdefghij"), threshold=0.8, boost=False)
 
 
 def test_hot_name_with_owners_in_order(spark, small_limits):
     source, target = crowd(7, 300, 1, 0.0, "abcdefgh", same_order=True, blank=0.0)
-    check(spark, source, target, floor=None)
+    check(spark, source, target)
 
 
 def test_hot_name_with_owners_in_any_order(spark):
     source, target = crowd(11, 40, 1, 0.0, "abcdefgh", teams=("a", ""), blank=0.0)
-    check(spark, source, target, floor=None)
+    check(spark, source, target)
 
 
 def test_thresholds_out_of_range(spark):
@@ -187,6 +183,26 @@ def test_gram_filter_loses_no_pair():
             assert similarity.least_overlap(len(b), at_least, q) <= bound
 
 
+@pytest.mark.parametrize("at_least", [0.0, 1e-6, 0.1, 0.3, 0.7, 0.8, 0.86, 0.94, 1.0])
+def test_grams_and_prefix_lengths_as_expressions(spark, at_least):
+    q = similarity.gram_size(at_least)
+    names = spark.createDataFrame([("abab" * 3 + "x" * n, n + 12) for n in range(20)] + [("a", 1)], "n string, k int")
+    for name, length, found, keep in names.select(
+        "n", "k", similarity.grams(F.col("n"), at_least), similarity.prefix_length(F.col("k"), at_least)
+    ).collect():
+        padded = "\x02" * (q - 1) + name + "\x03" * (q - 1)
+        plain = Counter(padded[i : i + q] for i in range(len(padded) - q + 1))
+        assert sorted(found) == sorted(f"{g}\x01{i + 1}" for g, n in plain.items() for i in range(n))
+        if at_least == 0 or at_least >= 0.1:
+            assert keep == length + q - similarity.least_overlap(length, at_least, q)
+
+
+def test_places_after_a_free_target_spread_over_ranges(spark, small_limits):
+    source = [(i, "", "same name" if i % 2 else "same nama", "a") for i in range(60)]
+    target = [(i, f"K{i}", "same name" if i % 2 else "same nama", "a") for i in range(70)]
+    check(spark, source, target, threshold=0.8)
+
+
 def test_similar_names_equals_all_pairs(spark):
     source, target = crowd(2, 60, 25, 0.6, "abcde")
     left = sorted({" ".join(n.lower().split()) for _, _, n, _ in source} - {""})
