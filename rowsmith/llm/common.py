@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import re
 import tempfile
-import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rowsmith.session import written
+
 
 _SHIPPED: set[str] = set()
 
@@ -66,28 +66,6 @@ def keep_rows(df: DataFrame, name: str, ids: DataFrame, how: str) -> DataFrame:
     return joined.toDF(*columns)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one that ``spark.checkpoint.dir`` names.
-
-    Only a session whose executors run in the driver's own process, as in tests, may do
-    without the setting; it gets a temporary folder.
-    """
-    root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise RuntimeError("Set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="rowsmith-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/rowsmith-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the shared folder: later steps read it and recompute nothing."""
-    path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
