@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.llm.common import numbered, written
-from rowsmith.llm.packing import tokenized
+from rowsmith.llm.packing import token_rows
 
 
 class RoomTree:
@@ -130,7 +130,7 @@ def pieces(
     documents of their own.  No rows give no pieces.
     """
     spark = docs.sparkSession
-    rows = tokenized(docs, path, end, wide, id_column, text)
+    rows = token_rows(docs, path, end, wide, id_column, text)
     kind = rows.schema["doc_id"].dataType.simpleString()
     split = written(
         rows.select("doc_id", "doc_tokens", "ids")

@@ -57,11 +57,11 @@ def _tokenized(path: str, end: int, kind: str):
     return run
 
 
-def tokenized(
+def token_rows(
     docs: DataFrame, path: str, end: int = 2, wide: bool = False,
     id_column: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """(doc_id, part, begin, doc_tokens, ids): each document's ids and the end id, written.
+    """(doc_id, part, begin, doc_tokens, ids): each document's ids and the end id.
 
     ``begin`` counts the tokens before the document in its partition.  Ids are packed as 16
     bits, or as 32 with ``wide`` for vocabularies above 65,536.  Null texts are empty.
@@ -69,7 +69,7 @@ def tokenized(
     rows = pick(docs, id_column, text)
     kind = rows.schema[0].dataType.simpleString()
     schema = f"doc_id {kind}, part long, begin long, doc_tokens long, ids binary"
-    return written(rows.mapInArrow(_tokenized(path, end, "<u4" if wide else "<u2"), schema))
+    return rows.mapInArrow(_tokenized(path, end, "<u4" if wide else "<u2"), schema)
 
 
 def _cut(length: int, kind: str, crc: bool):
@@ -113,7 +113,7 @@ def concatenate_and_cut(
     No rows give no pieces.
     """
     spark = docs.sparkSession
-    rows = tokenized(docs, path, end, wide, id_column, text)
+    rows = written(token_rows(docs, path, end, wide, id_column, text))
     totals = rows.groupBy("part").agg(F.sum("doc_tokens")).orderBy("part").collect()
     places = itertools.accumulate([t[1] for t in totals], initial=0)
     begins = spark.createDataFrame(
