@@ -86,8 +86,10 @@ def fuzzy_match(
     people = cut_lineage(_people(source, key, name_columns, department_column, order_by))
     first = index_by(target, key, order_by)
     places = _people(first, key, name_columns, department_column, order_by)
+    kept: list[DataFrame] = []
     sources = people.select(F.col("idx").alias("s"), "key", "nk", "dk")
-    targets = cut_lineage(_in_blocks(places.withColumnRenamed("idx", "t")))
+    targets = cut_lineage(_in_blocks(places.withColumnRenamed("idx", "t"), kept))
+    _release(kept)
 
     held = cut_lineage(_hold_by_key(sources, targets))
     state = _Assignment(sources.where("nk <> ''").select("s", "nk", "dk"), targets, held, boost)
@@ -126,13 +128,16 @@ def _people(
     )
 
 
-def running(df: DataFrame, group: Sequence[str], order: str, **columns: Column) -> DataFrame:
+def running(
+    df: DataFrame, group: Sequence[str], order: str, kept: list[DataFrame], **columns: Column
+) -> DataFrame:
     """Add the running total of each column over each group; of columns named ``max_...``
     the running maximum.
 
     A group is cut into ranges of ``RANGE`` values of the order column, which is unique in
     it; each range is aggregated apart and merged with the aggregate of the ranges before
-    it, so a group of any size spreads over tasks.
+    it, so a group of any size spreads over tasks.  The rows are read twice and persisted
+    for that; the caller releases what it finds in ``kept``.
     """
 
     def highest(name: str) -> bool:
@@ -142,7 +147,8 @@ def running(df: DataFrame, group: Sequence[str], order: str, **columns: Column)
         return F.max(column) if highest(name) else F.sum(column)
 
     marked = df.withColumns({name: c.cast("bigint") for name, c in columns.items()})
-    cut = marked.withColumn("__range", F.floor(F.col(order) / RANGE))
+    cut = marked.withColumn("__range", F.floor(F.col(order) / RANGE)).persist()
+    kept.append(cut)
     ranges = cut.groupBy(*group, "__range").agg(
         *[aggregate(name, name).alias(f"__{name}") for name in columns]
     )
@@ -172,14 +178,14 @@ def running(df: DataFrame, group: Sequence[str], order: str, **columns: Column)
     )
 
 
-def group_rank(df: DataFrame, group: Sequence[str], order: str, name: str = "rank") -> DataFrame:
-    """Number the rows of each group from 1 by a unique order column."""
-    return running(df, group, order, **{name: F.lit(1)})
+def _release(kept: list[DataFrame]) -> None:
+    for df in kept:
+        df.unpersist()
 
 
-def _in_blocks(targets: DataFrame) -> DataFrame:
+def _in_blocks(targets: DataFrame, kept: list[DataFrame]) -> DataFrame:
     """Add the block number of each target within its name and department."""
-    ranked = group_rank(targets, ["nk", "dk"], "t")
+    ranked = running(targets, ["nk", "dk"], "t", kept, rank=F.lit(1))
     return ranked.withColumn("block", F.floor((F.col("rank") - 1) / BLOCK)).drop("rank")
 
 
@@ -256,10 +262,11 @@ class _Assignment:
         held = self.held.select("t", F.col("s").alias("owner"))
         owners = self.sources.select(F.col("s").alias("owner"), F.col("nk").alias("owner_nk"))
         owned = F.col("owner").isNotNull()
+        kept: list[DataFrame] = []
         targets = running(
             self.targets.select("t", "nk").join(pure, "nk", "left_semi")
             .join(held, "t", "left").join(owners, "owner", "left"),
-            ["nk"], "t",
+            ["nk"], "t", kept,
             pos=F.lit(1), taken=F.when(owned, 1).otherwise(0),
         ).persist()
         # Sources that hold a target of another name do not take part.
@@ -270,7 +277,7 @@ class _Assignment:
             self.sources.select("s", "nk").join(pure, "nk", "left_semi")
             .join(waiting, "s", "left").join(mine, "s", "left")
             .where("waiting or mine"),
-            ["nk"], "s",
+            ["nk"], "s", kept,
             wait_rank=F.when(F.col("waiting"), 1).otherwise(0), own_rank=own,
         )
         seats = targets.where(owned).select(
@@ -307,8 +314,7 @@ class _Assignment:
         )
         new = stays.unionByName(moves).select("t", "s", F.lit(1.0).alias("score"), "by_key")
         self.held = cut_lineage(rest.unionByName(new), self.held)
-        targets.unpersist()
-        people.unpersist()
+        _release([targets, people, *kept])
 
     def search(self, names: DataFrame, level: float) -> tuple[DataFrame, DataFrame]:
         """Proposer groups of the names and the edges of each group.
@@ -392,7 +398,8 @@ class _Assignment:
         listed = reachable.join(targets, ["tnk", "tdk", "block"]).where(
             F.col("holder") > F.col("first_s")
         )
-        bids = self.bids(waiting, listed.select(*group, "k", "t", "score", "holder"), group)
+        kept = [waiting, groups, targets]
+        bids = self.bids(waiting, listed.select(*group, "k", "t", "score", "holder"), group, kept)
         # k of every group with an offer, counted once, travels with its first bid.
         hoped = F.when(F.col("rank") == 1, F.col("k"))
         outcome = (
@@ -423,11 +430,12 @@ class _Assignment:
                 ),
                 self.held,
             )
-        for df in (waiting, groups, targets, outcome):
-            df.unpersist()
+        _release([outcome, *kept])
         return counts.displaced, counts.displaced > 0 or counts.accepted < counts.hoped
 
-    def bids(self, waiting: DataFrame, listed: DataFrame, group: list[str]) -> DataFrame:
+    def bids(
+        self, waiting: DataFrame, listed: DataFrame, group: list[str], kept: list[DataFrame]
+    ) -> DataFrame:
         """The target each waiting source proposes to.
 
         Let ``first`` be the first place on the group's list whose holder comes
@@ -435,7 +443,7 @@ class _Assignment:
         its ``first`` nor taken by sources 1..j-1 of the group: ``j`` plus the
         running maximum of ``first - j``.  No place it could get is passed over.
         """
-        offers = running(listed, group, "t", place=F.lit(1), max_reach=F.col("holder"))
+        offers = running(listed, group, "t", kept, place=F.lit(1), max_reach=F.col("holder"))
         # ``reach`` never falls along the list; places with the same reach count as one row,
         # so all that follow a free target do not meet in one task.
         steps = offers.groupBy(*group, F.col("max_reach").alias("v")).agg(F.count(F.lit(1)).alias("n"))
@@ -444,9 +452,9 @@ class _Assignment:
             steps.where(F.col("v") < _NEVER).select(*group, "v", "n", none).unionByName(
                 waiting.select(*group, F.col("s").alias("v"), F.lit(0).cast("bigint").alias("n"), "s")
             ),
-            group, "v", passed=F.col("n"), rank=F.when(F.col("s").isNull(), 0).otherwise(1),
+            group, "v", kept, passed=F.col("n"), rank=F.when(F.col("s").isNull(), 0).otherwise(1),
         ).where("s is not null")
-        ahead = running(ranked.drop("v", "n"), group, "s", max_ahead=F.col("passed") + 1 - F.col("rank"))
+        ahead = running(ranked.drop("v", "n"), group, "s", kept, max_ahead=F.col("passed") + 1 - F.col("rank"))
         placed = ahead.withColumn("place", F.col("rank") + F.col("max_ahead"))
         return placed.join(offers.drop("max_reach"), [*group, "place"])
 
