@@ -33,7 +33,7 @@ from ..functions.similarity import (
     ratio,
 )
 from ..functions.text import join_name, name_key, norm, quoted
-from ..session import cut_lineage
+from ..session import cut_lineage, dropped
 from .dedupe import index_by, index_counts
 
 DECISION_COLUMNS = (
@@ -136,8 +136,8 @@ def running(
 
     A group is cut into ranges of ``RANGE`` values of the order column, which is unique in
     it; each range is aggregated apart and merged with the aggregate of the ranges before
-    it, so a group of any size spreads over tasks.  The rows are read twice and persisted
-    for that; the caller releases what it finds in ``kept``.
+    it, so a group of any size spreads over tasks.  The rows are read twice, so they are
+    written; the caller releases what it finds in ``kept``.
     """
 
     def highest(name: str) -> bool:
@@ -147,7 +147,7 @@ def running(
         return F.max(column) if highest(name) else F.sum(column)
 
     marked = df.withColumns({name: c.cast("bigint") for name, c in columns.items()})
-    cut = marked.withColumn("__range", F.floor(F.col(order) / RANGE)).persist()
+    cut = cut_lineage(marked.withColumn("__range", F.floor(F.col(order) / RANGE)))
     kept.append(cut)
     ranges = cut.groupBy(*group, "__range").agg(
         *[aggregate(name, name).alias(f"__{name}") for name in columns]
@@ -181,6 +181,7 @@ def running(
 def _release(kept: list[DataFrame]) -> None:
     for df in kept:
         df.unpersist()
+        dropped(df)
 
 
 def _in_blocks(targets: DataFrame, kept: list[DataFrame]) -> DataFrame:

@@ -240,7 +240,7 @@ def test_reconcile(spark):
         ("c", "source_only", "", "y", ""),
         ("d", "target_only", "", "", "z"),
     ]
-    summary = reconcile.reconcile_summary(source, target, "id", ["v"]).first().asDict()
+    summary = reconcile.reconcile_summary(source, target, "id", ["v", "w", "extra"]).first().asDict()
     assert summary == {
         "source_records": 5, "source_duplicates_ignored": 1, "source_missing_key_rows": 1,
         "target_records": 4, "target_duplicates_ignored": 0, "target_missing_key_rows": 1,
