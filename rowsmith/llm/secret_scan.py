@@ -3,8 +3,10 @@
 A vocabulary learnt from text spends few tokens on what people write and many on random
 strings.  A run of key characters that costs a token for every two characters or fewer, by
 a tiktoken vocabulary, is taken for a secret, unless it is a digest of a known size, a
-UUID, a number, or an identifier made of words.  Spans so found are added to those of the
-base patterns, which always stay.  One pass over the texts; nothing is shuffled.
+UUID, a number, or an identifier made of words.  What words are the same vocabulary tells:
+the letters of an identifier, split at marks, digits and case changes, cost few tokens.
+Spans so found are added to those of the base patterns, which always stay.  One pass over
+the texts; nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -33,10 +35,13 @@ _RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+")
 _DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 _DIGESTS = {32, 40, 56, 64, 96, 128}
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
-#: Identifiers: parts between marks, each one word or several in camel case, with few digits.
-_PART = r"(?:(?:[A-Z]?[a-z]{2,}+[0-9]{0,4}+)++|[A-Z]{2,}+[0-9]{0,4}+|[A-Za-z]?[0-9]{1,4}+)"
-_NAME = re.compile(rf"[-_/+=]*{_PART}(?:[-_/+=]++{_PART})*+[-_/+=]*\Z")
 _NUMBER = re.compile(r"[0-9+/_=-]+\Z")
+#: Dates, versions and part numbers: short numbers between marks, a letter before some.
+_SHORT = r"[A-Za-z]?[0-9]{1,4}+"
+_NUMBERS = re.compile(rf"[-_/+=]*+{_SHORT}(?:[-_/+=]++{_SHORT})++[-_/+=]*+\Z")
+#: The letters of an identifier: words of one case or in camel case; it has few digits in a row.
+_WORD = re.compile(r"[A-Z]++(?![a-z])|[A-Z]?[a-z]++|[A-Z]+(?=[A-Z][a-z])")
+_DIGITS = re.compile(r"[0-9]{5}")
 
 
 def base_spans(text: str) -> list[Span]:
@@ -48,11 +53,10 @@ def base_spans(text: str) -> list[Span]:
 
 
 def excluded(run: str) -> bool:
-    """Known digests, UUIDs, numbers and identifiers: not secrets whatever they cost."""
-    if len(run) in _DIGESTS and _DIGEST.match(run) or _UUID.match(run) or _NUMBER.match(run):
+    """Known digests, UUIDs and numbers: not secrets whatever they cost."""
+    if len(run) in _DIGESTS and _DIGEST.match(run):
         return True
-    kinds = sum(bool(re.search(c, run)) for c in ("[a-z]", "[A-Z]", "[0-9]"))
-    return kinds < 2 or bool(_NAME.match(run))
+    return any(p.match(run) for p in (_UUID, _NUMBER, _NUMBERS))
 
 
 class Cost:
@@ -68,10 +72,25 @@ class Cost:
             mergeable_ranks={base64.b64decode(a): int(b) for a, b in lines},
         )
 
-    def per_token(self, run: str) -> float:
+    def tokens(self, run: str) -> int:
         # Long runs are read in parts: byte pairs take time with the square of a run.
         parts = [run[i : i + 512] for i in range(0, len(run), 512)]
-        return len(run) / sum(len(self.library.encode_ordinary(p)) for p in parts)
+        return sum(len(self.library.encode_ordinary(p)) for p in parts)
+
+    def per_token(self, run: str) -> float:
+        return len(run) / self.tokens(run)
+
+    def identifier(self, run: str, most: float) -> bool:
+        """Whether the letters of a run are words: more than ``most`` of them to a token.
+
+        A word costs what its cheapest form does: as it stands, after a space, or in small
+        letters after a space, which is how the vocabulary has seen most words.
+        """
+        words = _WORD.findall(run)
+        if not words or _DIGITS.search(run):
+            return False
+        cost = sum(min(map(self.tokens, (w, f" {w}", f" {w.lower()}"))) for w in words)
+        return sum(map(len, words)) > most * cost
 
 
 _OPEN: dict[str, Cost] = {}
@@ -80,10 +99,12 @@ _OPEN: dict[str, Cost] = {}
 def costly(text: str, path: str, most: float) -> list[Span]:
     if path not in _OPEN:
         _OPEN[path] = Cost(path)
+    cost = _OPEN[path]
+    runs = ((m.group(), m.span()) for m in _RUN.finditer(text))
     return [
-        ("random", *m.span())
-        for m in _RUN.finditer(text)
-        if not excluded(m.group()) and _OPEN[path].per_token(m.group()) <= most
+        ("random", *span)
+        for run, span in runs
+        if not excluded(run) and cost.per_token(run) <= most and not cost.identifier(run, most)
     ]
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import string
 import zlib
 from collections import Counter
 
@@ -18,6 +19,8 @@ from rowsmith.llm import binary_output, decontamination, packing, pii, secret_sc
 from rowsmith.llm.words import ALNUM, LOWER, NOT_SPACE, blocks, run_hashes, spans, word_hashes
 from tests.llm.cases import PLAIN, SPACED, documents, groups, low, prose, texts
 
+BASE36 = string.ascii_lowercase + string.digits
+
 
 def words_of(text, members, lower=False):
     data = np.frombuffer(text.encode(), dtype=np.uint8)
@@ -388,6 +391,24 @@ def test_token_efficiency(run, secret):
     assert found == ([("random", 4, 4 + len(run))] if secret else [])
 
 
+@pytest.mark.parametrize("letters", [string.ascii_lowercase, string.ascii_uppercase, BASE36, BASE36.upper()])
+@pytest.mark.parametrize("size", [16, 20, 32])
+def test_random_strings_of_few_kinds_are_secrets(letters, size):
+    rng = random.Random(size)
+    runs = ["".join(rng.choices(letters, k=size)) for _ in range(400)]
+    found = secret_scan.costly(" ".join(runs), secret_scan.vocabulary(), 2.0)
+    assert len(found) >= 0.96 * len(runs)
+
+
+def test_words_of_any_length_are_no_secrets():
+    runs = """internationalization antidisestablishmentarianism characteristically telecommunications
+        Donaudampfschifffahrtsgesellschaft Bundesverfassungsgericht constitutionnellement
+        anticonstitucionalmente INTERNATIONALIZATION MAX_CONNECTION_POOL_SIZE HAVE_SYS_EVENT_H
+        HTMLParserFactoryBean2 x86_64-linux-gnu-gcc-12 org/apache/spark/sql s3-2024-10-12-0001
+        kubernetes-dashboard-v2 ================ xxxxxxxxxxxxxxxxxxxx"""
+    assert secret_scan.costly(runs, secret_scan.vocabulary(), 2.0) == []
+
+
 def test_masking_keeps_all_rows_and_columns(spark):
     frame = documents(spark)
     out = secret_scan.redact(frame, secret_scan.vocabulary())
