@@ -12,7 +12,8 @@ with numpy by Adam.
 
 The prior is the share of toxic rows among the labels of the training fold, counted over
 all of them, less one standard error, as too high a prior costs clean documents.  The two samples are bounded (``most`` rows each, texts of at most ``wide``
-different words and beginnings; 8,000 x 32 KB at the defaults), taken in the order of a hash of the id.
+different words and beginnings; 8,000 x 32 KB at the defaults): distinct ids in the order of a
+hash, and of the texts of a repeated id the one with the smallest hash.
 Scores read every whole text, in one pass that shuffles nothing.
 """
 
@@ -199,22 +200,25 @@ def train(
     prior = max(share - (share * (1 - share) / max(n, 1)) ** 0.5, share / 2)
     rows = pick(docs, id_column, text).toDF("doc_id", "text").where(~held_out())
     order = F.xxhash64("doc_id")
+    ids = rows.select("doc_id").distinct()
     some = [
         known.where("toxic = 1").orderBy(order, "doc_id").limit(most).select("doc_id", F.lit(True)),
-        rows.orderBy(order, "doc_id").limit(most).select("doc_id", F.lit(False)),
+        ids.orderBy(order, "doc_id").limit(most).select("doc_id", F.lit(False)),
     ]
     wanted = spark.createDataFrame(
         [tuple(r) for part in some for r in part.collect()],
         f"wanted {rows.schema[0].dataType.simpleString()}, positive boolean",
     )
-    # At most 2 x ``most`` ids.
+    # At most ``most`` ids of each sample; both are bounded by their ids alone.
     taken = rows.join(F.broadcast(wanted), F.col("doc_id") == F.col("wanted"))
+    least = F.struct(F.col("text").isNull().alias("n"), F.xxhash64("text").alias("h"), "text")
+    single = taken.groupBy("positive", "doc_id").agg(F.min(least).alias("least"))
     found = (
-        taken.select("positive", "text")
+        single.select("positive", F.col("least.text").alias("text"))
         .mapInArrow(_features(wide), "positive boolean, words binary")
-        .limit(2 * most)
         .collect()
     )
+    found.sort(key=lambda r: bytes(r.words))  # sums do not depend on the order of arrival
     sets = [[np.frombuffer(r.words, np.uint32) for r in found if r.positive == p] for p in (True, False)]
     return fit(sets[0], sets[1], prior)
 

@@ -150,6 +150,27 @@ def test_held_out_labels_change_nothing(spark):
     assert models[0].bias == models[1].bias and (models[0].weights == models[1].weights).all()
 
 
+def test_repeated_ids_do_not_thin_the_sample(spark):
+    rows, labels = labelled(spark, 300, 2)
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    train = lambda some: toxicity.train(documents(spark, some), known, most=60)
+    once = train(rows)
+    hot = next(r for r in rows if r[0] not in {i for i, _, _ in labels} and zlib.crc32(str(r[0]).encode()) % 5)
+    assert len(once.names)
+    for some in ([r for r in rows for _ in range(2)], [hot] * 500 + rows, rows[::-1] + [hot] * 500):
+        again = train(some)
+        assert (again.names == once.names).all() and (again.weights == once.weights).all()
+        assert again.bias == once.bias
+
+
+def test_an_id_of_several_texts_gives_one(spark):
+    rows, labels = labelled(spark, 300, 2)
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    more = [*rows, *[(i, f"other {t}") for i, t in rows[:100]], *[(i, None) for i, _ in rows[100:]]]
+    models = [toxicity.train(documents(spark, some), known, most=60) for some in (more, more[::-1])]
+    assert (models[0].names == models[1].names).all() and (models[0].weights == models[1].weights).all()
+
+
 def test_without_positives_scores_are_low():
     model = toxicity.fit([], [np.array([1, 2], np.uint32)], 0.0)
     assert model.scores(np.zeros(0, np.uint8), np.array([0, 0]))[0] < 0.5
