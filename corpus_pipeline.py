@@ -24,8 +24,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with ten consecutive words of a benchmark item go."""
-    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"), width=10)
+    """Documents with ten consecutive words of a benchmark item go, each by its own text."""
+    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"), width=10, by_row=True)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,6 +53,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def text_key(text):
+    """A hash of a text by which rows of one id are told apart; 0 for no text."""
+    return F.when(text.isNull(), F.lit(0)).otherwise(F.xxhash64(text))
+
+
 def keep_rows(df: DataFrame, name: str, ids: DataFrame, how: str) -> DataFrame:
     """The rows of ``df`` whose ``name`` is (``left_semi``) or is not (``left_anti``) in ``ids``.
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsmith.llm.common import keep_rows, pick, written
+from rowsmith.llm.common import keep_rows, pick, place, text_key, written
 from rowsmith.llm.words import ALNUM, LOWER, blocks, spans, word_hashes
 
 #: The term of the row that lists a segment's documents; no word has this hash.
@@ -296,10 +296,24 @@ def _searched(index: DataFrame, windows, slop: int, schema: str, arrow: pa.Schem
     return needed.groupBy("segment").applyInArrow(_search(windows, slop, arrow), schema)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, width: int = 10, by_row: bool = False
+) -> DataFrame:
     """The rows of ``docs`` with no exact match, all columns kept.
 
-    Rows are told apart by their id; rows that share one are judged together.
+    Rows are told apart by their id, and rows that share one, or have none, are judged
+    together.  With ``by_row`` each is judged by its own text: rows are told apart by their
+    id and a hash of the text, so that a match takes no other text with it.
     """
-    hit = overlaps(docs, benchmark, width).where("n_hit > 0").select("doc_id").distinct()
-    return keep_rows(docs, "doc_id", hit, "left_anti")
+    if not by_row:
+        hit = overlaps(docs, benchmark, width).where("n_hit > 0").select("doc_id").distinct()
+        return keep_rows(docs, "doc_id", hit, "left_anti")
+    columns = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(columns))])
+    doc, text = f"c{place(columns, 'doc_id')}", f"c{place(columns, 'text')}"
+    keyed = plain.withColumn("_id", F.struct(F.col(doc).alias("doc_id"), text_key(F.col(text)).alias("key")))
+    texts = keyed.select("_id", F.col(text).alias("text"))
+    hit = overlaps(texts, benchmark, width, id_column="_id").where("n_hit > 0")
+    hit = hit.select(F.col("doc_id.doc_id").alias("_hit"), F.col("doc_id.key").alias("_key")).distinct()
+    same = F.col(doc).eqNullSafe(F.col("_hit")) & (F.col("_id.key") == F.col("_key"))
+    return keyed.join(hit, same, "left_anti").drop("_id").toDF(*columns)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith.llm.common import components, pick, place, written
+from rowsmith.llm.common import components, pick, place, text_key, written
 from rowsmith.llm.words import U64
 
 BITS = 64
@@ -223,7 +223,7 @@ def near_duplicates(
     """
     rows = pick(docs, id_column, text).toDF("doc_id", "text")
     id_type = rows.schema[0].dataType.simpleString()
-    keyed = rows.withColumn("text_key", _text_key(F.col("text")))
+    keyed = rows.withColumn("text_key", text_key(F.col("text")))
     found = written(
         keyed.mapInArrow(_fingerprints(words), f"doc_id {id_type}, fp long, text_key long")
     )
@@ -241,10 +241,6 @@ def near_duplicates(
     )
 
 
-def _text_key(text):
-    return F.when(text.isNull(), F.lit(0)).otherwise(F.xxhash64(text))
-
-
 def hexadecimal(column):
     return F.lower(F.lpad(F.hex(column), 16, "0"))
 
@@ -264,7 +260,7 @@ def keep_one(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
     columns = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(columns))])
     doc, text = f"c{place(columns, 'doc_id')}", f"c{place(columns, 'text')}"
-    keyed = plain.withColumn("_text", _text_key(F.col(text)))
+    keyed = plain.withColumn("_text", text_key(F.col(text)))
     same = F.col(doc).eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key"))
     out = keyed.join(kept, same, "left_semi")
     if not found.groupBy("doc_id", "text_key").count().where("count > 1").isEmpty():

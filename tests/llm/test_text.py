@@ -15,6 +15,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings, strategies as st
 
+import corpus_pipeline
 from rowsmith.llm import binary_output, decontamination, packing, pii, secret_scan, simhash, substrings
 from rowsmith.llm.words import ALNUM, LOWER, NOT_SPACE, blocks, run_hashes, spans, word_hashes
 from tests.llm.cases import PLAIN, SPACED, documents, groups, low, prose, texts
@@ -156,6 +157,18 @@ def test_decontamination(spark):
     assert {r[0] for r in kept.collect()} == clean
 
 
+def test_decontamination_by_row(spark, tmp_path):
+    rng = random.Random(6)
+    item = prose(rng, 12)
+    rows = [(1, "clean"), (1, f"x {item}"), (None, item), (None, "clean"), (None, None), (None, "clean"), (2, "clean"), (3, item), (3, item), (4, "")]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    frame = documents(spark, rows)
+    kept = corpus_pipeline.drop_contaminated(spark, frame, str(tmp_path))
+    assert kept.columns == frame.columns
+    assert Counter((r[0], r[1]) for r in kept.collect()) == Counter(r for r in rows if item not in (r[1] or ""))
+
+
 def test_proximity_matches(spark):
     docs = spark.createDataFrame(
         [(1, "a b c d e f"), (2, "a x b c d e"), (3, "a x x x b c d e")], "doc_id long, text string"
