@@ -9,8 +9,9 @@ and each block searches the stored index.  Only lists of the block's words leave
 (a broadcast semi join; the block bounds its size).  Per segment a window begins with the
 list of its rarest word, shifted by the word's offset; each further list, rarest first, is
 intersected with what is left.  Places that all lists share are exact phrase matches; with
-``slop`` each word may be that many places off, which gives proximity matches.  Both are
-returned apart.
+``slop`` each word may be that many places off in the same text, which gives proximity
+matches: the starts so found, adjacent ones taken as one, that are not within ``slop`` of an
+exact match of the window.  Both are returned apart.
 
 No list is cut, and no list leaves its segment, so a very common word costs each segment
 its own places only.  Words are known by 64-bit hashes of their bytes.
@@ -144,49 +145,73 @@ class _Segment:
         self.keys = np.repeat(np.arange(len(lists)), self.sizes) * _ROOM + self.places
 
     def matches(self, windows: np.ndarray, slop: int):
-        """(window, start) where every list agrees to within ``slop`` places."""
+        """(window, start, text) where every list agrees to within ``slop`` places."""
         none = np.zeros(0, np.int64)
         if not len(self.terms) or not len(windows):
-            return none, none
+            return none, none, none
         at = np.searchsorted(self.terms, windows)
         at[at == len(self.terms)] = 0
         live = np.flatnonzero((self.terms[at] == windows).all(axis=1))
         at = at[live]
         ranks = np.argsort(self.sizes[at], axis=1, kind="stable")
         rarest = at[np.arange(len(at)), ranks[:, 0]]
-        found_w, found_s = [], []
-        step, low = 1 << 21, 0
+        found = []
+        step, low = (1 << 21) // (2 * slop + 1), 0
         total = np.cumsum(self.sizes[rarest])
         while low < len(live):
             high = max(low + 1, int(np.searchsorted(total, (total[low - 1] if low else 0) + step)))
-            w, s = self._from(at[low:high], ranks[low:high], rarest[low:high], slop)
-            found_w.append(live[low:high][w])
-            found_s.append(s)
+            w, s, text = self._from(at[low:high], ranks[low:high], rarest[low:high], slop)
+            found.append((live[low:high][w], s, text))
             low = high
-        return (np.concatenate(found_w), np.concatenate(found_s)) if found_w else (none, none)
+        return tuple(map(np.concatenate, zip(*found))) if found else (none, none, none)
 
     def _from(self, at, ranks, rarest, slop):
         length = at.shape[1]
         sizes = self.sizes[rarest]
         w = np.repeat(np.arange(len(at)), sizes)
         inner = np.arange(len(w)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        s = self.places[self.first[rarest][w] + inner] - ranks[w, 0]
-        last = self.bounds[-1]
-        ok = (s >= 0) & (s + length <= last)
-        w, s = w[ok], s[ok]
-        text = np.searchsorted(self.bounds, s, side="right")
-        ok = s + length <= self.bounds[text]
-        w, s = w[ok], s[ok]
+        place = self.places[self.first[rarest][w] + inner]
+        text = np.searchsorted(self.bounds, place, side="right") - 1
+        s = place - ranks[w, 0]
+        if slop:  # the rarest word may be off as well
+            shifts = np.arange(-slop, slop + 1)
+            s = (s[:, None] + shifts).ravel()
+            w, text = np.repeat(w, len(shifts)), np.repeat(text, len(shifts))
+        ok = (s >= self.bounds[text] - slop) & (s + length <= self.bounds[text + 1] + slop)
+        w, s, text = w[ok], s[ok], text[ok]
         for k in range(1, length):
             if not len(w):
                 break
             shift = ranks[w, k]
-            key = at[w, shift] * _ROOM + s + shift
-            near = np.searchsorted(self.keys, key - slop)
+            room = at[w, shift] * _ROOM
+            low = room + np.maximum(s + shift - slop, self.bounds[text])
+            high = room + np.minimum(s + shift + slop, self.bounds[text + 1] - 1)
+            near = np.searchsorted(self.keys, low)
             near[near == len(self.keys)] = len(self.keys) - 1
-            ok = np.abs(self.keys[near] - key) <= slop
-            w, s = w[ok], s[ok]
-        return w, s
+            ok = (self.keys[near] >= low) & (self.keys[near] <= high)
+            w, s, text = w[ok], s[ok], text[ok]
+        if slop and len(w):  # a start that several places of the rarest word lead to
+            order = np.lexsort((s, text, w))
+            w, s, text = w[order], s[order], text[order]
+            ok = np.ones(len(w), bool)
+            ok[1:] = (np.diff(w) != 0) | (np.diff(text) != 0) | (np.diff(s) != 0)
+            w, s, text = w[ok], s[ok], text[ok]
+        return w, s, text
+
+
+def _inexact(exact, close, slop: int):
+    """The first of adjacent starts in ``close``, without those at an exact match of the window."""
+    w, s, text = close
+    if not len(w):
+        return close
+    order = np.lexsort((exact[1], exact[0]))
+    known = exact[0][order] * _ROOM + exact[1][order]
+    at = np.searchsorted(known, w * _ROOM + s - slop)
+    far = np.append(known, np.iinfo(np.int64).max)[at] > w * _ROOM + s + slop
+    w, s, text = w[far], s[far], text[far]
+    first = np.ones(len(w), bool)
+    first[1:] = (np.diff(w) != 0) | (np.diff(text) != 0) | (np.diff(s) != 1)
+    return w[first], s[first], text[first]
 
 
 def _search(block, slop: int, schema: pa.Schema):
@@ -197,22 +222,18 @@ def _search(block, slop: int, schema: pa.Schema):
         near: list[list] = [[] for _ in range(n)]
         step = np.zeros(int(here.bounds[-1]) + 1, dtype=np.int64)
         for length, (windows, owner, cuts, names) in block.items():
-            w, s = here.matches(windows, 0)
+            exact = here.matches(windows, 0)
+            w, s, text = exact
             np.add.at(step, s, 1)
             np.add.at(step, s + length, -1)
-            text = np.searchsorted(here.bounds, s, side="right") - 1
             for one, doc in {(int(a), int(b)) for a, b in zip(w, text)}:
                 items[doc].update(names[o] for o in owner[cuts[one] : cuts[one + 1]])
             if slop:
-                exact = set(zip(w.tolist(), s.tolist()))
-                w, s = here.matches(windows, slop)
-                text = np.searchsorted(here.bounds, s, side="right") - 1
+                w, s, text = _inexact(exact, here.matches(windows, slop), slop)
                 for one, start, doc in zip(w.tolist(), s.tolist(), text.tolist()):
-                    if (one, start) not in exact:
-                        for o in owner[cuts[one] : cuts[one + 1]]:
-                            near[doc].append(
-                                {"item": names[o], "start": start - int(here.bounds[doc]), "length": length}
-                            )
+                    start = max(start - int(here.bounds[doc]), 0)
+                    for o in owner[cuts[one] : cuts[one + 1]]:
+                        near[doc].append({"item": names[o], "start": start, "length": length})
         hit = np.cumsum(step[:-1]) > 0
         totals = np.concatenate([[0], np.cumsum(hit)])
         count = np.diff(totals[here.bounds])

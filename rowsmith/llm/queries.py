@@ -51,6 +51,20 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_proximity(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of documents with ten words of a benchmark item, each at most two places off."""
+    found = decontamination.overlaps(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"), width=10, slop=2
+    )
+    items = F.array_sort(F.array_distinct(F.filter("near.item", lambda i: i.isNotNull())))
+    return found.select(
+        "doc_id", "n_words", "n_hit",
+        F.size(F.array_distinct("near")).cast("long").alias("n_near"),
+        F.size(items).cast("long").alias("n_near_items"),
+        F.array_join(items, ",").alias("near_items"),
+    )
+
+
 def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Words of earlier passages of 20 words or more are removed."""
     kept = substrings.remove_repeats(table(spark, folder, "documents"))
@@ -97,3 +111,6 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
 }
+
+#: Further results of an operator that has its query above.
+FURTHER = {"op5_proximity": op5_proximity}

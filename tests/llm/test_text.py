@@ -16,7 +16,7 @@ import xxhash
 from hypothesis import given, settings, strategies as st
 
 import corpus_pipeline
-from rowsmith.llm import binary_output, decontamination, packing, pii, secret_scan, simhash, substrings
+from rowsmith.llm import binary_output, decontamination, packing, pii, queries, secret_scan, simhash, substrings
 from rowsmith.llm.words import ALNUM, LOWER, NOT_SPACE, blocks, run_hashes, spans, word_hashes
 from tests.llm.cases import PLAIN, SPACED, documents, groups, low, prose, texts
 
@@ -180,6 +180,37 @@ def test_proximity_matches(spark):
     assert not rows[3].near
 
 
+def test_proximity_matches_are_all_found_and_stay_in_their_text(spark):
+    rng = random.Random(11)
+    rows = [(0, "x y a"), (1, "x b c d"), (2, "b a c d"), (3, "a b c d"), (4, "b b c a d"), (5, "a x b c y d"), (6, ""), (7, None)]
+    rows += [(i, " ".join(rng.choices("abcdx", k=rng.randint(1, 12)))) for i in range(8, 80)]
+    bench = spark.createDataFrame([(9, "a b c d"), (10, "d c b a c")], "item_id long, text string")
+    windows = [("9", list("abcd")), ("10", list("dcba")), ("10", list("cbac"))]
+    for options in ({}, {"block": 1, "segment_bytes": 40}):
+        got = decontamination.overlaps(documents(spark, rows), bench, width=4, slop=1, **options)
+        got = {r.doc_id: {(m["item"], m["start"]) for m in r.near} for r in got.collect()}
+        for doc, text in rows:
+            words, expected = (text or "").split(), set()
+            at = lambda p: words[p] if 0 <= p < len(words) else None
+            for item, window in windows:
+                n = range(-1, len(words) - 2)
+                exact = {s for s in n if [at(s + k) for k in range(4)] == window}
+                close = {s for s in n if all(any(at(s + k + o) == x for o in (-1, 0, 1)) for k, x in enumerate(window))}
+                close = {s for s in close if not exact & {s - 1, s, s + 1}}
+                expected |= {(item, max(s, 0)) for s in close if s - 1 not in close}
+            assert got[doc] == expected, (doc, text)
+
+
+def test_the_proximity_query_reports_changed_passages(spark, tmp_path):
+    words = prose(random.Random(12), 24).split()
+    changed = [w for i, x in enumerate(words) for w in ([x, "new"] if i % 8 == 7 else [x])]
+    documents(spark, [(1, " ".join(words)), (2, " ".join(changed)), (3, "none")], clash=False).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, " ".join(words))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = {r.doc_id: r for r in queries.op5_proximity(spark, str(tmp_path)).collect()}
+    assert (rows[1].n_hit, rows[1].n_near, rows[2].n_hit, rows[2].near_items) == (24, 0, 0, "7")
+    assert rows[2].n_near > 0 and rows[3].n_near == rows[3].n_near_items == 0
+
+
 def test_substring_dedup(spark):
     rows = [r for r in texts() if r[0] is not None]
     rows += [(40 + i, r[1]) for i, r in enumerate(rows) if r[0] in (8, 9)]
