@@ -1,7 +1,7 @@
-"""Removal of passages that occur earlier, by prefix-partitioned suffix trees.
+"""Removal of passages that occur earlier, by hashes of windows.
 
-A suffix starts at every word.  Only nodes at least ``depth`` words deep matter, so the
-trees are cut there, and a path in them is known by hashes of prefixes of the suffix.
+A window of ``depth`` words, below called a suffix, starts at every word and is known by
+hashes of its words.  It is what a suffix tree cut at ``depth`` would tell; no tree is built.
 
 1. Short prefixes.  Of the phrases of ``stem`` words inside its first ``depth`` words, each
    suffix names the one with the smallest hash; equal passages name the same phrase.
@@ -11,10 +11,10 @@ trees are cut there, and a path in them is known by hashes of prefixes of the su
 2. Long prefixes.  The suffixes that are left are split by their first ``depth`` words into
    groups sized for memory.  Sorted, the members below one deep internal node stand
    together; the earliest is the first occurrence and the others are repeats.
-3. Neighbouring repeats join to maximal repeats, and their words go.
+3. Neighbouring repeats join, whatever their sources, and their words go.
 
 Documents are dealt to segments of about ``segment`` bytes by a hash of their id, so that
-one source or one group of copies spreads out.  Before anything is shuffled, a segment
+one source or one group of copies with different ids spreads out.  Before anything is shuffled, a segment
 joins what is equal inside it; a passage that a third of all documents share costs one
 entry per segment.  What travels is packed arrays, not rows.
 
