@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowsmith.llm import (
-    binary_output, decontamination, embeddings, packing, pii, secret_scan, sharding, simhash,
-    substrings, toxicity,
+    alignment, binary_output, decontamination, embeddings, packing, periodic, pii, quality,
+    secret_scan, sharding, simhash, substrings, toxicity,
 )
 from rowsmith.llm.common import table
 
@@ -99,6 +99,44 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(table(spark, folder, "documents"))
 
 
+def op11_quality_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    """Statistics of every text; those far from their language and source are not kept."""
+    return quality.judge(table(spark, folder, "documents"), quantile=0.9999, least=50).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links of the ids that two tokenizers give each text."""
+    found = alignment.align(
+        table(spark, folder, "documents"), alignment.vocabularies(), digest=True
+    )
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of at least four periods and six words, and the texts without their repeats."""
+    found = periodic.find_runs(table(spark, folder, "documents"), order=periodic.planted)
+    exponent = F.transform("runs", lambda r: F.struct(
+        (r["length"] / r["period"]).alias("e"), (-r["start"]).alias("s"), (-r["period"]).alias("p"),
+        r["length"].alias("n"),
+    ))
+    lines = F.transform("runs", lambda r: F.concat(
+        *[r[c].cast("string") if c != "," else F.lit(c) for c in ("start", ",", "length", ",", "period")],
+        F.lit("\n"),
+    ))
+    best = F.array_max(exponent)
+    period = -best["p"]
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-best["s"]).alias("start"),
+        best["n"].alias("length"), period.alias("period"),
+        F.floor(1000 * best["n"] / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -110,6 +148,9 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
+    "op11_quality_outliers": op11_quality_outliers,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 #: Further results of an operator that has its query above.

@@ -131,3 +131,21 @@ def run_hashes(words: np.ndarray, length: int, base: int = 0xD6E8FEB86659FD93) -
         size = high - low
         out[low:high] = mixed((total[length : length + size] - total[:size]) * down[:size])
     return out
+
+
+def spaced(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the words, each with one space after it, and the n+1 places they begin."""
+    size = ends - starts + 1
+    at = np.concatenate([[0], np.cumsum(size)])
+    out = np.empty(at[-1], dtype=np.uint8)
+    first = 0
+    while first < len(starts):
+        last = max(first + 1, int(np.searchsorted(at, at[first] + _SLICE, side="right")) - 1)
+        low, high = at[first], at[last]
+        shift = np.repeat(starts[first:last] - at[first:last], size[first:last])
+        source = np.arange(low, high) + shift
+        # The place after a word at the very end of the data is none; it becomes a space too.
+        np.take(data, source, out=out[low:high], mode="clip")
+        first = last
+    out[at[1:] - 1] = 0x20
+    return out, at
