@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import math
 import sys
-from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
@@ -30,51 +29,202 @@ _MAX_GRAM = 4
 def ratio(source: Column, target: Column, at_least: float = 0.0) -> Column:
     """The similarity of two name columns, or null where it is below ``at_least``.
 
-    It is not symmetric.  Pairs are first screened by their common characters
-    with one vectorized comparison per Arrow batch; the rest is compared target
-    by target, because the comparison indexes its second text.
+    It is not symmetric.  Pairs are first screened by their common characters; the rest is
+    compared many pairs at a time.
     """
 
     @F.pandas_udf("double")
     def compare(left: pd.Series, right: pd.Series) -> pd.Series:
+        li, ls = pd.factorize(left)
+        ri, rs = pd.factorize(right)
+        one, other = Names(ls), Names(rs)
         out = np.full(len(left), np.nan)
-        ls, rs = left.to_numpy(dtype=object), right.to_numpy(dtype=object)
-        bound, target_code = _upper_bound(ls, rs)
-        possible = np.flatnonzero(bound >= at_least - _SLACK)
-        matcher, current = SequenceMatcher(None, "", ""), None
-        for i in possible[np.argsort(target_code[possible], kind="stable")]:
-            if rs[i] != current:
-                current = rs[i]
-                matcher.set_seq2(current)
-            matcher.set_seq1(ls[i])
-            value = matcher.ratio() if ls[i] and current else 0.0
-            if value >= at_least:
-                out[i] = value
+        for low in range(0, len(left), _SCREENED):
+            part = slice(low, low + _SCREENED)
+            bound = upper_bound(one, li[part], other, ri[part])
+            at = np.flatnonzero(bound >= at_least - _SLACK) + low
+            value = ratios(one, li[at], other, ri[at])
+            fine = value >= at_least
+            out[at[fine]] = value[fine]
         return pd.Series(out)
 
     return F.nanvl(compare(source, target), F.lit(None).cast("double"))
 
 
-def _histograms(texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Character counts of the distinct texts in 64 buckets, and each text's row."""
-    codes, distinct = pd.factorize(texts)
-    counts = np.zeros((len(distinct), 64), dtype=np.int32)
-    for i, text in enumerate(distinct):
-        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        counts[i] = np.bincount(points % 64, minlength=64)
-    return counts, codes
-
-
-def _upper_bound(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """No pair's ratio is above the share of characters both texts have.
-
-    Also returns a number per distinct right text, to group the pairs by.
+_SCREENED = 1 << 18  # pairs screened at a time
+_COMPARED = 1 << 20  # words of bits that one comparison of many pairs may take
+_CLASSES, _REPEATS = 32, 4  # letters are counted in 32 classes, up to 4 of each apart
+
+
+class Names:
+    """Distinct names as arrays: letters, lengths and letter counts."""
+
+    def __init__(self, names):
+        names = ["" if n is None or n != n else n for n in names]
+        points = [np.frombuffer(n.encode("utf-32-le", "surrogatepass"), np.uint32) for n in names]
+        self.length = np.array([len(p) for p in points], dtype=np.int64)
+        self.flat = np.concatenate([*points, np.zeros(0, np.uint32)])
+        self.first = np.concatenate([[0], np.cumsum(self.length)])
+        owner = np.repeat(np.arange(len(names)), self.length)
+        place = owner * _CLASSES + self.flat % _CLASSES
+        counts = np.bincount(place, minlength=len(names) * _CLASSES).reshape(-1, _CLASSES)
+        # A bit for each of the first letters of a class, and the number of the others.
+        self.bits = np.zeros((len(names), _REPEATS), dtype=np.uint32)
+        weight = np.uint32(1) << np.arange(_CLASSES, dtype=np.uint32)
+        for k in range(_REPEATS):
+            self.bits[:, k] = ((counts > k) * weight).sum(axis=1, dtype=np.uint64)
+        self.bits = self.bits.view(np.uint64)
+        self.more = np.maximum(counts - _REPEATS, 0).sum(axis=1)
+
+    def letters(self, rows: np.ndarray, width: int) -> np.ndarray:
+        """The letters of some names, one a row, filled up with a mark that is no letter."""
+        at = np.arange(width) + self.first[rows][:, None]
+        inside = np.arange(width) < self.length[rows][:, None]
+        if not len(self.flat):
+            return np.full((len(rows), width), 0xFFFFFFFF, dtype=np.uint32)
+        return np.where(inside, self.flat[np.minimum(at, len(self.flat) - 1)], np.uint32(0xFFFFFFFF))
+
+
+def upper_bound(one: Names, left: np.ndarray, other: Names, right: np.ndarray) -> np.ndarray:
+    """No pair's ratio is above the share of letters both names have."""
+    common = np.minimum(one.more[left], other.more[right])
+    for word in range(one.bits.shape[1]):
+        common = common + np.bitwise_count(one.bits[left, word] & other.bits[right, word])
+    length = one.length[left] + other.length[right]
+    return 2.0 * common / np.maximum(length, 1)
+
+
+def ratios(one: Names, left: np.ndarray, other: Names, right: np.ndarray) -> np.ndarray:
+    """The similarity of pairs of names, ``left`` of ``one`` with ``right`` of ``other``."""
+    out = np.zeros(len(left))
+    la, lb = one.length[left], other.length[right]
+    # Pairs of like size are compared together, so that little is filled up.
+    size = np.maximum(la, 1) * ((lb + 63) // 64)
+    order = np.argsort(size * (1 << 20) + la, kind="stable")
+    order = order[(la[order] > 0) & (lb[order] > 0)]
+    low = 0
+    while low < len(order):
+        # Sizes ascend; take as many pairs as fit at the size of the last.
+        high = low + max(1, int(_COMPARED // size[order[low]]))
+        high = min(high, len(order))
+        while high > low + 1 and size[order[high - 1]] * (high - low) > _COMPARED:
+            high = low + (high - low + 1) // 2
+        at = order[low:high]
+        matched = _matched(one, left[at], other, right[at])
+        out[at] = 2.0 * matched / (la[at] + lb[at])
+        low = high
+    return out
+
+
+def _matched(one: Names, left: np.ndarray, other: Names, right: np.ndarray) -> np.ndarray:
+    """The letters in the matching blocks of each pair.
+
+    The longest common block is found, the one that begins first in the left name and then
+    in the right, and the parts before and after it are compared in the same way.  A part of
+    every pair is worked on at once: row i of a pair holds a bit for each place of the right
+    name with the letter i of the left.  Shifting the rows by one and keeping what both have
+    leaves the ends of longer and longer blocks, until none is left.
     """
-    lc, li = _histograms(left)
-    rc, ri = _histograms(right)
-    common = np.minimum(lc[li], rc[ri]).sum(axis=1)
-    length = lc.sum(axis=1)[li] + rc.sum(axis=1)[ri]
-    return 2.0 * common / np.maximum(length, 1), ri
+    la, lb = one.length[left], other.length[right]
+    a, b = one.letters(left, int(la.max())), other.letters(right, int(lb.max()))
+    words = (b.shape[1] + 63) // 64
+    equal = np.zeros((len(left), a.shape[1], words), dtype=np.uint64)
+    popular = _popular(b, lb)
+    for j in range(b.shape[1]):
+        same = (a == b[:, j, None]) & (j < lb)[:, None]
+        if popular is not None:
+            same &= ~popular[:, j, None]
+        equal[:, :, j // 64] |= same.astype(np.uint64) << np.uint64(j % 64)
+    total = np.zeros(len(left), dtype=np.int64)
+    pair = np.arange(len(left))
+    zero = np.zeros(len(left), dtype=np.int64)
+    parts = pair, zero, la, zero, lb
+    while len(parts[0]):
+        pair, alo, ahi, blo, bhi = parts
+        i, j, size = _longest(equal[pair], alo, ahi, blo, bhi)
+        if popular is not None:
+            i, j, size = _grown(a[pair], b[pair], i, j, size, alo, ahi, blo, bhi)
+        np.add.at(total, pair, size)
+        before = (size > 0) & (alo < i) & (blo < j)
+        after = (size > 0) & (i + size < ahi) & (j + size < bhi)
+        parts = tuple(np.concatenate([x[before], y[after]]) for x, y in (
+            (pair, pair), (alo, i + size), (i, ahi), (blo, j + size), (j, bhi)
+        ))
+    return total
+
+
+def _popular(b: np.ndarray, lb: np.ndarray) -> np.ndarray | None:
+    """Places of letters that make up over a hundredth of a right name of 200 letters or
+    more (fixed values of the similarity); no block begins from these."""
+    if b.shape[1] < 200:
+        return None
+    out = np.zeros(b.shape, dtype=bool)
+    for row in np.flatnonzero(lb >= 200):
+        n = int(lb[row])
+        _, which, times = np.unique(b[row, :n], return_inverse=True, return_counts=True)
+        out[row, :n] = times[which] > n // 100 + 1
+    return out
+
+
+def _below(count: np.ndarray, words: int) -> np.ndarray:
+    """Words of bits in which the first ``count`` bits are set."""
+    rest = np.clip(count[:, None] - 64 * np.arange(words), 0, 64)
+    full = np.uint64(0xFFFFFFFFFFFFFFFF)
+    part = (np.uint64(1) << np.minimum(rest, 63).astype(np.uint64)) - np.uint64(1)
+    return np.where(rest == 64, full, part)
+
+
+def _longest(rows, alo, ahi, blo, bhi) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, size) of the longest common block within the given bounds."""
+    width, words = rows.shape[1:]
+    at = np.arange(width)
+    inside = (at >= alo[:, None]) & (at < ahi[:, None])
+    window = _below(bhi, words) & ~_below(blo, words)
+    rows = np.where(inside[:, :, None], rows & window[:, None, :], np.uint64(0))
+    n = len(rows)
+    i, j, size = alo.copy(), blo.copy(), np.zeros(n, dtype=np.int64)
+    live, ends, length = np.arange(n), rows, 0
+    while len(live):
+        some = (ends != 0).any(axis=2)
+        left = some.any(axis=1)
+        if not left.all():
+            live, ends, rows, some = live[left], ends[left], rows[left], some[left]
+            if not len(live):
+                break
+        length += 1
+        # The block of this length that ends first, and its first place on the right.
+        end = some.argmax(axis=1)
+        found = ends[np.arange(len(live)), end]
+        word = (found != 0).argmax(axis=1)
+        bits = found[np.arange(len(live)), word]
+        lowest = np.bitwise_count((bits & (~bits + np.uint64(1))) - np.uint64(1)).astype(np.int64)
+        size[live] = length
+        i[live] = end - length + 1
+        j[live] = word * 64 + lowest - length + 1
+        shifted = ends << np.uint64(1)
+        if words > 1:
+            shifted[:, :, 1:] |= ends[:, :, :-1] >> np.uint64(63)
+        longer = np.zeros_like(ends)
+        longer[:, 1:] = shifted[:, :-1] & rows[:, 1:]
+        ends = longer
+    return i, j, size
+
+
+def _grown(a, b, i, j, size, alo, ahi, blo, bhi):
+    """Blocks made longer on both sides by equal letters, popular ones included."""
+    i, j, size = i.copy(), j.copy(), size.copy()
+    while True:
+        row = np.flatnonzero((i > alo) & (j > blo))
+        row = row[a[row, i[row] - 1] == b[row, j[row] - 1]]
+        if not len(row):
+            break
+        i[row], j[row], size[row] = i[row] - 1, j[row] - 1, size[row] + 1
+    while True:
+        row = np.flatnonzero((i + size < ahi) & (j + size < bhi))
+        row = row[a[row, i[row] + size[row]] == b[row, j[row] + size[row]]]
+        if not len(row):
+            return i, j, size
+        size[row] += 1
 
 
 def gram_size(at_least: float) -> int:

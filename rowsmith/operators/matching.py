@@ -35,6 +35,7 @@ from ..functions.similarity import (
 from ..functions.text import join_name, name_key, norm, quoted
 from ..session import cut_lineage, dropped
 from .dedupe import index_by, index_counts
+from .nearest import best_offers
 
 DECISION_COLUMNS = (
     "source_record_key",
@@ -51,7 +52,6 @@ DECISION_COLUMNS = (
 ANY = "*"  # department of a proposer group whose list ignores departments
 BLOCK = 1024  # target records per block
 RANGE = 1 << 16  # ordinals that one window task numbers at most
-LEVELS = (0.5, 0.1)  # the steps in which scores below the threshold are searched
 LEAST = 1e-6  # below every ratio above zero
 _NEVER = (1 << 63) - 1  # holder ordinal of a free target
 
@@ -97,7 +97,7 @@ def fuzzy_match(
     if threshold < 1.0:
         state.settle(threshold)
 
-    best = state.best_open_scores(threshold)
+    best = state.best_open_scores()
     decisions = _decisions(people, targets, state.held, best, threshold)
     unmatched = targets.join(state.held.select("t"), "t", "left_anti").select(
         F.col("key").alias("target_record_key"),
@@ -494,37 +494,15 @@ class _Assignment:
             .select("nk", "g", "k", "first_s", "tnk", "tdk", "block", "score")
         )
 
-    def best_open_scores(self, threshold: float) -> DataFrame:
+    def best_open_scores(self) -> DataFrame:
         """Best score of each unmatched source over the targets that were still
-        unused at its turn: those that are free or held by a later source.
-
-        Scores are searched at falling levels; a source leaves the search once its best
-        score reaches the level, so only sources that resemble nothing are compared with
-        almost all names.
-        """
+        unused at its turn: those that are free or held by a later source."""
         free = cut_lineage(self.free_sources())
-        states = cut_lineage(self.block_states(self.open_targets()))
-        found = None
-        for level in [*(x for x in LEVELS if x < threshold), 0.0]:
-            scores = cut_lineage(self.open_scores(free, states, level))
-            found = scores if found is None else found.unionByName(scores)
-            free = cut_lineage(free.join(scores.select("s"), "s", "left_anti"), free)
-            if free.isEmpty():
-                break
-        return found
-
-    def open_scores(self, free: DataFrame, states: DataFrame, level: float) -> DataFrame:
-        """The best scores of ``free`` sources that reach ``level``."""
-        edges = self.edges(free.select("nk", "dk").distinct(), max(level, LEAST))
-        scores = (
-            free.join(edges, ["nk", "dk"])
-            .join(states, "tnk")
-            .where(F.col("only_dk").isNull() | (F.col("only_dk") == F.col("tdk")))
-            .where(F.col("high_holder") > F.col("s"))
-            .select("s", self.score("dk").alias("score"))
-            .where(F.col("score") >= level)
-        )
-        if self.boost and level <= self.boost:
+        asked = free.groupBy("nk", "dk").agg(F.min("s").alias("first_s"), F.max("s").alias("last_s"))
+        offered = self.open_targets().groupBy("tnk", "tdk").agg(F.max("holder").alias("until"))
+        steps = best_offers(cut_lineage(asked), cut_lineage(offered), self.boost)
+        scores = free.join(steps, ["nk", "dk"]).where(F.col("until") > F.col("s")).select("s", "score")
+        if self.boost:
             # Equal departments alone score the boost, also without a name.
             holders = self.targets.where("dk <> ''").join(
                 self.held.select("t", F.col("s").alias("holder")), "t", "left"
