@@ -252,57 +252,104 @@ def least_overlap(length: int, at_least: float, q: int) -> int:
     """The bound that holds against a partner of any length."""
     bounds = (1,)
     if at_least > 0:
-        low = math.floor(length * at_least / (2 - at_least))
+        low = max(1, math.floor(length * at_least / (2 - at_least)))
         high = math.ceil(length * (2 - at_least) / at_least)
-        found = [overlap_bound(length, b, at_least, q) for b in range(max(1, low), high + 1)]
+        if q == 1:
+            # One gram to a letter: the bound grows with the partner, so the shortest decides.
+            high = min(high, low + 2)
+        found = [overlap_bound(length, b, at_least, q) for b in range(low, high + 1)]
         bounds = [b for b in found if b] or bounds
     return min(bounds)
 
 
-def grams(name: Column, at_least: float) -> Column:
-    """Padded q-grams of a name, repeats numbered, as an array of text."""
+def prefix_length(length: int, at_least: float) -> int:
+    """How many of a name's grams must be indexed so that every pair that shares
+    ``least_overlap`` grams shares an indexed one."""
     q = gram_size(at_least)
-    padded = F.concat(F.lit("\x02" * (q - 1)), name, F.lit("\x03" * (q - 1)))
-    every = F.transform(
-        F.sequence(F.lit(1), F.length(padded) - (q - 1)),
-        lambda at: F.substr(padded, at.cast("int"), F.lit(q)),
-    )
+    if at_least <= 0:
+        return length + q - 1
+    return max(1, length + q - least_overlap(length, at_least, q))
+
 
-    # The second of two equal grams is a gram of its own.
-    def counted(all_grams: Column) -> Column:
-        def one(gram: Column, at: Column) -> Column:
-            so_far = F.filter(F.slice(all_grams, 1, at + 1), lambda other: other == gram)
-            return F.concat(gram, F.lit("\x01"), F.size(so_far).cast("string"))
+_B1, _B2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
-        return F.transform(all_grams, one)
 
-    # An array of one array, so that the grams are cut once and read many times.
-    numbered = F.element_at(F.transform(F.array(every), counted), 1)
-    return F.when(F.length(padded) >= q, numbered).otherwise(F.array().cast("array<string>"))
+def _mixed(value: np.ndarray) -> np.ndarray:
+    value = (value ^ (value >> np.uint64(32))) * _B2
+    value = (value ^ (value >> np.uint64(29))) * _B1
+    return value ^ (value >> np.uint64(32))
 
 
-def prefix_length(length: Column, at_least: float) -> Column:
-    """How many of a name's rarest q-grams must be indexed so that every pair that
-    shares ``least_overlap`` grams shares an indexed one.
+def grams(names, salts: np.ndarray, at_least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, first): 64-bit hashes of the padded q-grams of each name, and where each
+    name's begin, and the end.
 
-    The same bound as :func:`least_overlap`, over the partner's possible lengths.
+    The second of two equal grams is a gram of its own.  ``salts`` are mixed in, so that names
+    with different salts share none.
     """
     q = gram_size(at_least)
-    if at_least <= 0:
-        return length + (q - 1)
-    low = F.greatest(F.lit(1), F.floor(length * F.lit(at_least / (2 - at_least))).cast("int"))
-    high = F.ceil(length * F.lit((2 - at_least) / at_least)).cast("int")
-
-    def bound(partner: Column) -> Column:
-        total = length + partner
-        matched = F.greatest(F.lit(1), F.ceil(total * F.lit(at_least / 2) - _SLACK).cast("int"))
-        shared = F.greatest(F.lit(1), matched + (q - 1) * (F.lit(1) - (total - 2 * matched)))
-        return F.when(matched <= F.least(length, partner), shared)
-
-    if q == 1:
-        # One gram to a letter: the bound grows with the partner, so the shortest decides.
-        reach = F.sequence(low, F.least(high, low + 2))
-    else:
-        reach = F.sequence(low, high)
-    least = F.array_min(F.transform(reach, bound))
-    return length + q - F.coalesce(least, F.lit(1))
+    known = Names(names)
+    # Two marks that no name holds stand before and after it.
+    wide = known.length + 2 * (q - 1)
+    start = np.concatenate([[0], np.cumsum(wide)])
+    padded = np.empty(start[-1], dtype=np.uint64)
+    at = np.arange(start[-1]) - np.repeat(start[:-1], wide)
+    size = np.repeat(known.length, wide)
+    padded[:] = np.where(at < q - 1, 0x110000, 0x110001)
+    inner = (at >= q - 1) & (at < size + q - 1)
+    padded[inner] = known.flat
+    count = np.where(known.length > 0, known.length + q - 1, 0)
+    first = np.concatenate([[0], np.cumsum(count)])
+    owner = np.repeat(np.arange(len(count)), count)
+    place = np.arange(first[-1]) - first[owner] + start[owner]
+    value = np.zeros(first[-1], dtype=np.uint64)
+    for k in range(q):
+        value = (value + padded[place + k] + np.uint64(1)) * _B1
+    order = np.lexsort((value, owner))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (value[order[1:]] != value[order[:-1]]) | (owner[order[1:]] != owner[order[:-1]])
+    run = np.flatnonzero(new)
+    times = np.empty(len(order), dtype=np.uint64)
+    times[order] = np.arange(len(order)) - np.repeat(run, np.diff(np.append(run, len(order))))
+    salt = np.asarray(salts, dtype=np.int64).view(np.uint64)[owner]
+    return _mixed(_mixed(value + times * _B2) ^ salt).view(np.int64), first
+
+
+def indexed(names, salts: np.ndarray, at_least: float, common: tuple[np.ndarray, np.ndarray]):
+    """(hashes, first): of each name the grams it is indexed by, the rarest ones.
+
+    ``common`` are the sorted hashes of frequent grams and their counts; the others come first,
+    in the order of their hashes.
+    """
+    value, first = grams(names, salts, at_least)
+    count = np.diff(first)
+    owner = np.repeat(np.arange(len(count)), count)
+    hashes, seen = common
+    often = np.zeros(len(value), dtype=np.int64)
+    if len(hashes):
+        at = np.minimum(np.searchsorted(hashes, value), len(hashes) - 1)
+        often = np.where(hashes[at] == value, seen[at], 0)
+    order = np.lexsort((value, often, owner))
+    value = value[order]
+    rank = np.arange(len(value)) - first[owner]
+    q = gram_size(at_least)
+    keep = {n: prefix_length(n - q + 1, at_least) for n in np.unique(count).tolist() if n}
+    most = np.array([keep.get(n, 0) for n in count.tolist()], dtype=np.int64)
+    stay = rank < most[owner]
+    return value[stay], np.concatenate([[0], np.cumsum(np.minimum(most, count))])
+
+
+def gram_column(
+    name: Column, salt: Column, at_least: float, common: tuple[np.ndarray, np.ndarray] | None = None
+) -> Column:
+    """All grams of a name as an array of hashes, or with ``common`` those it is indexed by."""
+
+    @F.pandas_udf("array<long>")
+    def cut(names: pd.Series, salts: pd.Series) -> pd.Series:
+        if common is None:
+            value, first = grams(names, salts.to_numpy(), at_least)
+        else:
+            value, first = indexed(names, salts.to_numpy(), at_least, common)
+        return pd.Series([value[a:b] for a, b in zip(first[:-1], first[1:])])
+
+    return cut(name, salt)

@@ -15,7 +15,9 @@ again.  Three things keep the rounds small:
   of its own on their common list, so equal names need no pairs, and most names
   are settled in one step from ranks alone;
 * the targets of a name are kept in blocks of consecutive ordinals, and only the
-  blocks the proposers can reach are expanded to records.
+  blocks the proposers can reach are expanded to records;
+* where displaced sources displace others, whole chains are followed by pointers that
+  double in length and served in one round.
 """
 
 from __future__ import annotations
@@ -26,12 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numbers import fmt3
-from ..functions.similarity import (
-    DEPARTMENT_BOOST,
-    grams,
-    prefix_length,
-    ratio,
-)
+from ..functions.similarity import DEPARTMENT_BOOST, gram_column, ratio
 from ..functions.text import join_name, name_key, norm, quoted
 from ..session import cut_lineage, dropped
 from .dedupe import index_by, index_counts
@@ -52,6 +49,8 @@ DECISION_COLUMNS = (
 ANY = "*"  # department of a proposer group whose list ignores departments
 BLOCK = 1024  # target records per block
 RANGE = 1 << 16  # ordinals that one window task numbers at most
+FREQUENT = 200_000  # grams whose counts are told to all tasks, at most
+SELDOM = 16  # grams of so many names are not frequent
 LEAST = 1e-6  # below every ratio above zero
 _NEVER = (1 << 63) - 1  # holder ordinal of a free target
 
@@ -80,9 +79,7 @@ def fuzzy_match(
     if not 0.0 <= threshold <= 1.0:
         raise ValueError(f"threshold must be between 0 and 1 (received: {threshold})")
     boost = DEPARTMENT_BOOST if department_column else 0.0
-    if threshold <= boost:
-        raise ValueError(f"threshold must be above {boost}: equal departments alone would match")
-
+    least = max(threshold, LEAST)  # a score of 0 is no match
     people = cut_lineage(_people(source, key, name_columns, department_column, order_by))
     first = index_by(target, key, order_by)
     places = _people(first, key, name_columns, department_column, order_by)
@@ -92,12 +89,16 @@ def fuzzy_match(
     _release(kept)
 
     held = cut_lineage(_hold_by_key(sources, targets))
-    state = _Assignment(sources.where("nk <> ''").select("s", "nk", "dk"), targets, held, boost)
+    # Equal departments score the boost, so that below it targets need no name either.
+    named = F.lit(True) if least <= boost else F.col("nk") != ""
+    state = _Assignment(
+        sources.where("nk <> ''").select("s", "nk", "dk"), targets.where(named), held, boost
+    )
     state.settle(1.0)
     if threshold < 1.0:
-        state.settle(threshold)
+        state.settle(least)
 
-    best = state.best_open_scores()
+    best = state.best_open_scores(targets)
     decisions = _decisions(people, targets, state.held, best, threshold)
     unmatched = targets.join(state.held.select("t"), "t", "left_anti").select(
         F.col("key").alias("target_record_key"),
@@ -213,7 +214,7 @@ class _Assignment:
         self.targets = targets
         self.held = held
         self.boost = boost
-        self.target_names = targets.where("nk <> ''").select("nk", "dk").distinct()
+        self.target_names = targets.select("nk", "dk").distinct()
 
     def free_sources(self) -> DataFrame:
         return self.sources.join(self.held.select("s"), "s", "left_anti")
@@ -229,21 +230,31 @@ class _Assignment:
         members, edges = self.search(names, level)
         if level >= 1.0:
             self.settle_alike(members)
-        while True:
-            displaced, again = self.propose(members, edges, level)
-            if not again:
-                return
-            if not displaced:
-                continue
-            # Displaced sources may have names that were not searched yet.
-            late = self.free_sources().select("nk", "dk").distinct()
-            late = cut_lineage(late.join(names, ["nk", "dk"], "left_anti"))
+
+        def searched(wanted: DataFrame) -> None:
+            """Search the names among ``wanted`` that were not searched yet."""
+            nonlocal names, members, edges
+            late = cut_lineage(wanted.join(names, ["nk", "dk"], "left_anti"))
             if not late.isEmpty():
                 more_members, more_edges = self.search(late, level)
                 members = cut_lineage(members.unionByName(more_members), members)
                 edges = cut_lineage(edges.unionByName(more_edges), edges)
                 names = cut_lineage(names.unionByName(late), names)
 
+        rounds = displaced = 0
+        while True:
+            waiting = self.free_sources()
+            if rounds > 1 and displaced:
+                # Displaced sources displace others: serve whole chains in one round.
+                searched(self.sources.select("nk", "dk").distinct())
+                waiting = self.chains(members, edges, level)
+            displaced, again = self.propose(waiting, members, edges, level)
+            if not again:
+                return
+            if displaced:
+                rounds += 1
+                searched(self.free_sources().select("nk", "dk").distinct())
+
     def settle_alike(self, members: DataFrame) -> None:
         """Settle names whose sources rank all targets of the name alike at once.
 
@@ -351,12 +362,15 @@ class _Assignment:
         )
         if not self.boost:
             return groups
-        boosted = similar_names(
-            names.where("dk <> ''"),
-            self.target_names.where("dk <> ''").select(F.col("nk").alias("tnk"), "dk"),
-            max(level - self.boost, LEAST),
-            within="dk",
-        ).where(F.col("ratio") < level)
+        teams = names.where("dk <> ''")
+        theirs = self.target_names.where("dk <> ''").select(F.col("nk").alias("tnk"), "dk")
+        if level > self.boost:
+            boosted = similar_names(teams, theirs, level - self.boost, within="dk")
+        else:
+            # Every target of an equal department is a candidate, whatever its name.
+            alike = teams.join(theirs, "dk")
+            boosted = alike.withColumn("ratio", ratio(F.col("nk"), F.col("tnk")))
+        boosted = boosted.where(F.col("ratio") < level)
         return groups.unionByName(
             boosted.select("nk", "dk", "tnk", "ratio", F.col("dk").alias("only_dk"))
         )
@@ -372,18 +386,45 @@ class _Assignment:
     def open_targets(self) -> DataFrame:
         """Targets with the ordinal of their holder."""
         return (
-            self.targets.where("nk <> ''")
-            .select("t", F.col("nk").alias("tnk"), F.col("dk").alias("tdk"), "block")
+            self.targets.select("t", F.col("nk").alias("tnk"), F.col("dk").alias("tdk"), "block")
             .join(self.held.select("t", F.col("s").alias("holder")), "t", "left")
             .withColumn("holder", F.coalesce("holder", F.lit(_NEVER)))
         )
 
-    def propose(self, members: DataFrame, edges: DataFrame, level: float) -> tuple[int, bool]:
-        """One round: the number of displaced holders, and whether another round can
-        change anything.  It cannot once every source of a group that was offered
-        a target got one and nobody was displaced."""
+    def chains(self, members: DataFrame, edges: DataFrame, level: float) -> DataFrame:
+        """The free sources and all that are displaced if each of these goes where it would
+        go alone.
+
+        Let every source point to the holder of the target it would take now.  A holder is
+        later than the one that displaces it, so pointers run in chains.  What a free source
+        sets off is all that can be reached from it; pointers of twice the length are made
+        in every step, so the steps grow with the logarithm of the longest chain.  A source
+        that is reached loses its target for certain, and what it passes over is held by
+        earlier ones for good: so all may propose at once.
+        """
+        kept: list[DataFrame] = []
+        everyone = self.sources.join(members, ["nk", "dk"]).select("s", "nk", "g").persist()
+        kept.append(everyone)
+        listed = self.listed(everyone, edges, level, kept)
+        alone = self.bids(everyone, listed, ["nk", "g"], kept, alone=True)
+        jump = cut_lineage(
+            alone.where(F.col("holder") < _NEVER).select("s", F.col("holder").alias("to"))
+        )
+        reached = cut_lineage(self.free_sources().select("s"))
+        _release(kept)
+        while not jump.isEmpty():
+            more = reached.join(jump, "s").select(F.col("to").alias("s"))
+            reached = cut_lineage(reached.unionByName(more).distinct(), reached)
+            after = jump.select(F.col("s").alias("to"), F.col("to").alias("end"))
+            jump = cut_lineage(jump.join(after, "to").select("s", F.col("end").alias("to")), jump)
+        dropped(jump)
+        return self.sources.join(reached, "s", "left_semi")
+
+    def listed(
+        self, waiting: DataFrame, edges: DataFrame, level: float, kept: list[DataFrame]
+    ) -> DataFrame:
+        """The targets each group of waiting sources can reach with its best score."""
         group = ["nk", "g"]
-        waiting = self.free_sources().join(members, ["nk", "dk"]).select("s", *group).persist()
         groups = (
             waiting.groupBy(*group)
             .agg(
@@ -395,12 +436,22 @@ class _Assignment:
             .persist()
         )
         targets = self.open_targets().join(groups.select("tnk"), "tnk", "left_semi").persist()
+        kept += [groups, targets]
         reachable = self.reachable_blocks(groups, targets, level)
-        listed = reachable.join(targets, ["tnk", "tdk", "block"]).where(
+        found = reachable.join(targets, ["tnk", "tdk", "block"]).where(
             F.col("holder") > F.col("first_s")
         )
-        kept = [waiting, groups, targets]
-        bids = self.bids(waiting, listed.select(*group, "k", "t", "score", "holder"), group, kept)
+        return found.select(*group, "k", "t", "score", "holder")
+
+    def propose(
+        self, waiting: DataFrame, members: DataFrame, edges: DataFrame, level: float
+    ) -> tuple[int, bool]:
+        """One round: the number of displaced holders, and whether another round can
+        change anything.  It cannot once every source of a group that was offered
+        a target got one and nobody was displaced."""
+        waiting = waiting.join(members, ["nk", "dk"]).select("s", "nk", "g").persist()
+        kept = [waiting]
+        bids = self.bids(waiting, self.listed(waiting, edges, level, kept), ["nk", "g"], kept)
         # k of every group with an offer, counted once, travels with its first bid.
         hoped = F.when(F.col("rank") == 1, F.col("k"))
         outcome = (
@@ -435,9 +486,14 @@ class _Assignment:
         return counts.displaced, counts.displaced > 0 or counts.accepted < counts.hoped
 
     def bids(
-        self, waiting: DataFrame, listed: DataFrame, group: list[str], kept: list[DataFrame]
+        self,
+        waiting: DataFrame,
+        listed: DataFrame,
+        group: list[str],
+        kept: list[DataFrame],
+        alone: bool = False,
     ) -> DataFrame:
-        """The target each waiting source proposes to.
+        """The target each waiting source proposes to, or would propose to ``alone``.
 
         Let ``first`` be the first place on the group's list whose holder comes
         after the source.  Source j takes the first place that is neither before
@@ -455,6 +511,9 @@ class _Assignment:
             ),
             group, "v", kept, passed=F.col("n"), rank=F.when(F.col("s").isNull(), 0).otherwise(1),
         ).where("s is not null")
+        if alone:
+            first = ranked.withColumn("place", F.col("passed") + 1)
+            return first.join(offers.drop("max_reach"), [*group, "place"])
         ahead = running(ranked.drop("v", "n"), group, "s", kept, max_ahead=F.col("passed") + 1 - F.col("rank"))
         placed = ahead.withColumn("place", F.col("rank") + F.col("max_ahead"))
         return placed.join(offers.drop("max_reach"), [*group, "place"])
@@ -494,17 +553,17 @@ class _Assignment:
             .select("nk", "g", "k", "first_s", "tnk", "tdk", "block", "score")
         )
 
-    def best_open_scores(self) -> DataFrame:
-        """Best score of each unmatched source over the targets that were still
+    def best_open_scores(self, targets: DataFrame) -> DataFrame:
+        """Best score of each unmatched source over the ``targets`` that were still
         unused at its turn: those that are free or held by a later source."""
         free = cut_lineage(self.free_sources())
         asked = free.groupBy("nk", "dk").agg(F.min("s").alias("first_s"), F.max("s").alias("last_s"))
-        offered = self.open_targets().groupBy("tnk", "tdk").agg(F.max("holder").alias("until"))
+        offered = self.open_targets().where("tnk <> ''").groupBy("tnk", "tdk").agg(F.max("holder").alias("until"))
         steps = best_offers(cut_lineage(asked), cut_lineage(offered), self.boost)
         scores = free.join(steps, ["nk", "dk"]).where(F.col("until") > F.col("s")).select("s", "score")
         if self.boost:
             # Equal departments alone score the boost, also without a name.
-            holders = self.targets.where("dk <> ''").join(
+            holders = targets.where("dk <> ''").join(
                 self.held.select("t", F.col("s").alias("holder")), "t", "left"
             )
             last = holders.groupBy("dk").agg(
@@ -525,37 +584,27 @@ def similar_names(
 
     Names are indexed by their rarest q-grams only, as many as the ratio requires
     (a prefix filter): no qualifying pair is lost, and a gram that most names
-    share is in no index.  ``within`` restricts the pairs to equal values of a
-    column of both tables.
+    share is in no index.  Frequent grams of the offered names, at most ``FREQUENT``, are told
+    to all tasks.  ``within`` restricts the pairs to equal values of a column of both tables.
     """
     extra = [within] if within else []
-
-    def tokens(df: DataFrame, name: str) -> DataFrame:
-        return (
-            df.where(F.length(name) > 0)
-            .withColumn("len", F.length(name))
-            .withColumn("token", F.explode(grams(F.col(name), at_least)))
-        )
-
-    ours, theirs = tokens(wanted, "nk"), tokens(offered, "tnk")
-    # Rarity on the target side bounds how many targets one index entry meets.
-    rarity = theirs.groupBy("token", *extra).agg(F.count(F.lit(1)).alias("seen"))
-
-    def indexed(df: DataFrame, name: str) -> DataFrame:
-        order = F.array_sort(
-            F.collect_list(F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), "token"))
-        )
-        return (
-            df.join(rarity, ["token", *extra], "left")
-            .groupBy(name, "len", *extra)
-            .agg(order.alias("grams"))
-            .withColumn("keep", prefix_length(F.col("len"), at_least))
-            .withColumn("entry", F.explode(F.slice("grams", 1, F.greatest("keep", F.lit(1)))))
-            .select(name, "len", *extra, F.col("entry.token").alias("token"))
+    salt = F.xxhash64(within) if within else F.lit(0).cast("bigint")
+    every = offered.where(F.length("tnk") > 0).select(
+        F.explode(gram_column(F.col("tnk"), salt, at_least)).alias("token")
+    )
+    counted = cut_lineage(every.groupBy("token").agg(F.count(F.lit(1)).alias("seen")))
+    total = counted.agg(F.sum("seen")).first()[0] or 0
+    often = counted.where(F.col("seen") > max(SELDOM, total // FREQUENT)).toArrow().sort_by("token")
+    dropped(counted)
+    common = often["token"].to_numpy(), often["seen"].to_numpy()
+
+    def indexed(df: DataFrame, name: str, length: str) -> DataFrame:
+        return df.where(F.length(name) > 0).select(
+            name, F.length(name).alias(length), *extra,
+            F.explode(gram_column(F.col(name), salt, at_least, common)).alias("token"),
         )
 
-    left = indexed(ours, "nk")
-    right = indexed(theirs, "tnk").withColumnRenamed("len", "tlen")
+    left, right = indexed(wanted, "nk", "len"), indexed(offered, "tnk", "tlen")
     shorter, longer = F.least("len", "tlen"), F.greatest("len", "tlen")
     pairs = (
         left.join(right, ["token", *extra])

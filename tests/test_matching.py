@@ -6,6 +6,7 @@ import random
 from collections import Counter
 from difflib import SequenceMatcher
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,7 +152,7 @@ def test_hot_name_with_owners_in_any_order(spark):
 
 def test_thresholds_out_of_range(spark):
     empty = spark.createDataFrame([], RECORD)
-    for threshold in (-0.1, 1.1, 0.05):
+    for threshold in (-0.1, 1.1):
         with pytest.raises(ValueError):
             matching.fuzzy_match(empty, empty, name_columns=["name"], threshold=threshold)
 
@@ -184,17 +185,60 @@ def test_gram_filter_loses_no_pair():
 
 
 @pytest.mark.parametrize("at_least", [0.0, 1e-6, 0.1, 0.3, 0.7, 0.8, 0.86, 0.94, 1.0])
-def test_grams_and_prefix_lengths_as_expressions(spark, at_least):
+def test_grams_and_prefix_lengths(at_least):
     q = similarity.gram_size(at_least)
-    names = spark.createDataFrame([("abab" * 3 + "x" * n, n + 12) for n in range(20)] + [("a", 1)], "n string, k int")
-    for name, length, found, keep in names.select(
-        "n", "k", similarity.grams(F.col("n"), at_least), similarity.prefix_length(F.col("k"), at_least)
-    ).collect():
+    names = ["abab" * 3 + "x" * n for n in range(20)] + ["a", "", "\U0001d518 é"]
+    salts = np.zeros(len(names), np.int64)
+    found, first = similarity.grams(names, salts, at_least)
+    hashes = {}
+    for k, name in enumerate(names):
         padded = "\x02" * (q - 1) + name + "\x03" * (q - 1)
-        plain = Counter(padded[i : i + q] for i in range(len(padded) - q + 1))
-        assert sorted(found) == sorted(f"{g}\x01{i + 1}" for g, n in plain.items() for i in range(n))
-        if at_least == 0 or at_least >= 0.1:
-            assert keep == length + q - similarity.least_overlap(length, at_least, q)
+        plain = [padded[i : i + q] for i in range(len(padded) - q + 1)] if name else []
+        seen = Counter()
+        for gram, value in zip(plain, found[first[k] : first[k + 1]].tolist(), strict=True):
+            seen[gram] += 1
+            assert hashes.setdefault((gram, seen[gram]), value) == value
+    assert len(set(hashes.values())) == len(hashes)
+    # Frequent grams come last; as many are kept as a pair may lack, and one.
+    common = np.sort(found[:5])
+    kept, edges = similarity.indexed(names, salts, at_least, (common, np.arange(9, 9 + len(common))))
+    for k, name in enumerate(names):
+        mine, n = kept[edges[k] : edges[k + 1]].tolist(), len(name)
+        if not name:
+            assert mine == []
+            continue
+        want = n + q - 1 if at_least == 0 else n + q - similarity.least_overlap(n, at_least, q)
+        assert len(mine) == max(1, want)
+        left = set(found[first[k] : first[k + 1]].tolist()) - set(mine)
+        often = dict(zip(common.tolist(), range(9, 20)))
+        worst = max((often.get(g, 0), g) for g in mine)
+        assert all((often.get(g, 0), g) > worst for g in left)
+
+
+def test_salts_keep_names_apart():
+    value, first = similarity.grams(["same", "same"], np.array([1, 2]), 0.86)
+    assert not set(value[: first[1]].tolist()) & set(value[first[1] :].tolist())
+
+
+@pytest.mark.parametrize("letters, low, high", [
+    ("ab", 0, 12), ("abcdefgh ", 0, 30), ("abcdefghijklmnop ", 40, 150), ("abc", 150, 420), ("aé日\U0001d518", 0, 9),
+])
+def test_batch_ratio_equals_the_library(letters, low, high):
+    rng = random.Random(high)
+
+    def word():
+        return "".join(rng.choice(letters) for _ in range(rng.randint(low, high)))
+
+    left = [word() for _ in range(150)]
+    right = [a[: len(a) // 2] + word() if rng.random() < 0.5 else word() for a in left] + left[:9]
+    one, other = similarity.Names(left), similarity.Names(right)
+    i = np.array([rng.randrange(len(left)) for _ in range(400)])
+    j = np.array([rng.randrange(len(right)) for _ in range(400)])
+    got, bound = similarity.ratios(one, i, other, j), similarity.upper_bound(one, i, other, j)
+    for a, b, r, u in zip(i, j, got, bound):
+        want = SequenceMatcher(None, left[a], right[b]).ratio() if left[a] and right[b] else 0.0
+        assert r == want
+        assert u >= r - 1e-12
 
 
 def test_places_after_a_free_target_spread_over_ranges(spark, small_limits):
@@ -237,3 +281,40 @@ def test_no_unbounded_joins(spark):
     pairs = matching.similar_names(names, names.withColumnRenamed("nk", "tnk"), 0.8)
     plan = pairs._jdf.queryExecution().optimizedPlan().toString()
     assert "Join Cross" not in plan and "Join Inner\n" not in plan
+
+
+@pytest.mark.parametrize("threshold", [0.0, 0.06])
+def test_thresholds_that_equal_departments_reach(spark, threshold):
+    """Names without a common letter, and blank ones, match by department alone."""
+    source, target = crowd(9, 5, 4, 0.4, "abcdefghijklmnopqrstuvw", teams=("a", "b", ""), blank=0.2)
+    target += [(50, "L1", "", "a"), (51, "L2", "9999", "b"), (52, "L3", "", "")]
+    source += [(60, "", "zzzz", "a"), (61, "", "zz", "b"), (62, "", "yyy", "")]
+    check(spark, source, target, threshold=threshold)
+
+
+def words(n):
+    """Names that resemble each other little."""
+    rng = random.Random(n)
+    return ["".join(rng.sample("abcdefghijklmnopqrstuvwxyz", 9)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("typo", [True])
+def test_chain_of_owners_of_other_names(spark, monkeypatch, typo):
+    """Each target bears the name of the source before its owner, so that one source without
+    a key displaces all the others; the rounds do not grow with them."""
+    n = 24
+    name = words(n + 1)
+    shown = [x[:8] + "#" if typo and i % 2 else x for i, x in enumerate(name)]
+    source = [(0, "", shown[0], "")] + [(i, f"K{i}", shown[i], "") for i in range(1, n + 1)]
+    target = [(i, f"K{i}", name[i - 1], "") for i in range(1, n + 1)]
+    rounds = []
+    propose = matching._Assignment.propose
+
+    def counted(self, *args):
+        rounds.append(1)
+        return propose(self, *args)
+
+    monkeypatch.setattr(matching._Assignment, "propose", counted)
+    rows = check(spark, source, target)
+    assert sum(r.match_type == "fuzzy_name" for r in rows) == n
+    assert len(rounds) <= 12
