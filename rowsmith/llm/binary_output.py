@@ -20,8 +20,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith.llm.common import numbered, written
-from rowsmith.llm.packing import token_rows
+from rowsmith.llm.common import numbered, pick, written
+from rowsmith.llm.tokens import tokens
+from rowsmith.llm.words import blocks
+
+_BLOCK = 1 << 20  # bytes of text that are tokenized at a time
 
 
 class RoomTree:
@@ -94,28 +97,33 @@ def best_fit_decreasing(histogram: dict[int, int], length: int):
     return runs, opened
 
 
-def _split(length: int, kind: str):
-    """(doc_id, doc_tokens, start, size, ids): full pieces and rests, ids compressed."""
+def _split(path: str, end: int, length: int, kind: str):
+    """(doc_id, doc_tokens, start, size, ids): full pieces and rests, ids compressed.
+
+    Texts are tokenized, cut and compressed by one process, a small block at a time.
+    """
 
     def run(batches):
         pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            size = batch.column(1).to_numpy()
-            n = -(-size // length)
-            row = np.repeat(np.arange(len(size)), n)
-            start = (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)) * length
-            end = np.minimum(start + length, size[row])
-            width = np.dtype(kind).itemsize
-            bodies, at, whole = [], -1, b""
-            for r, a, b in zip(row.tolist(), start.tolist(), end.tolist()):
-                if r != at:
-                    at, whole = r, batch.column(2)[r].as_buffer().to_pybytes()
-                bodies.append(pack(whole[a * width : b * width]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row)), pa.array(size[row]), pa.array(start),
-                 pa.array(end - start), pa.array(bodies, pa.binary())],
-                names=["doc_id", "doc_tokens", "start", "size", "ids"],
-            )
+            for first, data, offsets in blocks(batch.column(1), _BLOCK):
+                ids, cuts = tokens(path).encode(data, offsets)
+                size = np.diff(cuts) + 1
+                n = -(-size // length)
+                row = np.repeat(np.arange(len(size)), n)
+                start = (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)) * length
+                stop = np.minimum(start + length, size[row])
+                line = np.insert(ids, cuts[1:], np.uint32(end)).astype(kind)
+                before = (np.cumsum(size) - size)[row]
+                bodies = [
+                    pack(line[a:b].tobytes())
+                    for a, b in zip((before + start).tolist(), (before + stop).tolist())
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, len(size)).take(pa.array(row)), pa.array(size[row]),
+                     pa.array(start), pa.array(stop - start), pa.array(bodies, pa.binary())],
+                    names=["doc_id", "doc_tokens", "start", "size", "ids"],
+                )
 
     return run
 
@@ -130,12 +138,11 @@ def pieces(
     documents of their own.  No rows give no pieces.
     """
     spark = docs.sparkSession
-    rows = token_rows(docs, path, end, wide, id_column, text)
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    rows = pick(docs, id_column, text)
+    kind = rows.schema[0].dataType.simpleString()
     split = written(
-        rows.select("doc_id", "doc_tokens", "ids")
-        .mapInArrow(
-            _split(length, "<u4" if wide else "<u2"),
+        rows.mapInArrow(
+            _split(path, end, length, "<u4" if wide else "<u2"),
             f"doc_id {kind}, doc_tokens long, start long, size long, ids binary",
         )
         .withColumn("piece", F.monotonically_increasing_id())

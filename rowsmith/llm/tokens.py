@@ -18,6 +18,7 @@ from rowsmith.llm.words import LOWER, word_hashes
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
+_LONG = 1 << 20  # bytes of one text that are encoded at a time
 _SPACE, _LETTER, _DIGIT, _MARK, _ODD = range(5)
 _KIND = np.full(256, _ODD, dtype=np.uint8)
 _KIND[0x21:0x7F] = _MARK
@@ -54,6 +55,26 @@ def pieces(data: np.ndarray, offsets: np.ndarray):
     return starts, ends, whole[starts]
 
 
+def _parts(data: np.ndarray):
+    """A long text cut before white space, into parts of at most ``_LONG`` bytes where it can be."""
+    first = 0
+    while first < len(data):
+        last = first + _LONG
+        if last >= len(data):
+            yield data[first:]
+            return
+        gaps = np.flatnonzero(_KIND[data[first + 1 : last]] == _SPACE)
+        if len(gaps):
+            last = first + 1 + int(gaps[-1])
+        else:
+            # No white space in reach: the part goes on to the next there is.
+            while last < len(data) and _KIND[data[last]] != _SPACE:
+                step = np.flatnonzero(_KIND[data[last : last + _LONG]] == _SPACE)
+                last += int(step[0]) if len(step) else min(_LONG, len(data) - last)
+        yield data[first:last]
+        first = last
+
+
 class Tokens:
     """Ids by the vocabulary file at ``path``; ``most`` bounds the cached words."""
 
@@ -102,6 +123,13 @@ class Tokens:
         """The ids of all texts in a row, and where each text's ids begin and end."""
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        if len(offsets) == 2 and len(data) > _LONG:
+            parts = [self._encode(part, np.array([0, len(part)]))[0] for part in _parts(data)]
+            ids = np.concatenate(parts)
+            return ids, np.array([0, len(ids)])
+        return self._encode(data, offsets)
+
+    def _encode(self, data: np.ndarray, offsets: np.ndarray):
         starts, ends, odd = pieces(data, offsets)
         lowered = LOWER[data]
         hashes = word_hashes(lowered, starts, ends)
