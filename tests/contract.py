@@ -50,6 +50,8 @@ def plain(value):
         return "nan" if math.isnan(value) else float(f"{value:.12g}")
     if isinstance(value, (dt.date, dt.datetime)):
         return value.isoformat()
+    if isinstance(value, (list, tuple)):
+        return tuple(map(plain, value))
     return value
 
 
