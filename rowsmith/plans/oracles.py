@@ -141,9 +141,10 @@ PACK = {
     ),
 }
 VIOLATIONS = " union all ".join(PACK.values())
-BY_RULE = " || '|' || ".join(
-    f"'{name}=' || cast(count(*) filter (rule_name = '{name}') as varchar)" for name in PACK
-)
+BY_RULE = "concat_ws('|', " + ", ".join(
+    f"""case when count_if(rule_name = '{name}') > 0
+        then '{name}=' || cast(count_if(rule_name = '{name}') as varchar) end""" for name in PACK
+) + ")"
 RULE_VIEWS = views("src")
 
 FLAGS = f"""select *, case
@@ -375,10 +376,10 @@ ORACLES: dict[str, str] = {
     "violations_by_rule": RULE_VIEWS
     + f"select rule_name, count(*) as violation_count from ({VIOLATIONS}) group by rule_name",
     "validation_summary": RULE_VIEWS
-    + f"""select (select count(*) from src) as rows_scanned, cast(7 as bigint) as rule_count,
+    + f"""select (select count(*) from src) as rows_scanned, cast(9 as bigint) as rule_count,
         'student_id' as key_column, 'student_id|email|due_date' as required_columns,
         '' as missing_columns, count(*) as violation_count, {BY_RULE} as violations_by_rule
-        from ({VIOLATIONS})""",
+        from ({VIOLATIONS} union all {required('team_named', 'email')})""",
     "validate_missing_columns": RULE_VIEWS
     + """select count(*) as rows_scanned, cast(1 as bigint) as rule_count,
         'student_id' as key_column, 'campus' as required_columns,
