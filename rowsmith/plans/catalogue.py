@@ -23,7 +23,9 @@ from ..operators import (
     survivorship,
 )
 from ..sources.documents import parse_history, parse_manifest, typed_steps
-from ..sources.records import apply_schema, with_row_idx
+from ..session import shared_folder
+from ..sources.records import apply_schema, scan_records, with_row_idx
+from ..sources.sinks import write_csv
 from .etl import transform
 from .views import table, view
 
@@ -287,6 +289,14 @@ def flat_counts(summary: DataFrame) -> DataFrame:
     return summary.withColumn("violations_by_rule", F.array_join(each, "|"))
 
 
+@query("rule_values_of_a_table")
+def _(spark, folder):
+    """Keys that no target record has; the allowed keys are a table of any length."""
+    rule = {"name": "known_key", "type": "allowed_values", "column": "student_id", "table": "keys"}
+    keys = tgt(spark, folder).select("student_id")
+    return rules.validate(src(spark, folder), {"rules": [rule]}, tables={"keys": keys})
+
+
 @query("validate_violations")
 def _(spark, folder):
     return rules.validate(src(spark, folder), RULES)
@@ -583,6 +593,16 @@ def _(spark, folder):
     return parse_manifest(documents)
 
 
+@query("csv_records")
+def _(spark, folder):
+    """Whole documents written as CSV, fully quoted, and read again by many tasks a file."""
+    columns = ["doc_id", "lang", "source", "n_chars", "text"]
+    path = shared_folder(spark)
+    write_csv(table(spark, folder, "documents").select(*columns), path, quote_all=True)
+    records = scan_records(spark, path)
+    return records.select(*[F.coalesce(c, F.lit("")).alias(c) for c in columns])
+
+
 @query("record_ordinals")
 def _(spark, folder):
     lines = with_row_idx(table(spark, folder, "lineitem"))

@@ -373,6 +373,13 @@ ORACLES: dict[str, str] = {
     "rule_when_in": RULE_VIEWS
     + in_range("rule_1", None, "50", f"lower({n('department')}) in ('dept 1', 'dept 2')"),
     "validate_violations": RULE_VIEWS + VIOLATIONS,
+    "rule_values_of_a_table": views("src", "tgt")
+    + rule(
+        "known_key", "allowed_values", "student_id",
+        f"{n('student_id')} <> '' and lower({n('student_id')}) not in "
+        f"(select lower({n('student_id')}) from tgt where {n('student_id')} is not null)",
+        f"'value ''' || {n('student_id')} || ''' is not in allowed set'",
+    ),
     "violations_by_rule": RULE_VIEWS
     + f"select rule_name, count(*) as violation_count from ({VIOLATIONS}) group by rule_name",
     "validation_summary": RULE_VIEWS
@@ -535,6 +542,9 @@ ORACLES: dict[str, str] = {
         '' as steps_file, cast(0 as bigint) as report_files, cast(0 as bigint) as output_files,
         cast(json_extract_string(props, '$.k') as bigint) as steps_total,
         cast(0 as bigint) as steps_failed, cast(0 as bigint) as steps_retried from events""",
+    "csv_records": """select cast(doc_id as varchar) as doc_id, coalesce(lang, '') as lang,
+        coalesce(source, '') as source, coalesce(cast(n_chars as varchar), '') as n_chars,
+        coalesce(text, '') as text from documents""",
     "record_ordinals": """select count(*) as records, cast(2 as bigint) as first,
         cast(count(*) + 1 as bigint) as last, count(*) as ordinals from lineitem""",
     "typed_records": TYPED_VIEWS + "select * from typed",

@@ -12,7 +12,8 @@ from ..functions.text import quoted
 def write_csv(
     df: DataFrame, path: str, quote_all: bool = False, order_by: Sequence[str] = ()
 ) -> None:
-    """Header and fixed column order; overwrites; quotes inside a cell are doubled.
+    """Header and fixed column order; overwrites; quotes inside a cell are doubled, and cells
+    keep the white space around them.
 
     With ``order_by`` the part files, in the order of their names, hold the rows in key
     order; the sort is by ranges of the key, so no task holds more than a part.
@@ -24,6 +25,8 @@ def write_csv(
         .option("quoteAll", quote_all)
         .option("escape", '"')
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 
