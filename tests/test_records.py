@@ -8,7 +8,7 @@ from collections import Counter
 
 import pytest
 
-from rowsmith.operators import rules
+from rowsmith.operators import profile, rules
 from rowsmith.sources import records, sinks
 
 
@@ -84,3 +84,27 @@ def test_allowed_values_of_a_table(spark):
         assert summary.violation_count == some.count()
     with pytest.raises(ValueError):
         rules.validate(people, {"rules": [listed | {"table": "absent"}]})
+
+
+def test_profile_of_long_values(spark):
+    """Long values count by digest; of those with one beginning the smallest are shown."""
+    head = "h" * 200
+    values = [head + str(i % 7) for i in range(30)] + ["0" * 300 + "5", "zz", None, "n/a", head[:128]]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, text string")
+    text = profile.profile(df).where("column_name = 'text'").first()
+    kept = sorted({v for v in values if v not in (None, "n/a")})
+    assert text.null_count == 2
+    assert text.distinct_count == len(kept)
+    assert text.sample_values == kept[:5]
+    assert text.numeric_min is None
+    numbers = spark.createDataFrame([("0" * 300 + "5",), ("7",)], "x string")
+    row = profile.profile(numbers).first()
+    assert (row.numeric_min, row.numeric_max, row.distinct_count) == (5.0, 7.0, 2)
+
+
+def test_profile_shuffles_no_long_text(spark):
+    df = spark.createDataFrame([("x" * 9999,)], "text string")
+    lines = profile.profile(df)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    keys = [line for line in lines if "Aggregate [ordinal" in line]
+    assert any("head" in k and "digest" in k for k in keys)
+    assert not any("Aggregate [ordinal#" in k and "value#" in k.split("]")[0] for k in keys)
