@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..sources.documents import COUNT_FIELDS
-from ..sources.sinks import write_summary
+from ..sources.sinks import publish, write_document, write_summary
 
 
 def run_counts(steps: DataFrame, reports: DataFrame, outputs: DataFrame) -> DataFrame:
@@ -83,6 +83,20 @@ def write_manifest(manifest: Manifest, folder: str) -> None:
     write_summary(manifest.outputs, f"{folder}/outputs")
 
 
+def write_manifest_document(manifest: Manifest, folder: str) -> None:
+    """The manifest as one JSON document in ordered part files, entries in key order."""
+    files = ["relative_path"]
+    write_document(
+        manifest.header,
+        {
+            "steps": (manifest.steps, manifest.steps.columns[:1]),
+            "reports": (manifest.reports, files),
+            "outputs": (manifest.outputs, files),
+        },
+        folder,
+    )
+
+
 def upsert_history(
     history: DataFrame, entry: DataFrame, max_entries: int = 200, ordinal: str = "ordinal"
 ) -> DataFrame:
@@ -123,6 +137,15 @@ def write_history(history: DataFrame, folder: str, updated_utc: str, max_entries
     write_summary(history.orderBy(F.desc("generated_utc"), "ordinal").drop("ordinal"), f"{folder}/runs")
 
 
+def publish_history(history: DataFrame, root: str, updated_utc: str, max_entries: int = 200) -> str:
+    """Header and runs as a new version below ``root``, which replaces the current one at once.
+
+    ``history`` may be computed from the current version.
+    """
+    runs = history.orderBy(F.desc("generated_utc"), "ordinal").drop("ordinal")
+    return publish({"header": history_header(history, updated_utc, max_entries), "runs": runs}, root)
+
+
 def history_columns() -> list[str]:
     return [
         "run_id", "status", "generated_utc", "manifest_file", "log_file", "steps_file",

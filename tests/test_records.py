@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import csv
+import json
 import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from rowsmith.operators import profile, rules
+from rowsmith.operators import profile, rules, runs
 from rowsmith.sources import records, sinks
 
 
@@ -108,3 +110,54 @@ def test_profile_shuffles_no_long_text(spark):
     keys = [line for line in lines if "Aggregate [ordinal" in line]
     assert any("head" in k and "digest" in k for k in keys)
     assert not any("Aggregate [ordinal#" in k and "value#" in k.split("]")[0] for k in keys)
+
+
+def document(folder):
+    """The part files below a folder, joined in the order of their paths."""
+    parts = sorted(folder.rglob("part-*"))
+    return json.loads("".join(p.read_text() for p in parts))
+
+
+@pytest.mark.parametrize("n", [0, 1, 50])
+def test_manifest_as_one_document(spark, tmp_path, n):
+    steps = spark.createDataFrame(
+        [(f"s{i % 40:02}", "ok", None) for i in range(n)], "step string, status string, note string"
+    ).repartition(3)
+    files = spark.createDataFrame([(f'r/"{i}"', i) for i in range(n)], "relative_path string, size long")
+    header = spark.createDataFrame([("run-1", None)], "run_id string, log string")
+    manifest = runs.Manifest(header, steps, files, files.limit(0))
+    runs.write_manifest_document(manifest, f"{tmp_path}/doc")
+    found = document(tmp_path / "doc")
+    assert list(found) == ["run_id", "log", "steps", "reports", "outputs"]
+    assert [s["step"] for s in found["steps"]] == sorted(f"s{i % 40:02}" for i in range(n))
+    assert [f["size"] for f in found["reports"]] == [i for _, i in sorted((f'r/"{i}"', i) for i in range(n))]
+    assert found["outputs"] == [] and found["log"] is None
+
+
+def test_history_replaced_while_it_is_read(spark, tmp_path, monkeypatch):
+    root, kind = f"{tmp_path}/history", "run_id string, generated_utc string, status string"
+    order = F.monotonically_increasing_id().alias("ordinal")
+
+    def now():
+        return sinks.current(spark, root, "runs", kind)
+
+    def add(name, at):
+        entry = spark.createDataFrame([(name, at, "ok")], kind)
+        merged = runs.upsert_history(now().select("*", order), entry, max_entries=2)
+        return runs.publish_history(merged, root, at, max_entries=2)
+
+    assert now().count() == 0
+    for k in range(3):
+        add(f"r{k}", f"2024-01-0{k + 1}")
+    assert [r.run_id for r in now().collect()] == ["r2", "r1"]
+
+    def dies(*args):
+        raise RuntimeError("killed between write and switch")
+
+    monkeypatch.setattr(sinks, "switch", dies)
+    with pytest.raises(RuntimeError):
+        add("r9", "2024-02-01")
+    assert [r.run_id for r in now().collect()] == ["r2", "r1"]
+    monkeypatch.undo()
+    add("r9", "2024-02-01")
+    assert [r.run_id for r in now().collect()] == ["r9", "r2"]
