@@ -123,8 +123,12 @@ def shard(docs: DataFrame, shards: int = 16, id_column: str = "doc_id", text: st
         )
         .select(F.col("_g").alias("_pg"), "shard")
     )
-    dealt = written(narrow.join(placed, F.col("_g") == F.col("_pg")).drop("_g", "_pg"))
-    slotted = numbered(dealt, ["shard"], ["doc_id", "size", "text_crc32"], "slot")
+    dealt = written(
+        narrow.join(placed, F.col("_g") == F.col("_pg")).drop("_g", "_pg")
+        .withColumn("_row", F.monotonically_increasing_id())
+    )
+    # The row's own number spreads equal rows over cells; it is part of the written table.
+    slotted = numbered(dealt, ["shard"], ["doc_id", "size", "text_crc32", "_row"], "slot")
     return slotted.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),

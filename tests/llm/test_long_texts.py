@@ -43,3 +43,15 @@ print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024, len
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=600)
     grown, n = map(int, out.stdout.split())
     assert n > 5_000_000 and grown < 500, grown
+
+
+def test_equal_rows_without_an_id_spread_over_cells(spark):
+    """Slots are gapless, and no cell of the numbering holds more than its share."""
+    from rowsmith.llm import sharding
+    from tests.llm.cases import documents
+
+    found = sharding.shard(documents(spark, [(None, "")] * 2000 + [(1, "a b")], clash=False), shards=2)
+    rows = found.collect()
+    for shard in {r.shard for r in rows}:
+        slots = sorted(r.slot for r in rows if r.shard == shard)
+        assert slots == list(range(len(slots)))
