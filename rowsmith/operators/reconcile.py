@@ -10,6 +10,7 @@ from ..functions.text import norm, norm_or_blank, quoted
 from .dedupe import first_per_key, require_columns
 
 # The reconciliation states, in report order.
+HOT = 100_000  # rows of one key, on both sides, beyond which they meet in a grid
 STATES = ("match", "mismatch", "source_only", "target_only")
 
 
@@ -142,6 +143,42 @@ def reconcile_summary(
     )
 
 
+def hot_keys(left: DataFrame, right: DataFrame, pair: list[str]) -> DataFrame:
+    """Keys with more than ``HOT`` rows in both tables, and how many rows and columns of cells
+    their grid has; each cell meets about ``HOT`` rows of either side."""
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        n = df.groupBy(*pair).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT)
+        return n.select(*pair, F.ceil(F.col("n") / HOT).alias(name))
+
+    return counted(left, "__rows").join(counted(right, "__columns"), pair)
+
+
+def gridded(
+    left: DataFrame, right: DataFrame, hot: DataFrame, pair: list[str]
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of hot keys, dealt to cells (``__row``, ``__column``) of their key.
+
+    A left row belongs to one row of cells and is copied to all its columns, a right row to one
+    column and all its rows, so every two rows of a key meet in exactly one cell.
+    """
+
+    def dealt(df: DataFrame, own: str, n_own: str, other: str, n_other: str) -> DataFrame:
+        every = F.sequence(F.lit(0).cast("bigint"), F.col(n_other) - 1)
+        return (
+            df.withColumn("__id", F.monotonically_increasing_id())
+            .join(hot, pair)
+            .withColumn(own, F.col("__id") % F.col(n_own))
+            .withColumn(other, F.explode(every))
+            .drop("__id", "__rows", "__columns")
+        )
+
+    return (
+        dealt(left, "__row", "__rows", "__column", "__columns"),
+        dealt(right, "__column", "__columns", "__row", "__rows"),
+    )
+
+
 def reconcile_sql(
     source: DataFrame, target: DataFrame, key: str, columns: Sequence[str]
 ) -> DataFrame:
@@ -152,6 +189,8 @@ def reconcile_sql(
     a left join plus the target rows without a partner: adaptive execution can
     split a hot key on the left side of both, which it cannot in a full outer
     join.  Null keys get a number of their own, which spreads them over the tasks.
+    Keys with more than ``HOT`` rows on both sides, each of which has partners, meet
+    in a grid of cells, see :func:`gridded`.
     """
     pair = ["__key", "__null"]
 
@@ -172,7 +211,13 @@ def reconcile_sql(
     for c in columns:
         ours, theirs = F.col(quoted(f"source_{c}")), F.col(quoted(f"target_{c}"))
         differs = differs | (F.coalesce(ours, F.lit("")) != F.coalesce(theirs, F.lit("")))
-    from_source = left.join(partners.withColumn("hit", F.lit(True)), pair, "left").withColumn(
+    hot = hot_keys(left, partners, pair)
+    ours, theirs = gridded(left, partners, hot, pair)
+    crowded = ours.join(theirs, [*pair, "__row", "__column"]).drop("__row", "__column")
+    plain = left.join(hot, pair, "left_anti").join(
+        partners.join(hot, pair, "left_anti").withColumn("hit", F.lit(True)), pair, "left"
+    )
+    from_source = plain.unionByName(crowded.withColumn("hit", F.lit(True))).withColumn(
         "reconciliation_status",
         # The template labels a null source key target_only: its first test is on that key.
         F.when(F.col("record_key").isNull(), "target_only")

@@ -10,7 +10,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from rowsmith.operators import profile, rules, runs
+from rowsmith.operators import profile, reconcile, rules, runs
 from rowsmith.sources import records, sinks
 
 
@@ -161,3 +161,22 @@ def test_history_replaced_while_it_is_read(spark, tmp_path, monkeypatch):
     monkeypatch.undo()
     add("r9", "2024-02-01")
     assert [r.run_id for r in now().collect()] == ["r9", "r2"]
+
+
+def test_key_hot_on_both_sides_meets_in_a_grid(spark, monkeypatch):
+    """Every pair of rows of the key is there once, and no cell holds many rows."""
+    monkeypatch.setattr(reconcile, "HOT", 10)
+    key = lambda i, n: "hot" if i < n else f"k{i}" if i % 5 else None
+    source = spark.createDataFrame([(key(i, 64), str(i % 3)) for i in range(90)], "id string, v string")
+    target = spark.createDataFrame([(key(i, 45), str(i % 4)) for i in range(100)], "id string, v string")
+    found = reconcile.reconcile_sql(source, target, "id", ["v"]).collect()
+    want = source.alias("s").join(target.alias("t"), F.col("s.id") == F.col("t.id"), "full").select(
+        F.coalesce("s.id", "t.id"), "s.v", "t.v"
+    ).collect()
+    shown = Counter((r.record_key, r.source_v, r.target_v) for r in found)
+    assert shown == Counter(map(tuple, want))
+    assert sum(r.record_key == "hot" for r in found) == 64 * 45
+    left, right = (df.where("id = 'hot'").coalesce(1) for df in (source, target))
+    for df, n in zip(reconcile.gridded(left, right, reconcile.hot_keys(left, right, ["id"]), ["id"]), (7, 5)):
+        cells = df.groupBy("__row", "__column").count().collect()
+        assert len(cells) == 35 and max(c["count"] for c in cells) <= 10
