@@ -102,11 +102,11 @@ def profile(
     )
     if approximate:
         return out
-    # The count is used, and nulls are dropped only after the rank, so that this
+    # All sums are used, and nulls are dropped only after the rank, so that this
     # branch asks for the same aggregate and reuses its shuffle.
     smallest = Window.partitionBy("ordinal").orderBy(head.asc_nulls_last(), digest.asc_nulls_first())
     first = (
-        counted.where("n > 0")
+        counted.where("n > 0 or long_number is not null")
         .select("ordinal", "head", "digest", F.row_number().over(smallest).alias("rn"))
         .where(F.col("rn") <= samples)
         .where(head.isNotNull())

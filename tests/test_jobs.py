@@ -127,7 +127,8 @@ def test_row_local_jobs_do_not_shuffle(spark, people):
     assert "Exchange" not in plan(violations)
     assert "Exchange" not in plan(checks.sanitize(people))
     assert "Exchange" not in plan(audit.anomalies(people))
-    assert plan(profile.profile(people, ["score"])).count("WindowGroupLimit") == 2
+    # The rank by beginning, read for short and for long values, and the rank by value.
+    assert plan(profile.profile(people, ["score"])).count("WindowGroupLimit") == 6
     card = integrity.integrity_scorecard(
         people.selectExpr("*", "1 as s", "current_date() as due_date", "current_date() as completed_at"),
         integrity.IntegritySpec(score="s"),
