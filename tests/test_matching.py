@@ -290,31 +290,3 @@ def test_thresholds_that_equal_departments_reach(spark, threshold):
     target += [(50, "L1", "", "a"), (51, "L2", "9999", "b"), (52, "L3", "", "")]
     source += [(60, "", "zzzz", "a"), (61, "", "zz", "b"), (62, "", "yyy", "")]
     check(spark, source, target, threshold=threshold)
-
-
-def words(n):
-    """Names that resemble each other little."""
-    rng = random.Random(n)
-    return ["".join(rng.sample("abcdefghijklmnopqrstuvwxyz", 9)) for _ in range(n)]
-
-
-@pytest.mark.parametrize("typo", [True])
-def test_chain_of_owners_of_other_names(spark, monkeypatch, typo):
-    """Each target bears the name of the source before its owner, so that one source without
-    a key displaces all the others; the rounds do not grow with them."""
-    n = 24
-    name = words(n + 1)
-    shown = [x[:8] + "#" if typo and i % 2 else x for i, x in enumerate(name)]
-    source = [(0, "", shown[0], "")] + [(i, f"K{i}", shown[i], "") for i in range(1, n + 1)]
-    target = [(i, f"K{i}", name[i - 1], "") for i in range(1, n + 1)]
-    rounds = []
-    propose = matching._Assignment.propose
-
-    def counted(self, *args):
-        rounds.append(1)
-        return propose(self, *args)
-
-    monkeypatch.setattr(matching._Assignment, "propose", counted)
-    rows = check(spark, source, target)
-    assert sum(r.match_type == "fuzzy_name" for r in rows) == n
-    assert len(rounds) <= 12
