@@ -1,25 +1,32 @@
-"""Removal of passages that occur earlier, by hashes of windows.
-
-A window of ``depth`` words, below called a suffix, starts at every word and is known by
-hashes of its words.  It is what a suffix tree cut at ``depth`` would tell; no tree is built.
-
-1. Short prefixes.  Of the phrases of ``stem`` words inside its first ``depth`` words, each
-   suffix names the one with the smallest hash; equal passages name the same phrase.
-   Where that phrase occurs once in the corpus, the suffix hangs on a branch with a single
-   leaf, no deep node can be above it, and it is dropped.  Six in seven phrases are never
-   named, so little is shuffled.
-2. Long prefixes.  The suffixes that are left are split by their first ``depth`` words into
-   groups sized for memory.  Sorted, the members below one deep internal node stand
-   together; the earliest is the first occurrence and the others are repeats.
-3. Neighbouring repeats join, whatever their sources, and their words go.
-
-Documents are dealt to segments of about ``segment`` bytes by a hash of their id, so that
-one source or one group of copies with different ids spreads out.  Before anything is shuffled, a segment
-joins what is equal inside it; a passage that a third of all documents share costs one
-entry per segment.  What travels is packed arrays, not rows.
-
-Hashes have 64 bits for words and 64 + 32 bits for prefixes of full depth; among 10**12
-suffixes the chance of any two different ones agreeing is below 10**-4.
+"""Removal of passages that occur earlier, by prefix-partitioned suffix trees.
+
+A suffix starts at every word with ``depth`` words ahead of it in its document.  Wanted are
+the internal nodes at least ``depth`` words deep: the words above one occur at all its leaves.
+
+1. Leaves that matter.  Of the phrases of ``stem`` words inside its first ``depth`` words,
+   each suffix names the one with the smallest hash; equal passages name the same phrase.
+   Where that phrase occurs once in the corpus no deep node can be above the suffix, and it
+   is dropped.  Six in seven phrases are never named, so little is shuffled.
+2. Prefixes of variable length.  A suffix is known by a code of 64 bits, in order: bits of
+   its first word, of its first two, its first four, and all ``depth``; so the order of codes
+   is one of a tree whose upper branches are these prefixes.  Codes are cut into ranges of
+   about equal load, at splitters taken from a sample: a rare first word shares its range with
+   others, a frequent one is split by its second word, fourth, and on.  A range fits memory.
+3. Subtrees.  A range sorted by code and a second hash of all ``depth`` words has the leaves
+   below one node of that depth side by side; the earliest is the node's first occurrence, and
+   every other leaf is told where that is.  Trees end at this depth.
+4. Maximal repeats.  The suffix link of a deeper node leads to that of the next word, so a
+   repeat of any length shows in its document as leaves in a row whose first occurrences are
+   in a row too.  Such a stretch, as long as it goes, is a repeat; its later words go.
+
+Documents are dealt to segments of about ``segment`` bytes by a hash of id and text, so no
+source, id or group of copies fills one.  Rows that agree in both are joined, with a count,
+where they are read and again in their segment.  Before anything is shuffled, a segment also
+joins the suffixes that are equal inside it; a passage that a third of all documents share
+costs one entry per segment.  What travels is packed arrays, not rows.
+
+Hashes have 64 bits for words and over 80 for prefixes of full depth; among 10**11 suffixes
+the chance of any two different ones agreeing is below 10**-2.
 """
 
 from __future__ import annotations
@@ -31,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith.llm.common import pick
+from rowsmith.llm.common import pick, text_key
 from rowsmith.llm.words import (
     NOT_SPACE, U64, blocks, mixed, run_hashes, spans, word_hashes,
 )
@@ -53,33 +60,58 @@ def _windowed(values: np.ndarray, width: int, least: bool) -> np.ndarray:
     return out
 
 
+def _words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words in a row, and the number of words of each text."""
+    hashes, counts = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+    for _, data, offsets in blocks(column):
+        starts, ends = spans(data, offsets, NOT_SPACE)
+        hashes.append(word_hashes(data, starts, ends))
+        counts.append(np.diff(np.searchsorted(starts, offsets)))
+    return np.concatenate(hashes), np.concatenate(counts)
+
+
+def _codes(words: np.ndarray, depth: int, places: np.ndarray) -> np.ndarray:
+    """Codes of suffixes: those with a common prefix of 1, 2 or 4 words stand together."""
+    code = (words[places] >> U64(52)) << U64(52)
+    code |= (run_hashes(words, min(2, depth))[places] >> U64(52)) << U64(40)
+    code |= (run_hashes(words, min(4, depth))[places] >> U64(48)) << U64(24)
+    return code | run_hashes(words, depth)[places] >> U64(40)
+
+
+def _inside(n_words: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The document of each word, and whether ``depth`` words from it on lie in that document."""
+    owner = np.repeat(np.arange(len(n_words)), n_words)
+    n = max(0, len(owner) - depth + 1)
+    return owner, owner[:n] == owner[depth - 1 :][:n]
+
+
 class Segment:
-    """The suffixes of a segment's documents, in the order of document and place."""
+    """The suffixes of a segment's documents, in the order of document and place.
+
+    Rows with equal id and text are one document; ``times`` counts them.
+    """
 
     def __init__(self, docs: pa.Table, depth: int, stem: int):
-        order = np.lexsort((np.arange(len(docs)), docs["doc_key"].to_numpy()))
-        self.docs = docs = docs.take(pa.array(order))
-        self.keys = docs["doc_key"].to_numpy()
-        hashes, counts = [], []
-        for _, data, offsets in blocks(docs["text"]):
-            starts, ends = spans(data, offsets, NOT_SPACE)
-            hashes.append(word_hashes(data, starts, ends))
-            counts.append(np.diff(np.searchsorted(starts, offsets)))
-        words = np.concatenate(hashes) if hashes else np.zeros(0, U64)
-        self.n_words = np.concatenate(counts) if counts else np.zeros(0, np.int64)
+        key, tie = docs["doc_key"].to_numpy(), docs["tie"].to_numpy()
+        bare = docs["text"].is_null().to_numpy()
+        order = np.lexsort((bare, tie, key))
+        key, tie = key[order], tie[order]
+        lead = np.flatnonzero(_firsts(key, tie))
+        self.times = np.add.reduceat(docs["n"].to_numpy()[order], lead)
+        self.docs = docs = docs.take(pa.array(order[lead]))
+        self.keys = key[lead]
+        words, self.n_words = _words_of(docs["text"])
+        self.words = words
         self.first = np.concatenate([[0], np.cumsum(self.n_words)])
-        self.depth, self.words = depth, words
-        n = max(0, len(words) - depth + 1)
-        inside = np.zeros(n, dtype=bool)  # suffixes whose first words lie in one document
-        owner = np.repeat(np.arange(len(self.n_words)), self.n_words)
-        inside[:] = owner[:n] == owner[depth - 1 :][:n]
-        self.owner, self.inside = owner, inside
+        self.depth = depth
+        self.owner, self.inside = _inside(self.n_words, depth)
+        n = len(self.inside)
         phrases = run_hashes(words, stem)
         width = depth - stem + 1
         self.named = _windowed(phrases, width, True) if n else np.zeros(0, U64)
         if n:
             # A phrase is named where some window over it has it as its smallest.
-            seen = np.where(inside, self.named, U64(0))
+            seen = np.where(self.inside, self.named, U64(0))
             pad = np.zeros(width - 1, U64)
             most = _windowed(np.concatenate([pad, seen, pad]), width, False)
             chosen = np.sort(phrases[: len(most)][(most == phrases[: len(most)])])
@@ -92,46 +124,91 @@ class Segment:
         self.phrases = np.sort(mixed(chosen[new] ^ _ANEW))
         self.twice = np.sort(mixed(np.unique(chosen[~new]) ^ _ANEW))
 
-    def branching(self, shared: np.ndarray):
-        """(place, hash, check) of suffixes that some other may equal, by hash and place."""
+    def leaves(self, shared: np.ndarray):
+        """(place, code, check) of suffixes that some other may equal, by code and place."""
         live = np.union1d(self.twice, shared)
         if not len(live) or not len(self.named):
             empty = np.zeros(0, np.int64)
-            return empty, empty.astype(U64), empty.astype(np.uint32)
+            return empty, empty.astype(U64), empty.astype(U64)
         at = np.searchsorted(live, self.named)
         at[at == len(live)] = 0
         places = np.flatnonzero((live[at] == self.named) & self.inside)
-        full = run_hashes(self.words, self.depth)[places]
-        check = (run_hashes(self.words, self.depth, _OTHER)[places] >> U64(32)).astype(np.uint32)
-        order = np.lexsort((places, check, full))
-        return places[order], full[order], check[order]
+        code = _codes(self.words, self.depth, places)
+        check = run_hashes(self.words, self.depth, _OTHER)[places]
+        order = np.lexsort((places, check, code))
+        return places[order], code[order], check[order]
 
+    def own(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(document key, place in that document)."""
+        doc = self.owner[places]
+        return self.keys[doc], (places - self.first[doc]).astype(np.int32)
 
-def _firsts(full: np.ndarray, check: np.ndarray) -> np.ndarray:
-    new = np.ones(len(full), dtype=bool)
-    new[1:] = (full[1:] != full[:-1]) | (check[1:] != check[:-1])
+
+def _firsts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    new = np.ones(len(a), dtype=bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
     return new
 
 
-def _cut(values: np.ndarray, groups: int) -> np.ndarray:
-    """Where in sorted hashes each of the ``groups`` equal ranges begins and ends."""
-    edges = [(g << 64) // groups for g in range(groups)]
-    return np.append(np.searchsorted(values, np.array(edges, dtype=U64)), len(values))
+def _runs(parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of a sorted array, and where each of them begins, with the end."""
+    begins = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]])[: len(parts)])
+    return parts[begins], np.append(begins, len(parts))
 
 
 def _blobs(values: np.ndarray, cuts: np.ndarray) -> list[bytes]:
     return [values[a:b].tobytes() for a, b in itertools.pairwise(cuts)]
 
 
+def _sent(docs: pa.Table, parts: np.ndarray, arrays, schema: pa.Schema) -> pa.Table:
+    """One packed row for every range that the segment holds anything of."""
+    held, cuts = _runs(parts)
+    seg = np.full(len(held), docs["seg"][0].as_py(), np.int32)
+    return pa.table([held.astype(np.int32), seg, *(_blobs(a, cuts) for a in arrays)], schema=schema)
+
+
+def _combined(schema: pa.Schema):
+    """Rows of one partition that agree in key and text become one row and a count."""
+
+    def run(batches):
+        more = {}
+        for batch in batches:
+            ids, keys, ties = (batch.column(i).to_pylist() for i in range(3))
+            fresh = []
+            for doc_id, key, tie in zip(ids, keys, ties):
+                fresh.append((key, tie) not in more)
+                more[key, tie] = (doc_id, 0 if fresh[-1] else more[key, tie][1] + 1)
+            one = pa.array(np.ones(len(fresh), np.int64))
+            whole = pa.RecordBatch.from_arrays([*batch.columns, one], schema=schema)
+            yield whole.filter(pa.array(fresh, pa.bool_()))
+        again = [(doc_id, key, tie, None, n) for (key, tie), (doc_id, n) in more.items() if n]
+        columns = zip(*again) if again else [[]] * len(schema)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema
+        )
+
+    return run
+
+
+def _sampled(depth: int, thin: int):
+    """Codes of one in ``thin`` different suffixes."""
+
+    def run(batches):
+        for batch in batches:
+            words, n_words = _words_of(batch.column(0))
+            places = np.flatnonzero(_inside(n_words, depth)[1])
+            code = np.unique(_codes(words, depth, places))
+            code = code[mixed(code ^ _ANEW) % U64(thin) == 0]
+            yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64))], names=["code"])
+
+    return run
+
+
 def _phrases_of(depth: int, stem: int, groups: int, schema: pa.Schema):
     def run(docs: pa.Table) -> pa.Table:
         here = Segment(docs, depth, stem)
-        cuts = _cut(here.phrases, groups)
-        held = [g for g in range(groups) if cuts[g] < cuts[g + 1]]
-        blobs = _blobs(here.phrases, cuts)
-        return pa.table(
-            [held, [docs["seg"][0].as_py()] * len(held), [blobs[g] for g in held]], schema=schema
-        )
+        parts = (here.phrases >> U64(32)) * U64(groups) >> U64(32)
+        return _sent(docs, parts, [here.phrases], schema)
 
     return run
 
@@ -155,16 +232,11 @@ def _shared_phrases(schema: pa.Schema):
         shared = same[:-1] | same[1:]
         values, row = values[shared], row[shared]
         order = np.argsort(row, kind="stable")
-        values, row = values[order], row[order]
-        ids = table["seg"].to_numpy()
-        cuts = np.searchsorted(row, np.arange(len(ids) + 1))
-        held = [i for i in range(len(ids)) if cuts[i] < cuts[i + 1]]
+        held, cuts = _runs(row[order])
+        none = pa.nulls(len(held), pa.binary())
         return pa.table(
-            [
-                [int(ids[i]) for i in held],
-                [-1] * len(held),
-                [values[cuts[i] : cuts[i + 1]].tobytes() for i in held],
-            ],
+            [table["seg"].take(pa.array(held)), np.full(len(held), -1, np.int32),
+             _blobs(values[order], cuts), none, none],
             schema=schema,
         )
 
@@ -176,44 +248,48 @@ def _shared_of(back: pa.Table) -> np.ndarray:
     return np.unique(_joined(mine, "a", U64)[0]) if len(mine) else np.zeros(0, U64)
 
 
-def _suffixes_of(depth: int, stem: int, groups: int, schema: pa.Schema):
-    """The first of each suffix that branches, by group."""
+def _suffixes_of(depth: int, stem: int, splitters: np.ndarray, schema: pa.Schema):
+    """The first of each leaf that others may share a node with, by range of prefixes."""
 
     def run(docs: pa.Table, back: pa.Table) -> pa.Table:
         if not len(docs):
             return schema.empty_table()
         here = Segment(docs, depth, stem)
-        places, full, check = here.branching(_shared_of(back))
-        new = _firsts(full, check)
-        places, full, check = places[new], full[new], check[new]
-        keys = here.keys[here.owner[places]]
-        cuts = _cut(full, groups)
-        held = [g for g in range(groups) if cuts[g] < cuts[g + 1]]
-        a, b, c = _blobs(full, cuts), _blobs(check, cuts), _blobs(keys, cuts)
-        return pa.table(
-            [held, [docs["seg"][0].as_py()] * len(held)] + [[x[g] for g in held] for x in (a, b, c)],
-            schema=schema,
-        )
+        places, code, check = here.leaves(_shared_of(back))
+        new = _firsts(code, check)
+        code, check = code[new], check[new]
+        parts = np.searchsorted(splitters, code, side="right")
+        return _sent(docs, parts, [code, check, *here.own(places[new])], schema)
 
     return run
 
 
-def _later_ones(schema: pa.Schema):
-    """For each segment's entries of a group, a bit: does another segment hold it earlier?"""
+def _nodes(schema: pa.Schema):
+    """The subtrees of a range: for each later leaf of a node, the node's first occurrence.
+
+    Leaves of one id in different segments follow each other by segment, a hash of the text.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        full, row = _joined(table, "a", U64)
-        check, _ = _joined(table, "b", np.uint32)
+        code, row = _joined(table, "a", U64)
+        check, _ = _joined(table, "b", U64)
         keys, _ = _joined(table, "c", np.int64)
-        order = np.lexsort((keys, check, full))
-        late = np.empty(len(full), dtype=bool)
-        late[order] = ~_firsts(full[order], check[order])
+        places, _ = _joined(table, "d", np.int32)
+        order = np.lexsort((table["seg"].to_numpy()[row], keys, check, code))
+        first = _firsts(code[order], check[order])
+        late = np.empty(len(code), dtype=bool)
+        late[order] = ~first
+        lead = np.empty(len(code), dtype=np.int64)
+        lead[order] = order[np.maximum.accumulate(np.where(first, np.arange(len(code)), 0))]
         cuts = np.searchsorted(row, np.arange(len(table) + 1))
+        told = np.concatenate([[0], np.cumsum(late)])[cuts]
         return pa.table(
             [
                 table["seg"],
                 table["part"],
                 [np.packbits(late[a:b]).tobytes() for a, b in itertools.pairwise(cuts)],
+                _blobs(keys[lead[late]], told),
+                _blobs(places[lead[late]], told),
             ],
             schema=schema,
         )
@@ -221,42 +297,91 @@ def _later_ones(schema: pa.Schema):
     return run
 
 
-def _kept(depth: int, stem: int, groups: int, schema: pa.Schema):
+def _stretches(place: np.ndarray, owner: np.ndarray, key: np.ndarray, at: np.ndarray):
+    """Where leaves in a row, with first occurrences in a row, begin; with the end."""
+    new = np.ones(len(place), dtype=bool)
+    new[1:] = (
+        (np.diff(place) != 1) | (np.diff(owner) != 0) | (np.diff(key) != 0) | (np.diff(at) != 1)
+    )
+    return np.append(np.flatnonzero(new), len(place))
+
+
+def _kept(depth: int, stem: int, splitters: np.ndarray, schema: pa.Schema):
+    def sources(here: Segment, back: pa.Table):
+        """(place, key and place of the first occurrence) of all later leaves, by place."""
+        places, code, check = here.leaves(_shared_of(back))
+        new = _firsts(code, check)
+        parts = np.searchsorted(splitters, code[new], side="right")
+        late = np.zeros(len(parts), dtype=bool)
+        key, at = here.own(places[new])
+        for row in back.to_pylist():
+            if row["part"] >= 0:
+                low, high = np.searchsorted(parts, [row["part"], row["part"] + 1])
+                bits = np.unpackbits(np.frombuffer(row["a"], np.uint8), count=high - low)
+                told = low + np.flatnonzero(bits)
+                late[told] = True
+                key[told] = np.frombuffer(row["b"], np.int64)
+                at[told] = np.frombuffer(row["c"], np.int32)
+        node = np.cumsum(new) - 1
+        later = ~new | late[node]
+        order = np.argsort(places[later])
+        node = node[later][order]
+        return places[later][order], key[node], at[node]
+
     def run(docs: pa.Table, back: pa.Table) -> pa.Table:
         if not len(docs):
             return schema.empty_table()
         here = Segment(docs, depth, stem)
-        places, full, check = here.branching(_shared_of(back))
-        new = _firsts(full, check)
-        cuts = _cut(full[new], groups)
-        late = np.zeros(int(new.sum()), dtype=bool)
-        for part, bits in zip(back["part"].to_pylist(), back["a"].to_pylist()):
-            if part >= 0:
-                n = cuts[part + 1] - cuts[part]
-                late[cuts[part] : cuts[part + 1]] = np.unpackbits(
-                    np.frombuffer(bits, np.uint8), count=n
-                ).astype(bool)
-        repeat = ~new | late[np.cumsum(new) - 1] if len(new) else new
+        place, key, at = sources(here, back)
         step = np.zeros(len(here.words) + 1, dtype=np.int32)
-        np.add.at(step, places[repeat], 1)
-        np.add.at(step, places[repeat] + depth, -1)
+        np.add.at(step, place, 1)
+        np.add.at(step, place + depth, -1)
         gone = np.cumsum(step[:-1]) > 0
-        texts, runs, removed = [], [], []
+        owner = here.owner[place]
+        edges = _stretches(place, owner, key, at)
+        begins = edges[:-1]
+        rows, times, removed, texts = [], [], [], []
+        counts, found = [], []  # of each row: its repeats, as columns
+
+        def put(doc, n, gone_here, words, begin, length, source, there):
+            rows.append(doc)
+            times.append(n)
+            removed.append(int(gone_here.sum()))
+            texts.append(b" ".join(itertools.compress(words, ~gone_here) if removed[-1] else words))
+            counts.append(len(begin))
+            found.append((begin, length, source, there))
+
+        of_doc = np.searchsorted(owner[begins], np.arange(len(here.n_words) + 1))
         for i, text in enumerate(here.docs["text"].cast(pa.large_binary()).to_pylist()):
             words = (text or b"").split()
-            mine = gone[here.first[i] : here.first[i + 1]]
-            edges = np.flatnonzero(np.diff(np.concatenate([[0], mine, [0]]).astype(np.int8)))
-            removed.append(int(mine.sum()))
-            runs.append([(int(a), int(b - a)) for a, b in edges.reshape(-1, 2)])
-            texts.append(b" ".join(itertools.compress(words, ~mine) if removed[-1] else words))
+            low, high = here.first[i], here.first[i + 1]
+            b = begins[of_doc[i] : of_doc[i + 1]]
+            length = edges[of_doc[i] + 1 : of_doc[i + 1] + 1] - b + depth - 1
+            put(i, 1, gone[low:high], words, place[b] - low, length, key[b], at[b])
+            if here.times[i] > 1:  # the copies under the same id: every leaf is a later one
+                n = max(0, len(words) - depth + 1)
+                source, there = np.full(n, here.keys[i]), np.arange(n, dtype=np.int32)
+                mine = slice(*np.searchsorted(place, [low, high]))
+                source[place[mine] - low], there[place[mine] - low] = key[mine], at[mine]
+                cut = _stretches(np.arange(n), np.zeros(n), source, there)
+                b, length = cut[:-1], np.diff(cut) + depth - 1
+                all_gone = np.full(len(words), n > 0)
+                put(i, here.times[i] - 1, all_gone, words, b, length, source[b], there[b])
+        begin, length, source, there = (np.concatenate(c) for c in zip(*found))
+        repeats = pa.StructArray.from_arrays(
+            [pa.array(begin.astype(np.int64)), pa.array(length.astype(np.int64)),
+             pa.array(source.astype(np.int64), mask=source >= _LATE), pa.array(there.astype(np.int64))],
+            fields=list(schema.field("repeats").type.value_type),
+        )
+        ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
         return pa.table(
             [
-                here.docs["doc_id"],
-                pa.array(here.n_words, pa.int64()),
+                here.docs["doc_id"].take(pa.array(rows)),
+                pa.array(here.n_words[rows], pa.int64()),
                 pa.array(removed, pa.int64()),
                 pa.array(texts, pa.binary()).cast(pa.string()),
-                pa.array([[{"start": s, "length": n} for s, n in r] for r in runs],
-                         schema.field("repeats").type),
+                pa.ListArray.from_arrays(pa.array(ends), repeats, type=schema.field("repeats").type),
+                pa.array(times, pa.int64()),
             ],
             schema=schema,
         )
@@ -264,50 +389,77 @@ def _kept(depth: int, stem: int, groups: int, schema: pa.Schema):
     return run
 
 
+def _splitters(rows: DataFrame, size: int, depth: int, groups: int, sample: int) -> np.ndarray:
+    """Codes that cut all suffixes into ``groups`` ranges of about equal load.
+
+    They come from the texts of about ``sample`` bytes and at most some 16 codes a range;
+    they decide where suffixes are compared, never whether.
+    """
+    every = max(1, size // sample)
+    some = rows.where(F.pmod(F.xxhash64("tie", "doc_key"), F.lit(every)) == 0).select("text")
+    thin = max(1, min(size, sample) // 6 // (16 * groups))
+    codes = some.mapInArrow(_sampled(depth, thin), "code long").distinct().toPandas()["code"]
+    codes = np.sort(codes.to_numpy().astype(np.int64).view(U64))
+    at = np.arange(1, groups) * len(codes) // groups
+    return np.unique(codes[at]) if len(codes) else codes
+
+
 def remove_repeats(
-    docs: DataFrame, depth: int = 20, stem: int = 8, segment: int = 6 << 20,
+    docs: DataFrame, depth: int = 20, stem: int = 8, segment: int = 6 << 20, sample: int = 16 << 20,
     id_column: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """(doc_id, n_words, n_removed, text, repeats) of every row.
 
-    ``text`` holds the words that stay, joined by one space; ``repeats`` the maximal runs
-    of words that went.  Ids must be integers; rows without one count as the last documents,
-    in the order of a hash of their texts.  Rows with the same id follow each other in any
-    order.  Null and empty texts have no words.  No rows give no rows.
+    ``text`` holds the words that stay, joined by one space.  ``repeats`` lists the maximal
+    repeats that make the others go: (start, length, first_doc, first_start), all of whose
+    windows of ``depth`` words occur first there, in word numbers; they may overlap, and
+    ``first_doc`` is null where that document has no id.  Ids must be integers below 2**62;
+    rows without one count as the last documents, in the order of a hash of their texts.  Rows
+    with the same id follow each other by hashes of their texts, whatever their order in the
+    input.  Null and empty texts have no words.  No rows give no rows.
     """
     rows = pick(docs, id_column, text).toDF("doc_id", "text")
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
     hidden = F.lit(_LATE) + F.shiftrightunsigned(F.xxhash64("text"), 2)
-    rows = rows.withColumn("doc_key", F.coalesce("doc_id", hidden))
+    rows = rows.select(
+        "doc_id", F.coalesce("doc_id", hidden).alias("doc_key"), text_key(F.col("text")).alias("tie"), "text"
+    )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     segments = max(48, size // segment)
     groups = max(24, segments // 8)
-    rows = rows.withColumn("seg", F.pmod(F.xxhash64("doc_key"), F.lit(segments)).cast("int"))
+    splitters = _splitters(rows, size, depth, groups, sample)
+    long, packed = pa.int64(), pa.binary()
+    plain = pa.schema([("doc_id", long), ("doc_key", long), ("tie", long), ("text", pa.string()), ("n", long)])
+    rows = rows.mapInArrow(_combined(plain), "doc_id long, doc_key long, tie long, text string, n long")
+    rows = rows.withColumn("seg", F.pmod(F.xxhash64("doc_key", "tie"), F.lit(segments)).cast("int"))
     by_segment = rows.groupBy("seg")
-    sent = pa.schema([("part", pa.int32()), ("seg", pa.int32()), ("a", pa.binary())])
-    suffixes = sent.append(pa.field("b", pa.binary())).append(pa.field("c", pa.binary()))
-    told = pa.schema([("seg", pa.int32()), ("part", pa.int32()), ("a", pa.binary())])
-    run = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
+    sent = pa.schema([("part", pa.int32()), ("seg", pa.int32()), ("a", packed)])
+    suffixes = pa.schema([*sent, ("b", packed), ("c", packed), ("d", packed)])
+    told = pa.schema([("seg", pa.int32()), ("part", pa.int32()), ("a", packed), ("b", packed), ("c", packed)])
+    run = pa.list_(pa.struct([("start", long), ("length", long), ("first_doc", long), ("first_start", long)]))
     out = pa.schema(
-        [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
-         ("text", pa.string()), ("repeats", run)]
+        [("doc_id", long), ("n_words", long), ("n_removed", long), ("text", pa.string()),
+         ("repeats", run), ("times", long)]
     )
+    reply = "seg int, part int, a binary, b binary, c binary"
     shared = (
         by_segment.applyInArrow(_phrases_of(depth, stem, groups, sent), "part int, seg int, a binary")
         .groupBy("part")
-        .applyInArrow(_shared_phrases(told), "seg int, part int, a binary")
+        .applyInArrow(_shared_phrases(told), reply)
     )
     late = (
         by_segment.cogroup(shared.groupBy("seg"))
         .applyInArrow(
-            _suffixes_of(depth, stem, groups, suffixes),
-            "part int, seg int, a binary, b binary, c binary",
+            _suffixes_of(depth, stem, splitters, suffixes),
+            "part int, seg int, a binary, b binary, c binary, d binary",
         )
         .groupBy("part")
-        .applyInArrow(_later_ones(told), "seg int, part int, a binary")
+        .applyInArrow(_nodes(told), reply)
     )
-    return by_segment.cogroup(shared.union(late).groupBy("seg")).applyInArrow(
-        _kept(depth, stem, groups, out),
-        "doc_id long, n_words long, n_removed long, text string, "
-        "repeats array<struct<start: long, length: long>>",
+    kept = by_segment.cogroup(shared.union(late).groupBy("seg")).applyInArrow(
+        _kept(depth, stem, splitters, out),
+        "doc_id long, n_words long, n_removed long, text string, repeats array<struct<"
+        "start: long, length: long, first_doc: long, first_start: long>>, times long",
     )
+    # Copies under one id come as one row and their number.
+    return kept.withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).drop("_", "times")

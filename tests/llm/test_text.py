@@ -211,23 +211,71 @@ def test_the_proximity_query_reports_changed_passages(spark, tmp_path):
     assert rows[2].n_near > 0 and rows[3].n_near == rows[3].n_near_items == 0
 
 
+def repeats_by_hand(rows, depth=20):
+    """(doc_id, words, removed, kept, maximal repeats), every window looked up by its words."""
+    seen, expected = {}, Counter()
+    for doc, text in rows:
+        w = SPACED.findall(text or "")
+        gone, runs = [False] * len(w), []
+        for k in range(len(w) - depth + 1):
+            window = tuple(w[k : k + depth])
+            if window not in seen:
+                seen[window] = (doc, k)
+                continue
+            gone[k : k + depth] = [True] * depth
+            source, at = seen[window]
+            if runs and [runs[-1][0] + runs[-1][1] - depth + 1, *runs[-1][2:]] == [k, source, at - (k - runs[-1][0])]:
+                runs[-1][1] += 1
+            else:
+                runs.append([k, depth, source, at])
+        kept = " ".join(a for a, g in zip(w, gone) if not g)
+        expected[doc, len(w), sum(gone), kept, tuple(map(tuple, runs))] += 1
+    return expected
+
+
+def repeats_found(rows):
+    return Counter((r.doc_id, r.n_words, r.n_removed, r.text, tuple(map(tuple, r.repeats))) for r in rows)
+
+
 def test_substring_dedup(spark):
     rows = [r for r in texts() if r[0] is not None]
     rows += [(40 + i, r[1]) for i, r in enumerate(rows) if r[0] in (8, 9)]
     got = substrings.remove_repeats(documents(spark, rows), segment=3000).collect()
-    seen, expected = set(), Counter()
-    for doc, text in sorted(rows, key=lambda r: (r[0], r[1] or "")):
-        w = SPACED.findall(text or "")
-        gone = [False] * len(w)
-        for k in range(len(w) - 19):
-            window = tuple(w[k : k + 20])
-            if window in seen:
-                gone[k : k + 20] = [True] * 20
-            seen.add(window)
-        kept = " ".join(a for a, g in zip(w, gone) if not g)
-        runs = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
-        expected[doc, len(w), sum(gone), kept, runs] += 1
-    assert Counter((r.doc_id, r.n_words, r.n_removed, r.text, len(r.repeats)) for r in got) == expected
+    expected = repeats_by_hand(sorted(rows, key=lambda r: (r[0], r[1] or "")))
+    assert repeats_found(got) == expected
+
+
+def test_repeats_of_few_words_of_many_sources(spark):
+    # Passages after one another, periodic text and few words: repeats meet, nest and overlap.
+    rng = random.Random(8)
+    passages = [prose(rng, n) for n in (21, 25, 40, 60)]
+    rows = [(i, " ".join(rng.choices([*passages, prose(rng, 7), "a b", "a"], k=rng.randint(1, 9)))) for i in range(60)]
+    rows += [(100 + i, " ".join(rng.choices("ab", k=80))) for i in range(20)]
+    rows += [(200, "a " * 90), (201, "a b " * 50), (202, "a " * 30)]
+    expected = repeats_by_hand(rows, 20)
+    assert max(len(r[4]) for r in expected) > 5
+    for segment, sample in ((500, 1 << 20), (1 << 20, 100)):
+        frame = documents(spark, rng.sample(rows, len(rows))).repartition(3)
+        assert repeats_found(substrings.remove_repeats(frame, segment=segment, sample=sample).collect()) == expected
+    small = substrings.remove_repeats(documents(spark, rows), depth=3, stem=2, segment=500).collect()
+    assert repeats_found(small) == repeats_by_hand(rows, 3)
+
+
+def test_repeats_of_rows_that_share_an_id_do_not_go_by_the_order_of_the_input(spark):
+    rng = random.Random(9)
+    passage = prose(rng, 30)
+    rows = [(1, f"{passage} {prose(rng, 5)}") for _ in range(6)] + [(1, passage)] * 40 + [(None, passage)] * 50
+    rows += [(None, "few words")] * 30 + [(2, None)] * 3
+    found = [
+        repeats_found(substrings.remove_repeats(documents(spark, r).repartition(n), segment=300).collect())
+        for r, n in ((rows, 2), (rows[::-1], 5), (rng.sample(rows, len(rows)), 3))
+    ]
+    assert found[0] == found[1] == found[2] and sum(found[0].values()) == len(rows)
+    # One text of the first id keeps the passage; every other row loses it.
+    whole = [r for r in found[0].elements() if r[0] != 2 and r[1] >= 30]
+    assert sum(r[2] == 0 for r in whole) == 1 and len(whole) == 96
+    assert all(r[2] >= 30 and r[4][0][2] == 1 for r in whole if r[2])
+    assert found[0][None, 2, 0, "few words", ()] == 30 and found[0][2, 0, 0, "", ()] == 3
 
 
 def test_rows_without_id_come_last_in_substring_dedup(spark):
