@@ -7,9 +7,13 @@ into the inverted list of its nearest centroid, with a code of one byte per subs
 the length ``err`` of what the code misses.
 
 * Probes.  A vector y within r of x lies in the list of centroid b only if x is within r of
-  the plane between its own centroid and b.  Along one direction out of d a displacement of
-  length r is r / sqrt(d) long in the mean, so x probes every list whose plane is within
-  ``slack`` times that.  There is no fixed number of probes; ``slack`` = sqrt(d) is exact.
+  the plane between its own centroid and b.  Along one direction a displacement of length r
+  is r * sqrt(share) long in the mean, where ``share`` is that direction's part of the spread:
+  1 / d if vectors vary alike in all directions, 1 / 2 if they lie on a surface.  It is
+  estimated from what the sample leaves after the centroids, for all lists together (the
+  widest direction) and for the list of x (the mean, less what few vectors feign), and the
+  larger counts.  x probes every list whose plane is within ``slack`` times that length, and
+  never needs more than r, which is exact.  There is no fixed number of probes.
 * Table-lookup distances.  For each probe a table holds the squared distances from the
   query's subvectors to all codewords; sums of looked-up entries are distances to decoded
   vectors.  By the triangle inequality a pair with distance - err > r cannot link, so the
@@ -63,7 +67,9 @@ class Index:
         self.size = sample.shape[1]
         self.lists = max(1, min(1024, round(math.sqrt(rows) / 2), len(sample) // 16))
         self.centres = kmeans(sample, self.lists)
-        rest = sample - self.centres[nearest(sample, self.centres)]
+        home = nearest(sample, self.centres)
+        rest = sample - self.centres[home]
+        self.share = self._shares(rest, home)
         parts = min(parts, self.size)
         self.cuts = np.linspace(0, self.size, parts + 1).astype(int)
         words = max(1, min(words, len(sample) // 4))
@@ -72,6 +78,20 @@ class Index:
         between = square[:, None] + square - 2 * self.centres @ self.centres.T
         self.between = np.sqrt(np.maximum(between, 1e-18))
 
+    def _shares(self, rest: np.ndarray, home: np.ndarray) -> np.ndarray:
+        """For each list, the part of the spread that one direction may have."""
+        spread = np.linalg.eigvalsh(rest.T @ rest)
+        least = spread[-1] / spread.sum() if spread.sum() > 0 else 1.0
+        out = np.ones(self.lists)
+        for name in range(self.lists):
+            mine = rest[home == name]
+            mine = mine - mine.mean(axis=0) if len(mine) > 2 else mine[:0]
+            inner = mine @ mine.T if len(mine) < self.size else mine.T @ mine
+            total = np.trace(inner) ** 2
+            if total > 0:  # lists of one or two vectors, or of equal ones, tell nothing: exact
+                out[name] = max(least, (inner**2).sum() / total - 1 / (len(mine) - 1))
+        return np.minimum(out, 1.0)
+
     def encode(self, x: np.ndarray):
         """(list, codes, err) of unit vectors."""
         home = nearest(x, self.centres)
@@ -83,8 +103,9 @@ class Index:
             miss += ((rest[:, a:b] - self.books[j][codes[:, j]]) ** 2).sum(axis=1)
         return home, codes, np.sqrt(miss)
 
-    def probes(self, x: np.ndarray, home: np.ndarray, reach: float) -> np.ndarray:
-        """A row of flags for each vector: the lists whose plane is within ``reach``."""
+    def probes(self, x: np.ndarray, home: np.ndarray, radius: float, slack: float) -> np.ndarray:
+        """A row of flags for each vector: the lists whose plane is within its reach."""
+        reach = radius * np.minimum(1, slack * np.sqrt(self.share[home]))[:, None]
         far = (self.centres**2).sum(axis=1) - 2 * x @ self.centres.T
         own = far[np.arange(len(x)), home][:, None]
         return (far - own) / (2 * self.between[home]) <= reach
@@ -128,7 +149,7 @@ def _placed(indexes: dict[int, Index], cosine: float, slack: float):
                 x = unit(raw)
                 index = indexes[size]
                 home, codes, err = index.encode(x)
-                flags = index.probes(x, home, slack * radius / math.sqrt(size))
+                flags = index.probes(x, home, radius, slack)
                 bits = np.packbits(flags, axis=1)
                 blobs = pa.array([v.tobytes() for v in x], pa.binary())
                 yield pa.RecordBatch.from_arrays(

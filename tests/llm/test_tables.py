@@ -71,6 +71,57 @@ def test_recall_against_brute_force_on_the_table(spark):
     assert (got <= near).all() and got.sum() >= 0.9 * near.sum() > 0
 
 
+@pytest.mark.parametrize("size, rank, spaces", [(128, 2, 1), (64, 3, 1), (128, 8, 1), (64, 64, 1), (64, 2, 200)])
+def test_probes_reach_links_across_many_lists_at_any_rank(size, rank, spaces):
+    # Links just above the threshold, inside the few directions the vectors have.
+    rng = np.random.default_rng(3)
+    rows, links = [], []
+    for _ in range(spaces):
+        base = np.linalg.qr(rng.normal(size=(size, rank)))[0].T
+        x = embeddings.unit(rng.normal(size=(12_000 // spaces, rank)))
+        near = x[: 1000 // spaces]
+        aside = rng.normal(size=near.shape)
+        aside = embeddings.unit(aside - (aside * near).sum(axis=1)[:, None] * near)
+        rows.append(x @ base)
+        links.append((near @ base, (0.955 * near + np.sqrt(1 - 0.955**2) * aside) @ base))
+    index = embeddings.Index(np.concatenate(rows), 220_000)
+    a, b = (np.concatenate(v) for v in zip(*links))
+    at_a, at_b = embeddings.nearest(a, index.centres), embeddings.nearest(b, index.centres)
+    radius, i = np.sqrt(2 - 2 * 0.95), np.arange(len(a))
+    met = index.probes(a, at_a, radius, 3.0)[i, at_b] | index.probes(b, at_b, radius, 3.0)[i, at_a]
+    assert index.lists > 200 and (at_a != at_b).mean() > 0.1 and met.mean() >= 0.99
+
+
+def test_links_of_vectors_on_a_surface(spark):
+    rng = np.random.default_rng(4)
+    base = np.linalg.qr(rng.normal(size=(32, 3)))[0].T
+    x = embeddings.unit(rng.normal(size=(3000, 3))) @ base
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in embeddings.near_duplicates(frame).collect()}
+    near = (x @ x.T >= 0.95).sum(axis=1) - 1
+    got = np.array([found[i] for i in range(len(x))])
+    assert (got <= near).all() and got.sum() >= 0.99 * near.sum() > 0
+
+
+def test_recall_on_the_largest_table(spark):
+    # The table holds no links of these queries of its own, so each gets four noisy copies.
+    frame = common.table(spark, "/root/testdata/sf0.1", "embeddings").select("vec_id", "embedding")
+    rows = frame.collect()
+    rng = np.random.default_rng(2)
+    asked = [i for i, r in enumerate(rows) if r.vec_id % 20 == 0]
+    copies = [
+        (10**6 + 4 * i + k, (np.array(v) / np.linalg.norm(v) + rng.normal(size=len(v)) * s).tolist())
+        for i in asked for v in [rows[i].embedding] for k, s in enumerate((0.005, 0.02, 0.035, 0.04))
+    ]
+    x = embeddings.unit(np.array([r.embedding for r in rows] + [v for _, v in copies], dtype=float))
+    near = (x[asked] @ x.T >= 0.95).sum(axis=1) - 1
+    table = frame.union(spark.createDataFrame(copies, "vec_id long, embedding array<double>"))
+    found = {r.vec_id: r.n_links for r in embeddings.near_duplicates(table).collect()}
+    got = np.array([found[rows[i].vec_id] for i in asked])
+    assert (got <= near).all() and got.sum() >= 0.9 * near.sum() > len(asked)
+
+
 def test_shards(spark):
     rng = random.Random(2)
     hot = prose(rng, 400)
