@@ -171,7 +171,9 @@ def with_row_idx(
     Others are read once, tagged with their split and their order in it, and written to
     the shared folder; counts and numbers come from that copy, so a second reading that
     splits the files elsewhere cannot lose or misnumber rows.  Files are numbered by one
-    window over files, splits by a window within their file; rows never are.  A row
+    window over files, splits by a window within their file; rows never are.  The
+    offsets, a row per file or split (no more than the driver lists to plan the scan), go
+    to all tasks: a join by path would send all rows of a file to one of them.  A row
     whose file or split has no count stops the job.
     """
     if order_by is not None:
@@ -209,7 +211,7 @@ def with_row_idx(
         F.col("offset"), F.raise_error(F.lit("A row has no place among the counted files")).cast("bigint")
     )
     return (
-        tagged.join(offsets, within, "left")
+        tagged.join(F.broadcast(offsets), within, "left")
         .withColumn(name, F.col("__row") + known + F.lit(start))
         .drop(*within, "__row", "offset")
     )

@@ -400,6 +400,22 @@ def test_ordinals_hold_when_files_are_split_anew(spark, tmp_path, kind):
     assert found == {i: i + 2 for i in range(1400)}
 
 
+def test_numbering_sends_no_rows_by_path(spark, tmp_path):
+    """Whatever Spark believes of the sizes, the rows of a file do not meet in one task."""
+    spark.range(50).coalesce(1).write.parquet(str(tmp_path / "a"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        numbered = records.with_row_idx(spark.read.parquet(str(tmp_path / "a")))
+        plan = numbered._jdf.queryExecution().sparkPlan().toString()
+        found = {r.id: r.row_idx for r in numbered.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    outer = [line for line in plan.splitlines() if "LeftOuter" in line]
+    assert len(outer) == 1 and "BroadcastHashJoin" in outer[0]
+    assert found == {i: i + 2 for i in range(50)}
+
+
 def test_output_in_key_order(spark, tmp_path):
     sinks.write_csv(spark.range(50).selectExpr("cast(100 - id as string) as k").repartition(4), str(tmp_path / "o"), order_by=["k"])
     lines = [x for f in sorted((tmp_path / "o").glob("part-*")) for x in f.read_text().split()[1:]]
