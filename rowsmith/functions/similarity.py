@@ -56,6 +56,14 @@ _COMPARED = 1 << 20  # words of bits that one comparison of many pairs may take
 _CLASSES, _REPEATS = 32, 4  # letters are counted in 32 classes, up to 4 of each apart
 
 
+def letter_class(points: np.ndarray) -> np.ndarray:
+    """The class of each letter: a to z and the space have one each, so that words and numbers
+    have none in common; other marks of ASCII share five, other letters go by their code."""
+    ascii_class = np.where(points == 32, 26, 27 + points % 5)
+    small = np.where((points >= 97) & (points <= 122), points - np.uint32(97), ascii_class)
+    return np.where(points < 128, small, points % _CLASSES).astype(np.int64)
+
+
 class Names:
     """Distinct names as arrays: letters, lengths and letter counts."""
 
@@ -66,8 +74,9 @@ class Names:
         self.flat = np.concatenate([*points, np.zeros(0, np.uint32)])
         self.first = np.concatenate([[0], np.cumsum(self.length)])
         owner = np.repeat(np.arange(len(names)), self.length)
-        place = owner * _CLASSES + self.flat % _CLASSES
+        place = owner * _CLASSES + letter_class(self.flat)
         counts = np.bincount(place, minlength=len(names) * _CLASSES).reshape(-1, _CLASSES)
+        self.counts = np.minimum(counts, 0xFFFF).astype(np.uint16)
         # A bit for each of the first letters of a class, and the number of the others.
         self.bits = np.zeros((len(names), _REPEATS), dtype=np.uint32)
         weight = np.uint32(1) << np.arange(_CLASSES, dtype=np.uint32)

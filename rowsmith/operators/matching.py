@@ -20,8 +20,9 @@ again.  Three things keep the rounds small:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -55,9 +56,14 @@ _NEVER = (1 << 63) - 1  # holder ordinal of a free target
 
 @dataclass(frozen=True)
 class Matches:
-    decisions: DataFrame
     unmatched_targets: DataFrame
     summary: DataFrame
+    decide: Callable[[], DataFrame]
+
+    @cached_property
+    def decisions(self) -> DataFrame:
+        """Only these report best scores, which are searched for when they are asked for."""
+        return self.decide()
 
 
 def fuzzy_match(
@@ -96,19 +102,23 @@ def fuzzy_match(
     if threshold < 1.0:
         state.settle(least)
 
-    best = state.best_open_scores(targets)
-    decisions = _decisions(people, targets, state.held, best, threshold)
+    def decide() -> DataFrame:
+        best = state.best_open_scores(targets)
+        return _decisions(people, targets, state.held, best, threshold)
+
     unmatched = targets.join(state.held.select("t"), "t", "left_anti").select(
         F.col("key").alias("target_record_key"),
         F.col("name").alias("target_name"),
         F.col("department").alias("target_department"),
     )
-    summary = _summary(source, target, key, decisions, threshold).select(
+    partner = state.held.join(targets.select("t"), "t").withColumnRenamed("s", "idx")
+    matched = people.join(partner, "idx", "left").select(_match_type(F.col("t").isNotNull()))
+    summary = _summary(source, target, key, matched, threshold).select(
         "*",
         F.array(*map(F.lit, name_columns)).cast("array<string>").alias("name_columns"),
         F.lit(department_column).alias("department_column"),
     )
-    return Matches(decisions, unmatched, summary)
+    return Matches(unmatched, summary, decide)
 
 
 def _people(
@@ -577,6 +587,11 @@ def similar_names(
     )
 
 
+def _match_type(found: Column) -> Column:
+    kind = F.when(~found, "no_match").when(F.col("by_key"), "exact_key").otherwise("fuzzy_name")
+    return kind.alias("match_type")
+
+
 def _decisions(
     people: DataFrame,
     targets: DataFrame,
@@ -617,10 +632,7 @@ def _decisions(
             F.coalesce(c, blank).alias(c)
             for c in ("target_record_key", "target_name", "target_department")
         ],
-        F.when(~found, "no_match")
-        .when(F.col("by_key"), "exact_key")
-        .otherwise("fuzzy_name")
-        .alias("match_type"),
+        _match_type(found),
         fmt3(shown).alias("match_score"),
         F.when(~found, no_match)
         .when(F.col("by_key"), "Key match")
@@ -630,10 +642,10 @@ def _decisions(
 
 
 def _summary(
-    source: DataFrame, target: DataFrame, key: str, decisions: DataFrame, threshold: float
+    source: DataFrame, target: DataFrame, key: str, matched: DataFrame, threshold: float
 ) -> DataFrame:
     kinds = ("exact_key", "fuzzy_name", "no_match")
-    counts = decisions.agg(
+    counts = matched.agg(
         F.count(F.lit(1)).alias("source_records"),
         *[F.count_if(F.col("match_type") == k).alias(k) for k in kinds],
     )

@@ -1,10 +1,15 @@
 """The best score each name group can still get, without writing pairs of names.
 
-The names that are asked for are dealt to blocks, and so are the names on offer; a task gets
-a block of each.  For every asked name it bounds the score with each offered one by the
-letters they share, two counts of common bits a pair, and compares them from the highest
-bound down.  A running maximum ends the search: nothing whose bound is not above it is
-compared.  Only steps of the maximum leave the task.
+The names on offer are sorted by department and by the letters they hold, and cut into nodes
+of neighbours.  A node is known by a summary: the most its names have of each letter, its
+shortest name, its departments and its latest holder.  No name of a node scores more than the
+summary allows.  Every asked name is first searched in the node that allows most; what it
+finds there rules out all nodes that do not allow more, and only the others are searched.
+
+In a node every pair's score is bounded by the letters both names have, two counts of common
+bits a pair, and pairs are compared from the highest bound down.  A running maximum ends the
+search: nothing whose bound is not above it is compared.  Only steps of the maximum leave the
+task.
 
 An offer lasts for sources before its holder, so the best score of a group falls with the
 ordinal of the source.  The groups' answer is that staircase: scores, and the ordinal below
@@ -18,21 +23,23 @@ import sys
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.similarity import Names, ratios, upper_bound
+from ..session import cut_lineage, dropped
 
 # Python workers get this module with the plan, so no executor needs the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-ASKED = 1024  # groups a block asks for at most
-OFFERED = 1 << 14  # offers in a block
-_ROWS, _TOP, _SLICE = 64, 16, 1 << 13
+ASKED = 1024  # groups that one task searches for at a time, about
+NODE = 2048  # offers in a node at most
+NODES = 1 << 14  # summaries that one task holds, about
+_ROWS, _TOP, _SLICE = 256, 16, 1 << 13
 
 
 class _Search:
-    """One block of groups against one block of offers."""
+    """Groups against the offers of one node."""
 
     def __init__(self, asked: pd.DataFrame, offered: pd.DataFrame, boost: float):
         self.boost = boost
@@ -45,7 +52,7 @@ class _Search:
         blank = np.concatenate([asked["dk"] == "", offered["tdk"] == ""])
         codes = np.where(blank, -1, codes)
         self.group_team, self.offer_team = codes[: len(asked)], codes[len(asked) :]
-        self.best = np.zeros(len(asked))  # what every source of the group can get
+        self.best = asked["best"].to_numpy().copy()  # what every source of the group can get
         self.steps: list[tuple[np.ndarray, ...]] = []
 
     def compare(self, group: np.ndarray, offer: np.ndarray) -> None:
@@ -102,6 +109,9 @@ class _Search:
         return found[found["until"] > before]
 
 
+_GROUPS = "nk string, dk string, first_s long, last_s long, best double"
+
+
 def _searched(boost: float, schema: pa.Schema):
     def run(asked: pa.Table, offered: pa.Table) -> pa.Table:
         if not len(asked) or not len(offered):
@@ -117,6 +127,82 @@ def _searched(boost: float, schema: pa.Schema):
     return run
 
 
+def _letters(names: pd.Series) -> pd.Series:
+    """A bit for each class of letters that a name holds."""
+    held = Names(names).counts > 0
+    return pd.Series((held * (np.int64(1) << np.arange(held.shape[1]))).sum(axis=1))
+
+
+def _numbered(size: int):
+    def run(batches):
+        node = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for low in range(0, len(batch), size):
+                yield batch.iloc[low : low + size].assign(node=node)
+                node += 1
+
+    return run
+
+
+def _in_nodes(offered: DataFrame) -> DataFrame:
+    """The offers with the number of their node."""
+    letters = F.pandas_udf(_letters, "long")
+    near = offered.withColumn("letters", letters("tnk"))
+    by = ["tdk", "letters", "tnk"]
+    near = near.repartitionByRange(*by).sortWithinPartitions(*by).drop("letters")
+    return near.mapInPandas(_numbered(NODE), "tnk string, tdk string, until long, node long")
+
+
+def _summary(offered: pd.DataFrame) -> pd.DataFrame:
+    names = Names(offered["tnk"])
+    return pd.DataFrame({
+        "node": offered["node"].iloc[:1], "most": [names.counts.max(axis=0).tobytes()],
+        "shortest": [names.length.min()], "latest": [offered["until"].max()],
+        "low_dk": [offered["tdk"].min()], "high_dk": [offered["tdk"].max()],
+    })
+
+
+def _allowed(groups: pd.DataFrame, nodes: pd.DataFrame, boost: float) -> np.ndarray:
+    """The highest score each node's summary allows each group; 0 where its offers have ended."""
+    names = Names(groups["nk"])
+    most = np.frombuffer(b"".join(nodes["most"]), np.uint16).reshape(len(nodes), -1)
+    common = np.zeros((len(groups), len(nodes)), dtype=np.int64)
+    for letter in np.flatnonzero(names.counts.any(axis=0)):
+        common += np.minimum(names.counts[:, letter, None], most[None, :, letter])
+    # Counts end at 65,535; a group with more letters of a kind is ruled out by no node.
+    common[(names.counts == 0xFFFF).any(axis=1)] = 1 << 40
+    bound = 2.0 * common / (names.length[:, None] + nodes["shortest"].to_numpy())
+    if boost:
+        team = groups["dk"].to_numpy(dtype=str)[:, None]
+        low, high = (nodes[c].to_numpy(dtype=str) for c in ("low_dk", "high_dk"))
+        bound = bound + boost * ((team != "") & (low <= team) & (team <= high))
+    bound[nodes["latest"].to_numpy() <= groups["first_s"].to_numpy()[:, None]] = 0.0
+    return bound
+
+
+def _chosen(boost: float, first: bool, schema: pa.Schema):
+    """The node that allows a group most, or all that allow more than its best score."""
+
+    def run(asked: pa.Table, summaries: pa.Table) -> pa.Table:
+        if not len(asked) or not len(summaries):
+            return schema.empty_table()
+        groups, nodes = asked.to_pandas(), summaries.to_pandas().sort_values("latest", ascending=False)
+        found = []
+        for low in range(0, len(groups), _ROWS):
+            part = groups.iloc[low : low + _ROWS]
+            bound = _allowed(part, nodes, boost)
+            fit = bound > part["best"].to_numpy()[:, None]
+            if first:
+                fit &= np.arange(len(nodes)) == bound.argmax(axis=1)[:, None]
+            row, column = np.nonzero(fit)
+            found.append(part.iloc[row].assign(node=nodes["node"].to_numpy()[column]))
+        return pa.Table.from_pandas(
+            pd.concat(found)[schema.names], schema=schema, preserve_index=False
+        )
+
+    return run
+
+
 def best_offers(asked: DataFrame, offered: DataFrame, boost: float) -> DataFrame:
     """(nk, dk, score, until) of the steps of every group's best score above 0.
 
@@ -126,21 +212,53 @@ def best_offers(asked: DataFrame, offered: DataFrame, boost: float) -> DataFrame
     whose ``until`` is above s.
     """
     spark = asked.sparkSession
-    cells = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n_asked, n_offered = asked.count(), offered.count()
-    left = max(1, min(2 * cells, n_asked // 32), -(-n_asked // ASKED))
-    right = max(1, -(-n_offered // OFFERED))
+    members = cut_lineage(_in_nodes(offered.select("tnk", "tdk", "until")))
+    summaries = cut_lineage(members.groupBy("node").applyInPandas(
+        _summary, "node long, most binary, shortest long, latest long, low_dk string, high_dk string"
+    ))
+    n_asked, n_nodes = asked.count(), summaries.count()
+    parts = max(1, -(-n_asked // ASKED))
+    cells = max(parts, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_asked // 32))
+    blocks = max(1, -(-n_nodes // NODES))
 
-    def dealt(df: DataFrame, own: str, blocks: int, names: list[str], other: str, others: int):
-        mine = F.pmod(F.xxhash64(*names), F.lit(blocks)).cast("int")
+    def dealt(df: DataFrame, own: str, size: int, names: list[str], other: str, others: int):
+        mine = F.pmod(F.xxhash64(*names), F.lit(size)).cast("int")
         every = F.explode(F.sequence(F.lit(0), F.lit(others - 1)))
         return df.withColumn(own, mine).withColumn(other, every)
 
-    one = dealt(asked, "a", left, ["nk", "dk"], "o", right)
-    two = dealt(offered, "o", right, ["tnk", "tdk"], "a", left)
-    schema = pa.schema(
-        [("nk", pa.string()), ("dk", pa.string()), ("score", pa.float64()), ("until", pa.int64())]
+    def search(groups: DataFrame, first: bool) -> DataFrame:
+        one = dealt(groups, "a", cells, ["nk", "dk"], "o", blocks)
+        two = dealt(summaries, "o", blocks, ["node"], "a", cells)
+        schema = pa.schema(
+            [("nk", pa.string()), ("dk", pa.string()), ("first_s", pa.int64()),
+             ("last_s", pa.int64()), ("best", pa.float64()), ("node", pa.int64())]
+        )
+        chosen = one.groupBy("a", "o").cogroup(two.groupBy("a", "o")).applyInArrow(
+            _chosen(boost, first, schema), f"{_GROUPS}, node long"
+        )
+        # So many groups may choose one node that they are searched for in parts.
+        part = F.pmod(F.xxhash64("nk", "dk"), F.lit(parts)).cast("int")
+        chosen = cut_lineage(chosen.withColumn("part", part))
+        asking = chosen.select("node", F.col("part").alias("share")).distinct()
+        schema = pa.schema(
+            [("nk", pa.string()), ("dk", pa.string()), ("score", pa.float64()), ("until", pa.int64())]
+        )
+        steps = chosen.groupBy("node", "part").cogroup(
+            members.join(asking, "node").groupBy("node", "share")
+        ).applyInArrow(_searched(boost, schema), "nk string, dk string, score double, until long")
+        steps = cut_lineage(steps)
+        dropped(chosen)
+        return steps
+
+    begun = search(asked.withColumn("best", F.lit(0.0)).select("nk", "dk", "first_s", "last_s", "best"), True)
+    lasting = (
+        begun.join(asked, ["nk", "dk"]).where(F.col("until") > F.col("last_s"))
+        .groupBy("nk", "dk").agg(F.max("score").alias("best"))
     )
-    return one.groupBy("a", "o").cogroup(two.groupBy("a", "o")).applyInArrow(
-        _searched(boost, schema), "nk string, dk string, score double, until long"
+    groups = asked.join(lasting, ["nk", "dk"], "left").select(
+        "nk", "dk", "first_s", "last_s", F.coalesce("best", F.lit(0.0)).alias("best")
     )
+    ended = search(groups, False)
+    dropped(members)
+    dropped(summaries)
+    return begun.unionByName(ended)

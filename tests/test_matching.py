@@ -7,11 +7,13 @@ from collections import Counter
 from difflib import SequenceMatcher
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from rowsmith.functions import similarity
-from rowsmith.operators import matching
+from rowsmith.operators import matching, nearest
 
 RECORD = "row_idx bigint, student_id string, name string, department string"
 
@@ -290,3 +292,61 @@ def test_thresholds_that_equal_departments_reach(spark, threshold):
     target += [(50, "L1", "", "a"), (51, "L2", "9999", "b"), (52, "L3", "", "")]
     source += [(60, "", "zzzz", "a"), (61, "", "zz", "b"), (62, "", "yyy", "")]
     check(spark, source, target, threshold=threshold)
+
+
+def test_words_and_numbers_share_no_class():
+    digits, words = similarity.Names(["0123456789 0123"]), similarity.Names(["pqrstuvwxy klmn"])
+    at = np.array([0])
+    assert similarity.upper_bound(digits, at, words, at).tolist() == [2 / 30]
+
+
+def nodes_of(names, size, teams, until):
+    rows = pd.DataFrame({"tnk": names, "tdk": teams, "until": until})
+    numbered = rows.assign(node=np.arange(len(rows)) // size)
+    return pd.concat([nearest._summary(part) for _, part in numbered.groupby("node")])
+
+
+def test_nodes_that_cannot_be_better_are_not_searched():
+    """Numbers share the space with every word, so one node settles them."""
+    rng = random.Random(1)
+    words = ["".join(rng.choice("aeioulnrstmdbkgv") for _ in range(8)) + " x" for _ in range(400)]
+    nodes = nodes_of(words, 20, "a", 99)
+    groups = pd.DataFrame({
+        "nk": ["12345678 9", "aeioulnr x"], "dk": "a", "first_s": 1, "last_s": 1,
+        "best": [2 * 1 / 20 + 0.06, 0.5],
+    })
+    schema = pa.schema([("nk", pa.string()), ("node", pa.int64())])
+    asked, summaries = pa.Table.from_pandas(groups), pa.Table.from_pandas(nodes)
+    found = nearest._chosen(0.06, False, schema)(asked, summaries).to_pandas()
+    assert set(found["nk"]) == {"aeioulnr x"}
+    first = nearest._chosen(0.06, True, schema)(
+        pa.Table.from_pandas(groups.assign(best=0.0)), summaries
+    ).to_pandas()
+    assert sorted(first["nk"]) == ["12345678 9", "aeioulnr x"]
+
+
+@pytest.mark.parametrize("boost", [0.0, 0.06])
+def test_best_offers_equal_all_pairs(spark, monkeypatch, boost):
+    for name, small in (("NODE", 7), ("ASKED", 9), ("NODES", 4)):
+        monkeypatch.setattr(nearest, name, small)
+    rng = random.Random(8)
+
+    def word(letters):
+        return "".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) or "a"
+
+    asked = {(word(rng.choice(["abc ", "12 3", "é日x"])), rng.choice(["", "p", "q"])) for _ in range(40)}
+    asked = [(n, d, a, a + rng.choice([0, 0, 40])) for n, d in sorted(asked) for a in [rng.randint(0, 99)]]
+    offered = sorted({(word("abcdx1 é"), rng.choice(["", "p", "q", "r"])) for _ in range(90)})
+    offered = [(n, d, rng.choice([rng.randint(0, 140), (1 << 63) - 1])) for n, d in offered]
+    steps = nearest.best_offers(
+        spark.createDataFrame(asked, "nk string, dk string, first_s long, last_s long"),
+        spark.createDataFrame(offered, "tnk string, tdk string, until long"), boost,
+    ).collect()
+    for name, team, first, last in asked:
+        for s in {first, last}:
+            want = max([0.0] + [
+                min(1.0, SequenceMatcher(None, name, other).ratio() + boost * (team == theirs != ""))
+                for other, theirs, until in offered if until > s
+            ])
+            mine = [r.score for r in steps if (r.nk, r.dk) == (name, team) and r.until > s]
+            assert max(mine, default=0.0) == want, (name, team, s)
