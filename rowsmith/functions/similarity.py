@@ -23,7 +23,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 DEPARTMENT_BOOST = 0.06
 
 _SLACK = 1e-9  # keeps the float bounds on the safe side
-_MAX_GRAM = 4
+_MAX_GRAM = 6
 
 
 def ratio(source: Column, target: Column, at_least: float = 0.0) -> Column:

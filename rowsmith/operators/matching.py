@@ -50,6 +50,7 @@ BLOCK = 1024  # target records per block
 RANGE = 1 << 16  # ordinals that one window task numbers at most
 FREQUENT = 200_000  # grams whose counts are told to all tasks, at most
 SELDOM = 16  # grams of so many names are not frequent
+MANY = 10_000  # free names for which a search half way down is worth its rounds
 LEAST = 1e-6  # below every ratio above zero
 _NEVER = (1 << 63) - 1  # holder ordinal of a free target
 
@@ -100,6 +101,9 @@ def fuzzy_match(
     )
     state.settle(1.0)
     if threshold < 1.0:
+        # The lower the level, the more pairs of names have a gram in common by chance.
+        if state.free_sources().select("nk").distinct().count() > MANY:
+            state.settle((1.0 + least) / 2)
         state.settle(least)
 
     def decide() -> DataFrame:

@@ -294,6 +294,21 @@ def test_thresholds_that_equal_departments_reach(spark, threshold):
     check(spark, source, target, threshold=threshold)
 
 
+def test_search_half_way_down(spark, monkeypatch):
+    """Many free names are searched at a level between before the threshold's own."""
+    levels, settle = [], matching._Assignment.settle
+    monkeypatch.setattr(matching, "MANY", 0)
+    monkeypatch.setattr(
+        matching._Assignment, "settle", lambda self, level: (levels.append(level), settle(self, level))
+    )
+    check(spark, *crowd(6, 40, 30, 0.6, "abcdefgh"), threshold=0.7)
+    assert levels == [1.0, 0.85, 0.7]
+
+
+def test_high_levels_use_long_grams():
+    assert similarity.gram_size(0.94) == 6 and similarity.gram_size(0.86) == 4
+
+
 def test_words_and_numbers_share_no_class():
     digits, words = similarity.Names(["0123456789 0123"]), similarity.Names(["pqrstuvwxy klmn"])
     at = np.array([0])
