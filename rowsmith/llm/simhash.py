@@ -102,9 +102,11 @@ def within(upright: np.ndarray, n: int, queries: np.ndarray, radius: int, every:
                 return np.zeros(0, np.int64), np.zeros(0, np.int64)
             if not (r.all() and c.all()):
                 rows, columns, queries = rows[r], columns[c], queries[r]
-                upright = upright[:, c]
-                over = over[r][:, c]
-                counters = [x[r][:, c] for x in counters]
+                # Rows stay contiguous, which the bytes below need; a plain mask of columns
+                # returns them the other way round.
+                upright = np.compress(c, upright, axis=1)
+                kept = np.ix_(r, c)
+                over, counters = over[kept], [x[kept] for x in counters]
     near = np.unpackbits((~over).view(np.uint8).reshape(len(rows), -1), axis=1, bitorder="little")
     q, j = np.nonzero(near)
     return rows[q], columns[j // 64] * 64 + j % 64

@@ -92,6 +92,28 @@ def test_bit_sliced_distances(n, radius):
     assert got == expected
 
 
+def test_two_sides_of_a_large_bucket_are_compared(spark):
+    # Most columns and queries are far from all others and are left out on the way.
+    rng = np.random.default_rng(5)
+    left = rng.integers(0, 2**64, 600, dtype=np.uint64)
+    right = np.concatenate([left[:200] ^ np.uint64(6), rng.integers(0, 2**64, 600, dtype=np.uint64)])
+    q, j = simhash.within(simhash.planes(right), len(right), left, 4)
+    assert sorted(zip(q.tolist(), j.tolist())) == [(i, i) for i in range(200)]
+
+    part = np.uint64(5)  # all share a piece, so they meet in one bucket of several sides
+    prints = np.concatenate([left, right]) & ~np.uint64(8191) | part
+    near = left[:200] & ~np.uint64(8191) | part
+    prints = np.unique(np.concatenate([prints, near ^ np.uint64(1 << 40)])).view(np.int64)
+    frame = spark.createDataFrame([(int(p),) for p in prints], "fp long")
+    links = [(r.u, r.v) for r in simhash.link_trees(frame, 4, block=500).collect()]
+    bits = prints.view(np.uint64)
+    apart = np.bitwise_count(bits[:, None] ^ bits[None, :])
+    exact = [(int(prints[a]), int(prints[b])) for a, b in zip(*np.nonzero(np.triu(apart <= 4, 1)))]
+    assert len(exact) >= 200
+    everyone = prints.tolist()
+    assert groups(links, everyone) == groups(exact, everyone)
+
+
 def test_a_large_bucket_is_cut_into_cells(spark):
     rng = random.Random(3)
     first, prints = rng.getrandbits(63), set()
