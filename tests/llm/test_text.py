@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 import string
@@ -144,6 +145,23 @@ def test_keep_one_keeps_the_smallest_of_each_group(spark):
     assert Counter(r[0] for r in kept.collect()) == Counter(min(m, key=ids) for m in members.values())
 
 
+def test_the_pipeline_takes_buckets_of_two_sides(spark):
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    texts = [" ".join([*base[:i], "other", *base[i + 1 :]]) for i in range(0, 300, 5)]
+    # One-word texts have the hash of the word; these share the last piece of the base.
+    piece = simhash.fingerprint(" ".join(base).encode()) >> 52
+    alone = (w for w in (f"w{i}" for i in range(1 << 23)) if xxhash.xxh64_intdigest(w, 42) >> 52 == piece)
+    texts += [*itertools.islice(alone, 1100), *texts[:3]]
+    prints = np.array([simhash.fingerprint(t.encode()) for t in texts], dtype=np.uint64)
+    assert len(np.unique(prints[prints >> np.uint64(52) == piece])) > 1100
+    near = np.triu(np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 4, 1)
+    root = groups(zip(*np.nonzero(near)), range(len(texts)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root.values()))
+
+
 def test_decontamination(spark):
     rng = random.Random(8)
     rows = texts()
