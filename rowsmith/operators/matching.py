@@ -578,7 +578,9 @@ def similar_names(
             F.explode(gram_column(F.col(name), salt, at_least, common)).alias("token"),
         )
 
-    left, right = indexed(wanted, "nk", "len"), indexed(offered, "tnk", "tlen")
+    # Sizes are estimated from the names, of which each becomes many grams; a side that seems
+    # short would pass through the driver with all of them.
+    left, right = indexed(wanted, "nk", "len").hint("merge"), indexed(offered, "tnk", "tlen")
     shorter, longer = F.least("len", "tlen"), F.greatest("len", "tlen")
     pairs = (
         left.join(right, ["token", *extra])

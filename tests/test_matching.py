@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from rowsmith.functions import similarity
 from rowsmith.operators import matching, nearest
+from rowsmith.session import cut_lineage
 
 RECORD = "row_idx bigint, student_id string, name string, department string"
 
@@ -249,6 +250,18 @@ def test_places_after_a_free_target_spread_over_ranges(spark, small_limits):
     check(spark, source, target, threshold=0.8)
 
 
+def test_grams_of_names_are_not_broadcast(spark):
+    # The planner knows the size of the names, not that of their grams.
+    rows = [(f"name of {i}", "physics") for i in range(20)]
+    names = cut_lineage(spark.createDataFrame(rows, "nk string, dk string"))
+    offered = names.withColumnRenamed("nk", "tnk")
+    for within in (None, "dk"):
+        wanted = names if within else names.select("nk")
+        pairs = matching.similar_names(wanted, offered if within else offered.select("tnk"), 0.9, within)
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_similar_names_equals_all_pairs(spark):
     source, target = crowd(2, 60, 25, 0.6, "abcde")
     left = sorted({" ".join(n.lower().split()) for _, _, n, _ in source} - {""})
